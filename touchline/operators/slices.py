@@ -45,10 +45,15 @@ def _sortable(df: DataFrame, name: str) -> Column:
     if kind in ("timestamp", "timestamp_ntz"):
         return F.unix_micros(F.col(name).cast("timestamp"))
     if kind == "date":
-        return F.unix_date(name)
+        return F.unix_date(name).cast("long")
     return F.col(name)
 
 
+def _sortable_type(df: DataFrame, name: str) -> str:
+    kind = df.schema[name].dataType
+    return "long" if kind.typeName() in ("timestamp", "timestamp_ntz", "date") else kind.simpleString()
+
+
 def heavy_groups(df: DataFrame, keys: Sequence[str], limit: int) -> list[tuple]:
     """Groups with more than ``limit`` rows and their sizes, at most 2000 of them."""
     if not keys:
@@ -105,14 +110,15 @@ def slice_column(df: DataFrame, slicing: Slicing) -> Column:
     """Slice number of a row: 0 for light groups, 0..n along the order for heavy ones."""
     if not slicing.needed:
         return F.lit(0)
-    here = F.struct(*[_sortable(df, c) for c in slicing.order])
+    here = F.struct(*[_sortable(df, c).alias(c) for c in slicing.order])
+    kinds = [_sortable_type(df, c) for c in slicing.order]
     cuts = slicing.cuts
 
     def find(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        cut = F.struct(*[F.lit(v) for v in cuts[mid]])
+        cut = F.struct(*[F.lit(v).cast(k).alias(c) for v, k, c in zip(cuts[mid], kinds, slicing.order)])
         return F.when(here >= cut, find(mid + 1, hi)).otherwise(find(lo, mid))
 
     return F.when(_in_groups(slicing.keys, slicing.heavy), find(0, len(cuts))).otherwise(F.lit(0))

@@ -58,7 +58,7 @@ def stint_minutes(lineups: DataFrame) -> DataFrame:
     """Minutes of each entry when both clock values are known, limited to 0..120."""
     start, end = (clock_minutes(c, stoppage=True) for c in ("from_time", "to_time"))
     span = minutes_played(start, end, floor_at_zero=True, default_from=False)
-    return lineups.withColumn("minutes_played", F.least(span, F.lit(MAX_MATCH_MINUTES)))
+    return lineups.withColumn("minutes_played", F.when(span > MAX_MATCH_MINUTES, F.lit(MAX_MATCH_MINUTES)).otherwise(span))
 
 
 def minute_bins(minutes: DataFrame) -> DataFrame:

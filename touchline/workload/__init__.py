@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("q_sources", "q_staging")
+MODULES = ("q_sources", "q_staging", "q_aggregates", "q_windows")
 
 
 def all_queries():

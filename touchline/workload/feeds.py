@@ -35,6 +35,13 @@ def _array(names) -> str:
     return "array(" + ", ".join(f"'{n}'" for n in names) + ")"
 
 
+def _lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Line items, spread over the cores when they come as fewer file splits than there are cores."""
+    rows = read_table(spark, folder, "lineitem").select(*columns)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def raw_matches(spark: SparkSession, folder: str) -> DataFrame:
     return (
         read_table(spark, folder, "orders")
@@ -60,8 +67,8 @@ def raw_matches(spark: SparkSession, folder: str) -> DataFrame:
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
     slots = F.array(*[F.lit(i) for i in range(ACTIONS_PER_ENTRY)])
     return (
-        read_table(spark, folder, "lineitem")
-        .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.explode(slots).alias("slot"))
+        _lines(spark, folder, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+        .select("*", F.explode(slots).alias("slot"))
         .selectExpr(
             "*",
             "l_orderkey * 31 + l_linenumber * 17 + slot * 101 + l_partkey * 7 + l_suppkey * 13 AS h",
@@ -102,7 +109,7 @@ def raw_lineups(spark: SparkSession, folder: str) -> DataFrame:
         return f"named_struct('position', {position}, 'from', {start}, 'to', cast({end} AS string))"
 
     return (
-        read_table(spark, folder, "lineitem")
+        _lines(spark, folder, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
         .selectExpr(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
             "l_orderkey + l_linenumber * 3 + l_suppkey AS g", "l_orderkey * 37 % 1000 AS t",

@@ -24,6 +24,11 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
+def nudge(digits: int) -> float:
+    """Moves values off the exact half-way points, where the last bit of a sum would decide."""
+    return 0.013 * 10.0**-digits
+
+
 def tidy(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Comparable output: whole numbers as long, fractions rounded, dates and times as text."""
     columns = []
@@ -32,7 +37,7 @@ def tidy(df: DataFrame, digits: int = DIGITS) -> DataFrame:
         if kind in ("byte", "short", "integer"):
             c = c.cast("long")
         elif kind in ("double", "float"):
-            c = F.round(c.cast("double"), digits) + F.lit(0.0)
+            c = F.round(c.cast("double") + nudge(digits), digits) + F.lit(0.0)
         elif kind in ("date", "timestamp"):
             c = c.cast("string")
         columns.append(c.alias(field.name))
@@ -49,7 +54,7 @@ def query(
     digits: int = DIGITS,
 ):
     """Registers a builder; the named columns of the SQL get the same final types as ``tidy`` gives."""
-    casts = [f"round(CAST({c} AS DOUBLE), {digits}) + 0.0 AS {c}" for c in doubles]
+    casts = [f"round(CAST({c} AS DOUBLE) + {nudge(digits)!r}::DOUBLE, {digits}) + 0.0 AS {c}" for c in doubles]
     casts += [f"CAST({c} AS BIGINT) AS {c}" for c in longs]
     casts += [f"CAST({c} AS VARCHAR) AS {c}" for c in texts]
     if sql is not None and casts:

@@ -35,6 +35,9 @@ def with_tables(body: str, *names: str) -> str:
     for n in names:
         visit(n)
     parts = ",\n".join(f"{n} AS MATERIALIZED ({TABLES[n][0]})" for n in order)
+    own = body.lstrip()
+    if own.startswith("WITH "):
+        return f"WITH {parts},\n{own.removeprefix('WITH ')}"
     return f"WITH {parts}\n{body}"
 
 
