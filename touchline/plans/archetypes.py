@@ -102,7 +102,7 @@ def pca_loadings(df: DataFrame, model: StyleModel) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "component string, feature string, loading double")
 
 
-def _vectors(projected: DataFrame, n: int) -> DataFrame:
+def component_vectors(projected: DataFrame, n: int) -> DataFrame:
     parts = projected.select("*", *[F.element_at("components", i + 1).alias(f"_c{i}") for i in range(n)])
     return assemble(parts, [f"_c{i}" for i in range(n)], "_v").drop(*[f"_c{i}" for i in range(n)])
 
@@ -171,7 +171,7 @@ def assign_archetypes(
     scaled = preprocess(outfield, features)
     model = fit_pca(scaled, features, variance)
     projected = materialize(project(scaled, model), "projected")
-    vectors = _vectors(projected, model.n_components).cache()
+    vectors = component_vectors(projected, model.n_components).cache()
     model.kmeans = fit_kmeans(vectors, k, starts)
     clustered = model.kmeans.transform(vectors).drop("_v")
     clustered = materialize(clustered, "clustered")
@@ -193,7 +193,7 @@ def assign_archetypes(
 
 def k_scan(projected: DataFrame, n_components: int, ks: Sequence[int], seed: int = SEED) -> DataFrame:
     """Training cost and silhouette per number of clusters (silhouette on squared distances)."""
-    vectors = _vectors(projected, n_components).cache()
+    vectors = component_vectors(projected, n_components).cache()
     judge = ClusteringEvaluator(featuresCol="_v", predictionCol="cluster")
     rows = []
     for k in ks:

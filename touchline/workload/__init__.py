@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("q_sources", "q_staging", "q_aggregates", "q_windows")
+MODULES = ("q_sources", "q_staging", "q_aggregates", "q_windows", "q_scoring")
 
 
 def all_queries():
