@@ -14,6 +14,7 @@ from touchline.operators.aggregates import exact_percentiles, share_of_all
 from touchline.operators.reshape import crosstab, row_pct, two_context_wide
 from touchline.operators.windows import dominant, top_n, with_rank
 from touchline.plans.players import dual_context
+from touchline.session import materialize
 
 
 def feature_weights(loadings: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
@@ -95,9 +96,12 @@ def with_quadrant(wide: DataFrame) -> DataFrame:
 
 
 def consistency_scores(contexts: DataFrame, loadings: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
-    """Full scoring from per-context z-scores and loadings, least consistent first."""
-    wide = score_wide(eligible(contexts), feature_weights(loadings, features), features)
-    scored = with_quadrant(with_consistency(wide, features))
+    """Full scoring from per-context z-scores and loadings, least consistent first.
+
+    One row per player is written before the medians are taken from it.
+    """
+    wide = with_consistency(score_wide(eligible(contexts), feature_weights(loadings, features), features), features)
+    scored = with_quadrant(materialize(wide, "scores"))
     return scored.select(
         "player_id",
         "player_name",
@@ -243,7 +247,8 @@ def enrich(scores: DataFrame, player_match: DataFrame, matches: DataFrame, compe
 
 def consistency_by(scores: DataFrame, key: str, order: Sequence[str], value: str = "consistency_score") -> DataFrame:
     """Players, mean, median and sample sd per group, with the fixed display order."""
-    rows = scores.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
+    known = F.col(key).isNotNull() & F.col(value).isNotNull()
+    rows = materialize(scores.filter(known).select("player_id", key, value), "groups")
     basics = rows.groupBy(key).agg(
         F.count_distinct("player_id").alias("n_players"),
         F.avg(value).alias("mean_consistency"),

@@ -97,8 +97,9 @@ def top_takers(trades: DataFrame, n: int = 15) -> DataFrame:
 
 def fix_epoch(odds: DataFrame, column: str = "timestamp", before: str = "1971-01-01") -> DataFrame:
     """Repairs times whose epoch seconds were read as milliseconds; sane times stay."""
-    broken = F.col(column) < F.lit(before).cast("timestamp")
-    return odds.withColumn(column, F.when(broken, F.timestamp_seconds(F.unix_millis(column))).otherwise(F.col(column)))
+    stored = F.col(column).cast("timestamp")
+    broken = stored < F.lit(before).cast("timestamp")
+    return odds.withColumn(column, F.when(broken, F.timestamp_seconds(F.unix_millis(stored))).otherwise(stored))
 
 
 def price_check(odds: DataFrame, column: str = "price") -> DataFrame:

@@ -15,6 +15,7 @@ from touchline.operators.joins import known_only, left_join_filled
 from touchline.operators.standardize import zscores
 from touchline.operators.windows import dominant, top_n
 from touchline.plans.staging import mens_scope
+from touchline.session import materialize
 
 COUNTERS = (
     "shots",
@@ -203,8 +204,10 @@ def club_vs_national(player_match: DataFrame, matches: DataFrame, min_minutes: f
     """Per-context rates with z-scores of the 13 style features, players of both contexts only.
 
     The z-scores are taken over everyone with enough minutes, before the filter.
+    The rates are read three times (statistics, rows, filter), so they are
+    written once.
     """
-    rates = context_per90(context_totals(player_match, matches, min_minutes))
+    rates = materialize(context_per90(context_totals(player_match, matches, min_minutes)), "contexts")
     return dual_context(zscores(rates, FEATURES, ["is_international"]))
 
 

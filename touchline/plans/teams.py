@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.constants import FORM_MATCHES, MIN_MATCHES
 from touchline.functions.labels import points, side_result
 from touchline.functions.rates import ratio
-from touchline.operators.aggregates import conditional_counts, share_of_group
+from touchline.operators.aggregates import conditional_counts
 from touchline.operators.joins import attach_sides
 from touchline.operators.reshape import match_sides
 from touchline.operators.slices import ROWS_PER_SLICE
 from touchline.operators.windows import latest, prior_meetings, rolling_means
 from touchline.plans.staging import mens_scope
+from touchline.session import materialize
 
 FORM = {
     "rolling_avg_xg": "total_xg",
@@ -46,7 +47,9 @@ def team_match_aggregates(events: DataFrame) -> DataFrame:
 
 def match_stats(events: DataFrame, matches: DataFrame) -> DataFrame:
     """Team statistics per men's match; possession is the team's share of all passes."""
-    shares = share_of_group(team_match_aggregates(events), ["match_id"], "passes_attempted", "possession_share")
+    # only the few team rows of a match meet in its window
+    all_passes = F.sum("passes_attempted").over(Window.partitionBy("match_id"))
+    shares = team_match_aggregates(events).withColumn("possession_share", ratio("passes_attempted", all_passes))
     meta = mens_scope(matches).select(
         "match_id", "match_date", "competition_id", "competition_name", "season_id", "season_name",
         "home_team", "away_team", "match_result",
@@ -85,11 +88,12 @@ def rolling_form(stats: DataFrame, n: int = FORM_MATCHES, rows_per_slice: int =
     """Mean of five measures over the team's previous n matches, per team-match.
 
     Runs across seasons and competitions. Matches on one day are ordered by id.
+    Team rows are few next to events, and are written before the passes over them.
     """
     scored = stats.withColumn("points_earned", points("side", "match_result")).select(
         "match_id", "match_date", "team", "side", "competition_id", "season_id", *FORM.values()
     )
-    form = rolling_means(scored, ["team"], ["match_date", "match_id"], FORM, n, rows_per_slice)
+    form = rolling_means(materialize(scored, "team-matches"), ["team"], ["match_date", "match_id"], FORM, n, rows_per_slice)
     return form.select("match_id", "match_date", "team", "side", "competition_id", "season_id", *FORM)
 
 
@@ -100,19 +104,30 @@ def latest_form(form: DataFrame) -> DataFrame:
 
 
 def match_features(matches: DataFrame, form: DataFrame) -> DataFrame:
-    """One row per match with both sides' form and the earlier meetings: the modelling table."""
+    """One row per match with both sides' form and the earlier meetings: the modelling table.
+
+    Matches without form rows for both sides are left out. Both sides come from
+    one join and are folded without a further shuffle.
+    """
     base = matches.select(
         "match_id", "match_date", "competition_id", "competition_name", "season_name",
         "home_team", "away_team", "match_result",
     )
-    out = base
-    for side in ("home", "away"):
-        own = form.filter(F.col("side") == side).select(
-            "match_id",
-            F.col("team").alias(f"{side}_team"),
-            *[F.col(c).alias(f"{side}_{short}") for c, short in FORM_SHORT.items()],
+    rows = base.join(form.select("match_id", "team", "side", *FORM), on="match_id", how="inner")
+    own = {s: (F.col("side") == s) & (F.col("team") == F.col(f"{s}_team")) for s in ("home", "away")}
+    out = (
+        rows.groupBy(*base.columns)
+        .agg(
+            *[F.count_if(test).alias(f"_{s}") for s, test in own.items()],
+            *[
+                F.max(F.when(test, F.col(c))).alias(f"{s}_{short}")
+                for s, test in own.items()
+                for c, short in FORM_SHORT.items()
+            ],
         )
-        out = out.join(own, on=["match_id", f"{side}_team"], how="inner")
+        .filter((F.col("_home") > 0) & (F.col("_away") > 0))
+        .drop("_home", "_away")
+    )
     history = prior_meetings(matches, "match_id", "match_date", "home_team", "away_team", "match_result")
     return out.join(history.select("match_id", "h2h_home_win_pct"), on="match_id", how="left")
 

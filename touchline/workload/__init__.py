@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("q_sources", "q_staging", "q_aggregates", "q_windows", "q_scoring")
+MODULES = ("q_sources", "q_staging", "q_aggregates", "q_windows", "q_scoring", "q_markets", "q_marts", "q_quality", "q_streams")
 
 
 def all_queries():

@@ -2,94 +2,87 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.constants import ARCHETYPES, GOALKEEPER
-from touchline.plans import consistency, international, players, staging, teams
 from touchline.operators.joins import rename_in_force
+from touchline.plans import consistency, international, players, staging, teams
+from touchline.session import materialize
 from touchline.workload import feeds
 from touchline.workload.tables_sql import LOADINGS
 
 
-def stg_matches(spark: SparkSession, d: str) -> DataFrame:
-    return staging.matches(feeds.raw_matches(spark, d))
-
-
-def stg_events(spark: SparkSession, d: str) -> DataFrame:
-    return staging.events(feeds.raw_events(spark, d), stg_matches(spark, d))
-
-
-def stg_lineups(spark: SparkSession, d: str) -> DataFrame:
-    return staging.lineups(feeds.raw_lineups(spark, d), stg_matches(spark, d))
-
-
-def player_match(spark: SparkSession, d: str) -> DataFrame:
-    return players.player_match_stats(stg_lineups(spark, d), stg_events(spark, d))
-
-
-def season(spark: SparkSession, d: str) -> DataFrame:
-    return players.player_season_stats(player_match(spark, d), stg_matches(spark, d))
-
-
-def contexts(spark: SparkSession, d: str) -> DataFrame:
-    return players.context_per90(players.context_totals(player_match(spark, d), stg_matches(spark, d)))
-
-
-def club_national(spark: SparkSession, d: str) -> DataFrame:
-    return players.club_vs_national(player_match(spark, d), stg_matches(spark, d))
-
-
-def match_stats(spark: SparkSession, d: str) -> DataFrame:
-    return teams.match_stats(stg_events(spark, d), stg_matches(spark, d))
-
-
-def form(spark: SparkSession, d: str) -> DataFrame:
-    return teams.rolling_form(match_stats(spark, d))
-
-
 def loadings(spark: SparkSession) -> DataFrame:
     """A given loading table, so that scores can be checked by SQL."""
     return spark.createDataFrame(LOADINGS, "component string, feature string, loading double")
 
 
-def assignments(spark: SparkSession, d: str) -> DataFrame:
+def _assignments(run: Run) -> DataFrame:
     """Archetypes by a fixed rule instead of a trained model, so that marts can be checked by SQL."""
     keeper = F.coalesce(F.col("position_name") == GOALKEEPER, F.lit(False))
     number = ((F.col("player_id") + F.col("competition_id") * 3 + F.col("season_id")) % 5).cast("int")
     names = F.array(*[F.lit(a) for a in ARCHETYPES])
-    return season(spark, d).select(
+    return run.season.select(
         "player_id", "player_name", "competition_id", "season_id", "total_minutes",
         F.when(keeper, F.lit(-1)).otherwise(number).alias("cluster"),
         F.when(keeper, F.lit(GOALKEEPER)).otherwise(F.element_at(names, number + 1)).alias("archetype"),
     )
 
 
-def wide_scores(spark: SparkSession, d: str) -> DataFrame:
-    weights = consistency.feature_weights(loadings(spark))
-    return consistency.with_consistency(consistency.score_wide(consistency.eligible(club_national(spark, d)), weights))
-
-
-def scores(spark: SparkSession, d: str) -> DataFrame:
-    return consistency.consistency_scores(club_national(spark, d), loadings(spark))
-
-
-def gaps(spark: SparkSession, d: str) -> DataFrame:
-    return consistency.gap_table(wide_scores(spark, d), consistency.feature_weights(loadings(spark)))
-
-
-def results_now(spark: SparkSession, d: str) -> DataFrame:
+def _results_now(run: Run) -> DataFrame:
     """International results with today's team names."""
-    names = feeds.former_names(spark, d)
-    out = feeds.results(spark, d)
+    names = feeds.former_names(run.spark, run.folder)
+    out = feeds.results(run.spark, run.folder)
     for side in ("home_team", "away_team"):
         out = rename_in_force(out, names, side, "date")
     return out
 
 
-def rated_players(spark: SparkSession, d: str) -> DataFrame:
-    return international.with_team(feeds.players(spark, d), feeds.PLAYER_ALIASES)
-
-
-def ranked(spark: SparkSession, d: str) -> DataFrame:
-    return international.ranked(feeds.rankings(spark, d))
+TABLES: dict[str, Callable[[Run], DataFrame]] = {
+    "raw_matches": lambda r: feeds.raw_matches(r.spark, r.folder),
+    "raw_events": lambda r: feeds.raw_events(r.spark, r.folder),
+    "raw_lineups": lambda r: feeds.raw_lineups(r.spark, r.folder),
+    "stg_matches": lambda r: staging.matches(r.raw_matches),
+    "stg_events": lambda r: staging.events(r.raw_events, r.stg_matches),
+    "stg_lineups": lambda r: staging.lineups(r.raw_lineups, r.stg_matches),
+    "player_match": lambda r: players.player_match_stats(r.stg_lineups, r.stg_events),
+    "season": lambda r: players.player_season_stats(r.player_match, r.stg_matches),
+    "contexts": lambda r: players.context_per90(players.context_totals(r.player_match, r.stg_matches)),
+    "club_national": lambda r: players.club_vs_national(r.player_match, r.stg_matches),
+    "match_stats": lambda r: teams.match_stats(r.stg_events, r.stg_matches),
+    "form": lambda r: teams.rolling_form(r.match_stats),
+    "assignments": _assignments,
+    "loadings": lambda r: loadings(r.spark),
+    "weights": lambda r: consistency.feature_weights(r.loadings),
+    "wide_scores": lambda r: consistency.with_consistency(
+        consistency.score_wide(consistency.eligible(r.club_national), r.weights)
+    ),
+    "scores": lambda r: consistency.consistency_scores(r.club_national, r.loadings),
+    "gaps": lambda r: consistency.gap_table(r.wide_scores, r.weights),
+    "results_now": _results_now,
+    "rated_players": lambda r: international.with_team(feeds.players(r.spark, r.folder), feeds.PLAYER_ALIASES),
+    "ranked": lambda r: international.ranked(feeds.rankings(r.spark, r.folder)),
+}
+
+
+class Run:
+    """The derived tables of one query run.
+
+    A table that a query reads more than once is named in ``stored``: it is
+    then computed once and written to the shared folder.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, *stored: str):
+        self.spark, self.folder = spark, folder
+        self._stored, self._made = set(stored), {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in TABLES:
+            raise AttributeError(name)
+        if name not in self._made:
+            df = TABLES[name](self)
+            self._made[name] = materialize(df, name) if name in self._stored else df
+        return self._made[name]

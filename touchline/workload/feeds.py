@@ -226,7 +226,7 @@ def odds(spark: SparkSession, folder: str) -> DataFrame:
         "event_id",
         "user_id AS market_id",
         "user_id * 10 + event_id % 2 AS token_id",
-        "timestamp_millis(unix_seconds(ts)) AS timestamp",
+        "timestamp_millis(unix_seconds(cast(ts AS timestamp))) AS timestamp",
         "(event_id % 1006) / 1000D - 0.0025D AS price",
     )
 

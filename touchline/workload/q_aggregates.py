@@ -16,25 +16,25 @@ from touchline.workload.tables_sql import COUNTERS, with_tables
 @query("player_match_events", ["D1"], with_tables("SELECT * FROM player_match_events", "player_match_events"),
        doubles=["total_xg"])
 def player_match_events(spark, d):
-    return players.player_match_events(base.stg_events(spark, d))
+    return players.player_match_events(base.Run(spark, d).stg_events)
 
 
 @query("player_match_stats", ["D2", "C2"], with_tables("SELECT * FROM player_match_stats", "player_match_stats"),
        doubles=["minutes_played", "total_xg", "pass_completion_pct"])
 def player_match_stats(spark, d):
-    return base.player_match(spark, d)
+    return base.Run(spark, d).player_match
 
 
 @query("match_stats", ["D3", "D4"], with_tables("SELECT * FROM match_stats", "match_stats"),
        doubles=["total_xg", "pass_completion_pct", "possession_share"], longs=["competition_id", "season_id"], texts=["match_date"])
 def match_stats(spark, d):
-    return base.match_stats(spark, d)
+    return base.Run(spark, d).match_stats
 
 
 @query("player_season_totals", ["D5", "D7", "D8"], with_tables("SELECT * FROM season_totals", "season_totals"),
        doubles=["total_minutes", "total_xg"], longs=["competition_id", "season_id"])
 def player_season_totals(spark, d):
-    return players.player_season_totals(base.player_match(spark, d), base.stg_matches(spark, d))
+    return players.player_season_totals(base.Run(spark, d).player_match, base.Run(spark, d).stg_matches)
 
 
 _SEASON_DOUBLES = ["total_minutes", "total_xg", "pass_completion_pct", "xg_per_shot"] + list(players.RATE_OF)
@@ -43,7 +43,7 @@ _SEASON_DOUBLES = ["total_minutes", "total_xg", "pass_completion_pct", "xg_per_s
 @query("player_season_stats", ["D6"], with_tables("SELECT * FROM season", "season"),
        doubles=_SEASON_DOUBLES, longs=["competition_id", "season_id"])
 def player_season_stats(spark, d):
-    return base.season(spark, d)
+    return base.Run(spark, d).season
 
 
 @query("team_season_stats", ["D9"], with_tables("SELECT * FROM team_season", "team_season"),
@@ -52,19 +52,19 @@ def player_season_stats(spark, d):
 def team_season_stats(spark, d):
     from touchline.plans.teams import team_season_stats as build
 
-    return build(base.match_stats(spark, d))
+    return build(base.Run(spark, d).match_stats)
 
 
 @query("context_per90", ["D10", "D11"], with_tables("SELECT * FROM contexts", "contexts"),
        doubles=_SEASON_DOUBLES + list(players.CONTEXT_ONLY_RATES))
 def context_per90(spark, d):
-    return base.contexts(spark, d)
+    return base.Run(spark, d).contexts
 
 
 @query("club_vs_national", ["D12", "E3"], with_tables("SELECT * FROM club_national", "club_national"),
        doubles=_SEASON_DOUBLES + list(players.CONTEXT_ONLY_RATES) + [f"z_{f}" for f in players.FEATURES])
 def club_vs_national(spark, d):
-    return base.club_national(spark, d)
+    return base.Run(spark, d).club_national
 
 
 # --- straight from raw rows -----------------------------------------------------------------------
@@ -84,7 +84,7 @@ _TYPED = """SELECT e.*, s.location_x, s.shot_xg, nullif(e.pass_outcome, 'None')
 
 def _typed_events(spark, d):
     """Staged events with player id and duration; identical raw rows are one event."""
-    staged = base.stg_events(spark, d).select(
+    staged = base.Run(spark, d).stg_events.select(
         F.col("event_id").alias("id"), "match_id", F.col("event_type").alias("type"), "location_x", "shot_xg", "pass_outcome"
     ).distinct()
     raw = feeds.raw_events(spark, d).select("id", "player_id", "duration").distinct()
@@ -110,7 +110,7 @@ _EVENT_CTE = """
     doubles=_RAW_DOUBLES,
 )
 def raw_player_season(spark, d):
-    return players.raw_player_season(_typed_events(spark, d), base.stg_lineups(spark, d), base.stg_matches(spark, d), 30)
+    return players.raw_player_season(_typed_events(spark, d), base.Run(spark, d).stg_lineups, base.Run(spark, d).stg_matches, 30)
 
 
 @query(
@@ -132,7 +132,7 @@ def raw_player_season(spark, d):
     doubles=_RAW_DOUBLES,
 )
 def raw_player_context(spark, d):
-    return players.raw_player_context(_typed_events(spark, d), base.stg_lineups(spark, d), base.stg_matches(spark, d), 270)
+    return players.raw_player_context(_typed_events(spark, d), base.Run(spark, d).stg_lineups, base.Run(spark, d).stg_matches, 270)
 
 
 _CTX_COUNTS = """count(*) FILTER (event_type = 'Shot') AS shots, sum(shot_xg) FILTER (event_type = 'Shot') AS xg,
@@ -150,7 +150,7 @@ CONTEXT_EVENTS_SQL = f"""
 
 @query("player_context_events", ["D15", "D27"], with_tables(CONTEXT_EVENTS_SQL, "stg_events", "stg_matches"), doubles=["xg"])
 def player_context_events(spark, d):
-    return players.player_context_events(base.stg_events(spark, d), base.stg_matches(spark, d))
+    return players.player_context_events(base.Run(spark, d).stg_events, base.Run(spark, d).stg_matches)
 
 
 def _clock(c: str) -> str:
@@ -176,7 +176,7 @@ CONTEXT_MINUTES_SQL = minutes_sql(_CONTEXT, "context")
 
 @query("player_minutes", ["D16"], with_tables(CONTEXT_MINUTES_SQL, "stg_lineups", "stg_matches"), doubles=["total_minutes"])
 def player_minutes(spark, d):
-    return players.player_minutes(base.stg_lineups(spark, d), base.stg_matches(spark, d))
+    return players.player_minutes(base.Run(spark, d).stg_lineups, base.Run(spark, d).stg_matches)
 
 
 @query(
@@ -199,7 +199,7 @@ def player_minutes(spark, d):
     + [f"{c}_p90" for c in ("xg", "shots", "passes", "passes_att_third", "pressures", "carries", "dribbles", "interceptions", "blocks", "clearances", "duels")],
 )
 def player_features(spark, d):
-    return players.player_features(_typed_events(spark, d), base.stg_lineups(spark, d), base.stg_matches(spark, d))
+    return players.player_features(_typed_events(spark, d), base.Run(spark, d).stg_lineups, base.Run(spark, d).stg_matches)
 
 
 _PROFILE = ("shots", "xg", "passes", "passes_completed", "pressures", "carries")
@@ -225,12 +225,12 @@ _PROFILE_DOUBLES = [f"{c}_p90" for c in _PROFILE] + ["pass_completion_pct"]
 
 @query("tournament_profile", ["D18"], with_tables(_profile_sql("true"), "stg_events", "stg_lineups", "stg_matches"), doubles=_PROFILE_DOUBLES)
 def tournament_profile(spark, d):
-    return players.competition_profile(base.stg_events(spark, d), base.stg_lineups(spark, d), base.stg_matches(spark, d), True)
+    return players.competition_profile(base.Run(spark, d).stg_events, base.Run(spark, d).stg_lineups, base.Run(spark, d).stg_matches, True)
 
 
 @query("league_profile", ["D18"], with_tables(_profile_sql("false"), "stg_events", "stg_lineups", "stg_matches"), doubles=_PROFILE_DOUBLES)
 def league_profile(spark, d):
-    return players.competition_profile(base.stg_events(spark, d), base.stg_lineups(spark, d), base.stg_matches(spark, d), False)
+    return players.competition_profile(base.Run(spark, d).stg_events, base.Run(spark, d).stg_lineups, base.Run(spark, d).stg_matches, False)
 
 
 # --- reports ---------------------------------------------------------------------------------------
@@ -303,7 +303,7 @@ def outcome_rates_by_tournament(spark, d):
 )
 def outcome_rate_levels(spark, d):
     levels = [[], ["competition_name"], ["competition_name", "season_name"]]
-    return aggregates.outcome_rate_levels(base.stg_matches(spark, d), levels, ["competition_name", "season_name"])
+    return aggregates.outcome_rate_levels(base.Run(spark, d).stg_matches, levels, ["competition_name", "season_name"])
 
 
 def _summary_sql(c: str, source: str, keys: str = "", name: str = "") -> str:
@@ -362,7 +362,7 @@ def percentiles_of_heavy_groups(spark, d):
     ),
 )
 def xg_histogram(spark, d):
-    return exploration.xg_histogram(base.stg_events(spark, d))
+    return exploration.xg_histogram(base.Run(spark, d).stg_events)
 
 
 @query(
@@ -378,7 +378,7 @@ def xg_histogram(spark, d):
     ),
 )
 def minute_bins(spark, d):
-    return exploration.minute_bins(exploration.stint_minutes(base.stg_lineups(spark, d)))
+    return exploration.minute_bins(exploration.stint_minutes(base.Run(spark, d).stg_lineups))
 
 
 @query(
@@ -402,7 +402,7 @@ def approximate_quantiles(spark, d):
     ),
 )
 def distinct_counts(spark, d):
-    return exploration.distinct_counts(base.stg_lineups(spark, d), ["player_name", "position_name", "team_name"])
+    return exploration.distinct_counts(base.Run(spark, d).stg_lineups, ["player_name", "position_name", "team_name"])
 
 
 @query(
@@ -416,7 +416,7 @@ def distinct_counts(spark, d):
     doubles=["total_xg", "avg_xg_per_shot"],
 )
 def xg_leaders(spark, d):
-    return exploration.xg_leaders(base.stg_events(spark, d))
+    return exploration.xg_leaders(base.Run(spark, d).stg_events)
 
 
 @query(
@@ -431,7 +431,7 @@ def xg_leaders(spark, d):
     doubles=["completion_pct"],
 )
 def pass_leaders(spark, d):
-    return exploration.pass_leaders(base.stg_events(spark, d), min_passes=100)
+    return exploration.pass_leaders(base.Run(spark, d).stg_events, min_passes=100)
 
 
 @query(
@@ -440,7 +440,7 @@ def pass_leaders(spark, d):
     with_tables("SELECT minute, count(*) AS events FROM stg_events WHERE period IN (1, 2) AND minute <= 95 GROUP BY 1", "stg_events"),
 )
 def tempo(spark, d):
-    return exploration.tempo(base.stg_events(spark, d))
+    return exploration.tempo(base.Run(spark, d).stg_events)
 
 
 @query(
@@ -478,7 +478,7 @@ def players_per_frame(spark, d):
     ),
 )
 def shot_grid(spark, d):
-    return exploration.shot_grid(base.stg_events(spark, d))
+    return exploration.shot_grid(base.Run(spark, d).stg_events)
 
 
 _CORR = ("xg_per_90", "shots_per_90", "passes_per_90", "duels_per_90")
@@ -489,7 +489,7 @@ _CORR_SQL = " UNION ALL ".join(
 
 @query("feature_correlations", ["D34"], with_tables(_CORR_SQL, "season"), doubles=["corr"])
 def feature_correlations(spark, d):
-    return aggregates.corr_matrix(base.season(spark, d), _CORR)
+    return aggregates.corr_matrix(base.Run(spark, d).season, _CORR)
 
 
 _NULLS = ("location_x", "location_y", "shot_xg", "pass_outcome")
@@ -508,7 +508,7 @@ _NULLS = ("location_x", "location_y", "shot_xg", "pass_outcome")
     doubles=["pct_null"],
 )
 def null_profile(spark, d):
-    return aggregates.null_profile(base.stg_events(spark, d), _NULLS)
+    return aggregates.null_profile(base.Run(spark, d).stg_events, _NULLS)
 
 
 @query(
@@ -546,12 +546,12 @@ _GAPS = ("xg_per_90", "passes_per_90", "pass_completion_pct")
     doubles=["club_mean", "national_mean", "delta", "delta_pct"],
 )
 def context_means(spark, d):
-    return aggregates.group_mean_gap(base.club_national(spark, d), "is_international", _GAPS)
+    return aggregates.group_mean_gap(base.Run(spark, d).club_national, "is_international", _GAPS)
 
 
 @query("goal_distribution", ["D38"], with_tables("SELECT home_score + away_score AS total_goals, count(*) AS n FROM stg_matches GROUP BY 1", "stg_matches"))
 def goal_distribution(spark, d):
-    return exploration.goal_distribution(base.stg_matches(spark, d))
+    return exploration.goal_distribution(base.Run(spark, d).stg_matches)
 
 
 @query(
@@ -566,7 +566,7 @@ def goal_distribution(spark, d):
     texts=["earliest", "latest"],
 )
 def competition_landscape(spark, d):
-    return exploration.landscape(staging.mens_scope(base.stg_matches(spark, d)))
+    return exploration.landscape(staging.mens_scope(base.Run(spark, d).stg_matches))
 
 
 @query(
@@ -580,7 +580,7 @@ def competition_landscape(spark, d):
     doubles=["mean_xg", "sd_xg", "min_xg", "max_xg"],
 )
 def shot_xg_summary(spark, d):
-    return exploration.shot_summary(base.stg_events(spark, d))
+    return exploration.shot_summary(base.Run(spark, d).stg_events)
 
 
 @query(
@@ -636,8 +636,8 @@ def rating_join_coverage(spark, d):
     from touchline.plans.international import team_strength
     from touchline.plans.teams import long_results
 
-    completed, _ = staging.split_completed(base.results_now(spark, d))
-    strength = team_strength(base.rated_players(spark, d)).withColumnsRenamed({"intl_team": "team", "year": "match_year"})
+    completed, _ = staging.split_completed(base.Run(spark, d).results_now)
+    strength = team_strength(base.Run(spark, d).rated_players).withColumnsRenamed({"intl_team": "team", "year": "match_year"})
     long = long_results(completed)
     return joins.coverage(joins.attach_year(long, strength, ["team", "match_year"], ["top11_overall"]), "top11_overall")
 

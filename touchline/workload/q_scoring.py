@@ -32,7 +32,7 @@ def weighted_feature_totals(spark, d):
     from touchline.operators.reshape import unpivot_present
 
     weights = consistency.feature_weights(base.loadings(spark))
-    sums = unpivot_present(base.season(spark, d), ["player_id"], FEATURES).groupBy("player_id", "feature").agg(F.sum("value").alias("v"))
+    sums = unpivot_present(base.Run(spark, d).season, ["player_id"], FEATURES).groupBy("player_id", "feature").agg(F.sum("value").alias("v"))
     return sums.join(weights, on="feature").select("player_id", "feature", (F.col("v") * F.col("weight")).alias("weighted"))
 
 
@@ -45,12 +45,12 @@ _SCORE_DOUBLES = ["club_performance_score", "national_performance_score", "consi
        with_tables("SELECT player_id, club_performance_score, national_performance_score, consistency_score FROM scored", "scored"),
        doubles=["club_performance_score", "national_performance_score", "consistency_score"])
 def performance_scores(spark, d):
-    return base.wide_scores(spark, d).select("player_id", "club_performance_score", "national_performance_score", "consistency_score")
+    return base.Run(spark, d).wide_scores.select("player_id", "club_performance_score", "national_performance_score", "consistency_score")
 
 
 @query("consistency_scores", ["H5", "H6", "O3"], with_tables(f"SELECT {_SCORES} FROM scores", "scores"), doubles=_SCORE_DOUBLES)
 def consistency_scores(spark, d):
-    return base.scores(spark, d)
+    return base.Run(spark, d).scores
 
 
 _DELTAS = [f"delta_{f}" for f in FEATURES]
@@ -74,7 +74,7 @@ _CONTRIB = {f: f"abs(delta_{f}) * {_weight(f)}" for f in FEATURES}
     doubles=["performance_gap", "total_weighted_gap", *_DELTAS, *[f"contrib_{f}" for f in FEATURES]],
 )
 def gap_table(spark, d):
-    return base.gaps(spark, d)
+    return base.Run(spark, d).gaps
 
 
 @query(
@@ -89,7 +89,7 @@ def gap_table(spark, d):
     doubles=["mean_abs_delta_z", "mean_delta_z", "importance", "pct_of_total"],
 )
 def feature_importance(spark, d):
-    return consistency.feature_importance(base.gaps(spark, d))
+    return consistency.feature_importance(base.Run(spark, d).gaps)
 
 
 def _specialist(f: str) -> str:
@@ -109,7 +109,8 @@ def _specialist(f: str) -> str:
     doubles=["club_mean_dz", "nat_mean_dz", "club_importance", "nat_importance", "difference"],
 )
 def specialist_separation(spark, d):
-    return consistency.specialist_compare(base.gaps(spark, d), base.scores(spark, d))
+    run = base.Run(spark, d, "club_national")
+    return consistency.specialist_compare(run.gaps, run.scores)
 
 
 @query(
@@ -123,7 +124,7 @@ def specialist_separation(spark, d):
     doubles=["specialist_score"],
 )
 def club_specialists(spark, d):
-    return consistency.specialist_top(base.scores(spark, d), "Club Specialist", 5).select("player_id", "specialist_score")
+    return consistency.specialist_top(base.Run(spark, d).scores, "Club Specialist", 5).select("player_id", "specialist_score")
 
 
 _SHIFT = ("xg_per_90", "shots_per_90", "passes_per_90", "carries_att_third_per_90", "carries_per_90", "passes_att_third_per_90",
@@ -145,7 +146,7 @@ _SHIFT = ("xg_per_90", "shots_per_90", "passes_per_90", "carries_att_third_per_9
 def context_shift_score(spark, d):
     from touchline.operators.reshape import two_context_wide
 
-    rows = consistency.eligible(base.club_national(spark, d))
+    rows = consistency.eligible(base.Run(spark, d).club_national)
     wide = two_context_wide(rows, ["player_id"], "is_international", [*_SHIFT, "total_minutes"], delta=None)
     return consistency.context_shift(wide.withColumnsRenamed({"club_total_minutes": "club_minutes", "nat_total_minutes": "national_minutes"}))
 
@@ -161,7 +162,7 @@ def context_shift_score(spark, d):
     doubles=["pct"],
 )
 def quadrant_distribution(spark, d):
-    return consistency.quadrant_distribution(base.scores(spark, d))
+    return consistency.quadrant_distribution(base.Run(spark, d).scores)
 
 
 @query(
@@ -175,11 +176,12 @@ def quadrant_distribution(spark, d):
     doubles=["notable_score"],
 )
 def notable_players(spark, d):
-    return consistency.notable(base.scores(spark, d)).select("player_id", "performance_quadrant", "notable_score")
+    return consistency.notable(base.Run(spark, d).scores).select("player_id", "performance_quadrant", "notable_score")
 
 
 def _enriched(spark, d):
-    return consistency.enrich(base.scores(spark, d), base.player_match(spark, d), base.stg_matches(spark, d), tuple(COMPETITION_LABELS))
+    run = base.Run(spark, d, "player_match")
+    return consistency.enrich(run.scores, run.player_match, run.stg_matches, tuple(COMPETITION_LABELS))
 
 
 _ENRICHED = f"""
@@ -254,7 +256,7 @@ _CONTEXT_NEEDS = ("stg_events", "stg_lineups", "stg_matches")
 
 
 def _context_table(spark, d):
-    return players.player_context_table(base.stg_events(spark, d), base.stg_lineups(spark, d), base.stg_matches(spark, d))
+    return players.player_context_table(base.Run(spark, d).stg_events, base.Run(spark, d).stg_lineups, base.Run(spark, d).stg_matches)
 
 
 @query("player_context_table", ["H17"], with_tables(_CONTEXT_TABLE, *_CONTEXT_NEEDS), doubles=_CONTEXT_DOUBLES)
@@ -328,8 +330,9 @@ def segment_priority_chi2(spark, d):
 def _roles(spark, d):
     from touchline.functions.labels import competition_label, position_group
 
-    named = base.season(spark, d).join(
-        base.assignments(spark, d).select("player_id", "competition_id", "season_id", "cluster"),
+    run = base.Run(spark, d, "season")
+    named = run.season.join(
+        run.assignments.select("player_id", "competition_id", "season_id", "cluster"),
         on=["player_id", "competition_id", "season_id"],
     )
     return named.select(
@@ -393,7 +396,7 @@ def click_purchase_u_test_sliced(spark, d):
 
 @query("defender_forward_u_test", ["I5", "H15"], None)
 def defender_forward_u_test(spark, d):
-    rows = _enriched(spark, d).filter(F.col("position_group").isin("CB", "FB", "FW"))
+    rows = materialize(_enriched(spark, d).filter(F.col("position_group").isin("CB", "FB", "FW")), "enriched")
     return statistics.mann_whitney(rows, F.col("position_group").isin("CB", "FB"), "consistency_score")
 
 
@@ -435,7 +438,7 @@ def _scaled_sql() -> str:
 
 
 def _scaled(spark, d):
-    outfield, _ = archetypes.split_goalkeepers(archetypes.cluster_features(base.season(spark, d)))
+    outfield, _ = archetypes.split_goalkeepers(archetypes.cluster_features(base.Run(spark, d).season))
     return archetypes.preprocess(outfield)
 
 
@@ -456,13 +459,13 @@ def scaled_features(spark, d):
     longs=["competition_id", "season_id"],
 )
 def goalkeeper_rows(spark, d):
-    _, keepers = archetypes.split_goalkeepers(base.season(spark, d))
+    _, keepers = archetypes.split_goalkeepers(base.Run(spark, d).season)
     return archetypes.goalkeeper_rows(keepers).select("player_id", "competition_id", "season_id", "cluster", "archetype", "pc1")
 
 
 @query("trained_archetypes", ["G6", "G8", "G9", "F14"], None)
 def trained_archetypes(spark, d):
-    return archetypes.assign_archetypes(base.season(spark, d))[0]
+    return archetypes.assign_archetypes(base.Run(spark, d).season)[0]
 
 
 @query("trained_loadings", ["G6", "G7"], None)
@@ -514,7 +517,8 @@ _PROFILE = ("xg_per_90", "passes_per_90", "duels_per_90")
 )
 def cluster_profile(spark, d):
     keys = ["player_id", "competition_id", "season_id"]
-    named = base.season(spark, d).join(base.assignments(spark, d).select(*keys, "cluster"), on=keys)
+    run = base.Run(spark, d, "season")
+    named = run.season.join(run.assignments.select(*keys, "cluster"), on=keys)
     return archetypes.cluster_profile(named, "cluster", _PROFILE, "position_name")
 
 
@@ -532,7 +536,7 @@ def cluster_profile(spark, d):
     longs=["competition_id", "season_id"],
 )
 def component_scores(spark, d):
-    return marts.season_coordinates(base.season(spark, d), base.loadings(spark))
+    return marts.season_coordinates(base.Run(spark, d).season, base.loadings(spark))
 
 
 @query(

@@ -122,7 +122,7 @@ def part_files(spark, d):
 )
 def mart_sink(spark, d):
     path = new_folder(spark, "mart")
-    table = base.stg_matches(spark, d)
+    table = base.Run(spark, d).stg_matches
     writers.write_mart(table, path)
     stored = spark.read.parquet(path)
     return stored.groupBy(F.date_format("match_date", "yyyy-MM").alias("month"), "competition_id").agg(
@@ -137,7 +137,7 @@ def mart_sink(spark, d):
 )
 def report_cache(spark, d):
     folder = new_folder(spark, "report")
-    counts = reports.archetype_distribution(base.assignments(spark, d))
+    counts = reports.archetype_distribution(base.Run(spark, d).assignments)
     writers.export_summary(counts, f"{folder}/archetype_distribution", "csv")
     writers.export_summary(counts, f"{folder}/archetype_distribution_json", "json")
     return readers.read_summaries(spark, folder, ["archetype_distribution"])["archetype_distribution"]
@@ -154,7 +154,7 @@ def report_cache(spark, d):
 )
 def seed_lookup(spark, d):
     path = new_folder(spark, "seed")
-    matches = base.stg_matches(spark, d)
+    matches = base.Run(spark, d).stg_matches
     codes = matches.select(
         F.col("competition_id").cast("int"), "competition_name", F.upper(F.substring("competition_name", 1, 3)).alias("competition_code")
     ).distinct()
@@ -192,7 +192,7 @@ def schema_of_table(spark, d):
     longs=["cluster_id"],
 )
 def adaptive_columns(spark, d):
-    rows = base.assignments(spark, d)
+    rows = base.Run(spark, d).assignments
     doubled = rows.select("*", F.col("player_id").alias("PLAYER_ID"), F.lit("x").alias("archetype"))
     single = readers.drop_dup_columns(doubled)
     return readers.adapt(

@@ -16,24 +16,24 @@ from touchline.workload.tables_sql import BROAD_CASE, LEAGUE_CASE, POSITION_CASE
 @query("stg_matches", ["B1", "B2", "B3", "B11", "N"], with_tables("SELECT * FROM stg_matches", "stg_matches"),
        longs=["competition_id", "season_id"], texts=["match_date"])
 def stg_matches(spark, d):
-    return base.stg_matches(spark, d)
+    return base.Run(spark, d).stg_matches
 
 
 @query("stg_events", ["B4", "B5", "C3"], with_tables("SELECT * FROM stg_events", "stg_events"),
        doubles=["location_x", "location_y", "shot_xg"], longs=["period"])
 def stg_events(spark, d):
-    return base.stg_events(spark, d)
+    return base.Run(spark, d).stg_events
 
 
 @query("stg_lineups", ["B6"], with_tables("SELECT * FROM stg_lineups", "stg_lineups"))
 def stg_lineups(spark, d):
-    return base.stg_lineups(spark, d)
+    return base.Run(spark, d).stg_lineups
 
 
 @query("stg_lineups_json", ["B6", "N"], with_tables("SELECT * FROM stg_lineups", "stg_lineups"))
 def stg_lineups_json(spark, d):
     raw = feeds.raw_lineups(spark, d).withColumns({"positions": F.to_json("positions"), "cards": F.to_json("cards")})
-    return staging.lineups(staging.parse_lineup_json(raw), base.stg_matches(spark, d))
+    return staging.lineups(staging.parse_lineup_json(raw), base.Run(spark, d).stg_matches)
 
 
 _CLOCK = """
@@ -85,7 +85,7 @@ def clock_parsing(spark, d):
     doubles=["minutes_played"],
 )
 def stint_minutes(spark, d):
-    stints = staging.lineup_stints(feeds.raw_lineups(spark, d), base.stg_matches(spark, d))
+    stints = staging.lineup_stints(feeds.raw_lineups(spark, d), base.Run(spark, d).stg_matches)
     return players.lineup_minutes(stints, floor_at_zero=True).select("match_id", "player_id", "position_name", "minutes_played")
 
 
@@ -99,7 +99,7 @@ def stint_minutes(spark, d):
     ),
 )
 def busy_competition_seasons(spark, d):
-    rows = staging.min_matches(staging.mens_scope(base.stg_matches(spark, d)))
+    rows = staging.min_matches(staging.mens_scope(base.Run(spark, d).stg_matches))
     return rows.select("match_id", "competition_name", "season_name")
 
 
@@ -164,7 +164,7 @@ def world_cup_matches(spark, d):
 )
 def position_groups(spark, d):
     return (
-        base.stg_lineups(spark, d)
+        base.Run(spark, d).stg_lineups
         .groupBy("position_name", labels.position_group("position_name").alias("position_group"),
                  labels.broad_position("position_name").alias("broad"))
         .agg(F.count(F.lit(1)).alias("n"))
@@ -182,7 +182,7 @@ def position_groups(spark, d):
     longs=["sort_key"],
 )
 def league_labels(spark, d):
-    rows = base.stg_matches(spark, d).groupBy(labels.competition_label("competition_name").alias("label"))
+    rows = base.Run(spark, d).stg_matches.groupBy(labels.competition_label("competition_name").alias("label"))
     return rows.agg(F.count(F.lit(1)).alias("n")).withColumn("sort_key", labels.sort_key("label", COMPETITION_LABEL_ORDER))
 
 
@@ -192,7 +192,7 @@ def league_labels(spark, d):
     with_tables("SELECT nationality, intl_team, count(*) AS n FROM players_h GROUP BY 1, 2", "players_h"),
 )
 def country_crosswalk(spark, d):
-    return base.rated_players(spark, d).groupBy("nationality", "intl_team").agg(F.count(F.lit(1)).alias("n"))
+    return base.Run(spark, d).rated_players.groupBy("nationality", "intl_team").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -202,7 +202,7 @@ def country_crosswalk(spark, d):
     texts=["date"],
 )
 def former_team_names(spark, d):
-    return base.results_now(spark, d).select("match_id", "date", "home_team", "away_team")
+    return base.Run(spark, d).results_now.select("match_id", "date", "home_team", "away_team")
 
 
 @query(
@@ -216,7 +216,7 @@ def former_team_names(spark, d):
     longs=["competition_id", "season_id"],
 )
 def active_players(spark, d):
-    kept = staging.exclude(base.season(spark, d), "player_name", ["Player 7"])
+    kept = staging.exclude(base.Run(spark, d).season, "player_name", ["Player 7"])
     rows = staging.active_only(kept, ["passes_per_90", "carries_per_90", "shots_per_90"])
     return rows.select("player_id", "competition_id", "season_id")
 

@@ -8,6 +8,7 @@ from touchline.constants import FEATURES
 from touchline.functions import labels
 from touchline.operators import joins, reshape, standardize, windows
 from touchline.plans import consistency, exploration, teams
+from touchline.session import materialize
 from touchline.sources.readers import read_table
 from touchline.workload import base, feeds
 from touchline.workload.registry import query
@@ -97,7 +98,7 @@ def sides_by_nation(spark, d):
     doubles=["club_minutes", "nat_minutes"],
 )
 def checked_one_to_one(spark, d):
-    rows = consistency.eligible(base.club_national(spark, d))
+    rows = materialize(consistency.eligible(base.Run(spark, d).club_national), "eligible")
     club = rows.filter(~F.col("is_international")).select("player_id", F.col("total_minutes").alias("club_minutes"))
     national = rows.filter("is_international").select("player_id", F.col("total_minutes").alias("nat_minutes"))
     return joins.one_to_one(club, national, ["player_id"])
@@ -116,8 +117,9 @@ def checked_one_to_one(spark, d):
 )
 def three_key_join(spark, d):
     keys = ["player_id", "competition_id", "season_id"]
-    named = base.assignments(spark, d).filter("cluster > 0").select(*keys, "archetype")
-    return base.season(spark, d).select(*keys, "total_minutes").join(named, on=keys, how="left")
+    run = base.Run(spark, d, "season")
+    named = run.assignments.filter("cluster > 0").select(*keys, "archetype")
+    return run.season.select(*keys, "total_minutes").join(named, on=keys, how="left")
 
 
 _ASOF = """SELECT p.event_id, p.user_id, p.ts, c.ts AS click_ts, c.value AS click_value
@@ -160,7 +162,7 @@ _FORM_DOUBLES = list(teams.FORM)
 @query("team_rolling_form", ["E1", "E2"], with_tables("SELECT * FROM form", "form"), doubles=_FORM_DOUBLES,
        longs=["competition_id", "season_id"], texts=["match_date"])
 def team_rolling_form(spark, d):
-    return base.form(spark, d)
+    return base.Run(spark, d).form
 
 
 _SPEND = """SELECT o_orderkey, o_custkey, avg(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
@@ -209,7 +211,7 @@ def rolling_spend_hot_groups(spark, d):
     longs=["competition_id", "season_id"],
 )
 def latest_form(spark, d):
-    return teams.latest_form(base.form(spark, d))
+    return teams.latest_form(base.Run(spark, d).form)
 
 
 @query(
@@ -225,7 +227,7 @@ def latest_form(spark, d):
 )
 def longest_season(spark, d):
     order = [F.desc("total_minutes"), F.asc("competition_id"), F.asc("season_id")]
-    return windows.top_n(base.season(spark, d), ["player_id"], order).select("player_id", "competition_id", "season_id", "total_minutes")
+    return windows.top_n(base.Run(spark, d).season, ["player_id"], order).select("player_id", "competition_id", "season_id", "total_minutes")
 
 
 _H2H = "SELECT match_id, h2h_total_matches, h2h_home_wins, h2h_home_wins::DOUBLE / nullif(h2h_total_matches, 0) AS h2h_home_win_pct FROM h2h"
@@ -233,7 +235,7 @@ _H2H = "SELECT match_id, h2h_total_matches, h2h_home_wins, h2h_home_wins::DOUBLE
 
 @query("head_to_head", ["E6", "C5"], with_tables(_H2H, "h2h"), doubles=["h2h_home_win_pct"])
 def head_to_head(spark, d):
-    return windows.prior_meetings(base.stg_matches(spark, d), "match_id", "match_date", "home_team", "away_team", "match_result")
+    return windows.prior_meetings(base.Run(spark, d).stg_matches, "match_id", "match_date", "home_team", "away_team", "match_result")
 
 
 @query(
@@ -251,7 +253,7 @@ def head_to_head(spark, d):
 )
 def feature_zscores(spark, d):
     keys = ["player_id", "competition_id", "season_id"]
-    long = reshape.unpivot_present(base.season(spark, d), keys, FEATURES)
+    long = reshape.unpivot_present(base.Run(spark, d).season, keys, FEATURES)
     return standardize.zscores_long(long, FEATURES).drop("value")
 
 
@@ -290,7 +292,7 @@ def top_orders_per_priority(spark, d):
     doubles=["delta_xg_per_90"],
 )
 def biggest_movers(spark, d):
-    rows = consistency.eligible(base.club_national(spark, d))
+    rows = consistency.eligible(base.Run(spark, d).club_national)
     wide = reshape.two_context_wide(rows, ["player_id"], "is_international", ["xg_per_90"])
     return windows.both_ends(wide, "delta_xg_per_90", 12, "player_id").select("player_id", "delta_xg_per_90")
 
@@ -335,7 +337,7 @@ def top_balance_mean(spark, d):
     ),
 )
 def ranked_leagues(spark, d):
-    counts = base.stg_matches(spark, d).groupBy("competition_name").agg(F.count(F.lit(1)).alias("n"))
+    counts = base.Run(spark, d).stg_matches.groupBy("competition_name").agg(F.count(F.lit(1)).alias("n"))
     return windows.with_rank(counts, [F.desc("n"), F.asc("competition_name")]).orderBy("rank")
 
 
@@ -357,7 +359,7 @@ _INTL = [f"{s}_roll_{m}" for s in ("home", "away") for m in ("gf", "ga", "win_ra
 
 @query("international_form", ["E15"], with_tables(intl_form_sql(), "results_now"), doubles=_INTL)
 def international_form(spark, d):
-    return teams.international_form(base.results_now(spark, d), rows_per_slice=300).select("match_id", *_INTL)
+    return teams.international_form(base.Run(spark, d).results_now, rows_per_slice=300).select("match_id", *_INTL)
 
 
 @query(
@@ -371,7 +373,7 @@ def international_form(spark, d):
     ),
 )
 def international_head_to_head(spark, d):
-    rows = base.results_now(spark, d).withColumn("result", labels.match_result("home_score", "away_score"))
+    rows = base.Run(spark, d).results_now.withColumn("result", labels.match_result("home_score", "away_score"))
     met = windows.prior_meetings(rows, "match_id", "date", "home_team", "away_team", "result")
     return met.select("match_id", F.col("h2h_total_matches").alias("h2h_prior_meetings"))
 
@@ -433,7 +435,7 @@ def loadings_both_ways(spark, d):
     wide = reshape.pivot_known(base.loadings(spark), ["component"], "feature", "loading", FEATURES)
     long = reshape.unpivot_present(wide, ["component"], FEATURES, "feature", "loading")
     table = long.agg(F.collect_list(F.struct("component", "feature", "loading"))).scalar()
-    minutes = base.season(spark, d).groupBy("player_id").agg(F.sum("total_minutes").alias("minutes"))
+    minutes = base.Run(spark, d).season.groupBy("player_id").agg(F.sum("total_minutes").alias("minutes"))
     return minutes.select("player_id", "minutes", F.inline(table)).select(
         "player_id", "component", "feature", (F.col("loading") * F.col("minutes")).alias("weighted")
     )
@@ -453,7 +455,7 @@ _WIDE = ("xg_per_90", "passes_per_90", "pass_completion_pct")
     doubles=[f"{p}_{m}" for p in ("club", "nat", "delta") for m in _WIDE],
 )
 def context_wide(spark, d):
-    return reshape.two_context_wide(consistency.eligible(base.club_national(spark, d)), ["player_id"], "is_international", _WIDE)
+    return reshape.two_context_wide(consistency.eligible(base.Run(spark, d).club_national), ["player_id"], "is_international", _WIDE)
 
 
 @query(
@@ -485,7 +487,7 @@ def long_results(spark, d):
     doubles=["value"],
 )
 def metric_long_table(spark, d):
-    wide = reshape.two_context_wide(consistency.eligible(base.club_national(spark, d)), ["player_id"], "is_international", _WIDE)
+    wide = reshape.two_context_wide(consistency.eligible(base.Run(spark, d).club_national), ["player_id"], "is_international", _WIDE)
     return reshape.metric_long(wide, "player_id", _WIDE, {"club_": "Club", "nat_": "National"})
 
 
@@ -538,7 +540,7 @@ def outfield_and_keepers(spark, d):
     from touchline.plans.archetypes import split_goalkeepers
 
     keys = ["player_id", "competition_id", "season_id"]
-    outfield, keepers = split_goalkeepers(base.season(spark, d))
+    outfield, keepers = split_goalkeepers(base.Run(spark, d, "season").season)
     return outfield.select(*keys, F.lit(False).alias("keeper")).unionByName(keepers.select(*keys, F.lit(True).alias("keeper")))
 
 

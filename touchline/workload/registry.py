@@ -38,7 +38,7 @@ def tidy(df: DataFrame, digits: int = DIGITS) -> DataFrame:
             c = c.cast("long")
         elif kind in ("double", "float"):
             c = F.round(c.cast("double") + nudge(digits), digits) + F.lit(0.0)
-        elif kind in ("date", "timestamp"):
+        elif kind in ("date", "timestamp", "timestamp_ntz"):
             c = c.cast("string")
         columns.append(c.alias(field.name))
     return df.select(*columns)
