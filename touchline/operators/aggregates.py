@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.rates import ratio, share_pct
-from touchline.operators.slices import ROWS_PER_SLICE, heavy_groups
+from touchline.operators.slices import heavy_groups
 from touchline.operators.windows import running_totals
 
+# the built-in percentile holds the distinct values of a group in memory
+ROWS_PER_AGGREGATE = 1_000_000
+
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
@@ -74,7 +77,7 @@ def exact_percentiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     keys: Sequence[str] = (),
-    rows_per_slice: int = ROWS_PER_SLICE,
+    rows_per_slice: int = ROWS_PER_AGGREGATE,
 ) -> DataFrame:
     """Exact, linearly interpolated percentiles as rows (keys, column, p, value).
 

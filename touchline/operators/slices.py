@@ -13,14 +13,14 @@ over the data assigns the same row to the same slice.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.constants import SEED
 
-ROWS_PER_SLICE = 20_000_000
+ROWS_PER_SLICE = 5_000_000
 MAX_SLICES = 1024
 MAX_HEAVY_GROUPS = 2000
 SAMPLE_PER_SLICE = 50
@@ -28,17 +28,21 @@ SAMPLE_PER_SLICE = 50
 
 @dataclass(frozen=True)
 class Slicing:
-    """Heavy groups and the cut points of the sort order."""
+    """Heavy groups (as key hashes) and the cut points of the sort order."""
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    heavy: tuple[tuple, ...]
+    heavy: tuple[int, ...]
     cuts: tuple[tuple, ...]
 
     @property
     def needed(self) -> bool:
         return bool(self.cuts)
 
+    def is_heavy(self) -> Column:
+        """A light group that shares a hash is sliced too, which changes no result."""
+        return F.xxhash64(*[F.col(k) for k in self.keys]).isin(list(self.heavy)) if self.keys else F.lit(True)
+
 
 def _sortable(df: DataFrame, name: str) -> Column:
     kind = df.schema[name].dataType.typeName()
@@ -54,30 +58,14 @@ def _sortable_type(df: DataFrame, name: str) -> str:
     return "long" if kind.typeName() in ("timestamp", "timestamp_ntz", "date") else kind.simpleString()
 
 
-def heavy_groups(df: DataFrame, keys: Sequence[str], limit: int) -> list[tuple]:
-    """Groups with more than ``limit`` rows and their sizes, at most 2000 of them."""
+def heavy_groups(df: DataFrame, keys: Sequence[str], limit: int) -> list[tuple[int, int]]:
+    """(key hash, size) of the groups with more than ``limit`` rows, the 2000 largest at most."""
     if not keys:
         n = df.count()
-        return [(n,)] if n > limit else []
+        return [(0, n)] if n > limit else []
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
-    return [tuple(r) for r in sizes.orderBy(F.desc("_rows")).limit(MAX_HEAVY_GROUPS).collect()]
-
-
-def _in_groups(keys: Sequence[str], heavy: Sequence[tuple]) -> Column:
-    if not keys:
-        return F.lit(True)
-    tests = [
-        F.struct(*[F.col(k) for k in keys]).eqNullSafe(F.struct(*[F.lit(v) for v in group]))
-        if len(keys) > 1
-        else F.col(keys[0]).eqNullSafe(F.lit(group[0]))
-        for group in heavy
-    ]
-    if len(keys) == 1 and all(g[0] is not None for g in heavy):
-        return F.coalesce(F.col(keys[0]).isin([g[0] for g in heavy]), F.lit(False))
-    found = F.lit(False)
-    for test in tests:
-        found = found | test
-    return found
+    hashed = sizes.select(F.xxhash64(*[F.col(k) for k in keys]).alias("_key"), "_rows")
+    return [tuple(r) for r in hashed.orderBy(F.desc("_rows")).limit(MAX_HEAVY_GROUPS).collect()]
 
 
 def plan_slices(
@@ -88,12 +76,12 @@ def plan_slices(
     empty = Slicing(tuple(keys), tuple(order), (), ())
     if not found:
         return empty
-    heavy = [g[:-1] for g in found]
-    total = sum(g[-1] for g in found)
-    n_slices = min(MAX_SLICES, -(-max(g[-1] for g in found) // rows_per_slice))
+    groups = Slicing(tuple(keys), tuple(order), tuple(key for key, _ in found), ())
+    total = sum(size for _, size in found)
+    n_slices = min(MAX_SLICES, -(-max(size for _, size in found) // rows_per_slice))
     wanted = n_slices * SAMPLE_PER_SLICE
     sample = (
-        df.filter(_in_groups(keys, heavy))
+        df.filter(groups.is_heavy())
         .select(*[_sortable(df, c).alias(c) for c in order])
         .sample(withReplacement=False, fraction=min(1.0, wanted / total), seed=SEED)
         .limit(4 * wanted)
@@ -103,7 +91,7 @@ def plan_slices(
     if len(points) < 2:
         return empty
     picks = sorted({points[len(points) * i // n_slices] for i in range(1, n_slices)})
-    return Slicing(tuple(keys), tuple(order), tuple(heavy), tuple(picks))
+    return replace(groups, cuts=tuple(picks))
 
 
 def slice_column(df: DataFrame, slicing: Slicing) -> Column:
@@ -121,4 +109,4 @@ def slice_column(df: DataFrame, slicing: Slicing) -> Column:
         cut = F.struct(*[F.lit(v).cast(k).alias(c) for v, k, c in zip(cuts[mid], kinds, slicing.order)])
         return F.when(here >= cut, find(mid + 1, hi)).otherwise(find(lo, mid))
 
-    return F.when(_in_groups(slicing.keys, slicing.heavy), find(0, len(cuts))).otherwise(F.lit(0))
+    return F.when(slicing.is_heavy(), find(0, len(cuts))).otherwise(F.lit(0))

@@ -82,7 +82,7 @@ def rolling_means(
     kept = list(dict.fromkeys([*order, *measures.values()]))
     groups = [*keys, "_slice"]
     tail = (
-        top_n(rows.select(*groups, *kept), groups, [F.desc(c) for c in order], n)
+        top_n(rows.filter(slicing.is_heavy()).select(*groups, *kept), groups, [F.desc(c) for c in order], n)
         .groupBy(*groups)
         .agg(F.sort_array(F.collect_list(F.struct(*kept))).alias("_tail"))
     )
@@ -120,13 +120,18 @@ def running_totals(
 
     rows = df.withColumn("_slice", slice_column(df, slicing))
     groups = [*keys, "_slice"]
-    per_slice = rows.groupBy(*groups).agg(*[F.sum(c).alias(f"_sum_{out}") for out, c in sums.items()])
+    heavy = rows.filter(slicing.is_heavy())
+    per_slice = heavy.groupBy(*groups).agg(*[F.sum(c).alias(f"_sum_{out}") for out, c in sums.items()])
     offsets = earlier(per_slice, keys, ["_slice"], {f"_before_{out}": f"_sum_{out}" for out in sums}).select(
         *groups, *[f"_before_{out}" for out in sums]
     )
     inside = earlier(rows, groups, order, {f"_in_{out}": c for out, c in sums.items()})
-    joined = inside.join(offsets, on=groups, how="inner") if keys else inside.join(offsets, on="_slice", how="inner")
-    return joined.select(*df.columns, *[(F.col(f"_before_{out}") + F.col(f"_in_{out}")).alias(out) for out in sums])
+    # same keys as the window, so the long side is not shuffled again
+    joined = inside.join(offsets, on=groups, how="left")
+    return joined.select(
+        *df.columns,
+        *[(F.coalesce(F.col(f"_before_{out}"), F.lit(0)) + F.col(f"_in_{out}")).alias(out) for out in sums],
+    )
 
 
 def rank_by(
@@ -181,7 +186,7 @@ def as_of_join(
     upto = Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     found = rows.withColumn("_found", F.last("_hit", ignorenulls=True).over(upto))
     if slicing.needed:
-        ends = rows.groupBy(*groups).agg(F.max("_hit").alias("_end"))
+        ends = rows.filter(slicing.is_heavy()).groupBy(*groups).agg(F.max("_hit").alias("_end"))
         earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
         starts = ends.select(*groups, F.last("_end", ignorenulls=True).over(earlier).alias("_start"))
         found = found.join(starts, on=groups, how="left").withColumn("_found", F.coalesce("_found", "_start"))
