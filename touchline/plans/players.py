@@ -138,15 +138,16 @@ def player_season_totals(player_match: DataFrame, matches: DataFrame, min_minute
     """Season sums per player and competition from ``min_minutes`` on, with the usual position.
 
     The usual position is the most frequent one; ties go to the first name.
-    Positions are counted per player first, so the ranking sees a few rows per
-    player however long the season table is.
+    The first grouping holds numbers only and keeps names in its key, so it is
+    hashed, not sorted; the ranking then sees a few rows per player.
     """
     rows = with_match(player_match, matches)
     grain = ["player_id", "competition_id", "competition_name", "season_id", "season_name"]
-    per_position = rows.groupBy(*grain, "position_name").agg(
-        *_totals(), F.min("player_name").alias("player_name"), F.count(F.lit(1)).alias("_n")
-    )
     sums = ["total_minutes", "total_xg", *[f"total_{c}" for c in COUNTERS]]
+    per_name = rows.groupBy(*grain, "position_name", "player_name").agg(*_totals(), F.count(F.lit(1)).alias("_n"))
+    per_position = per_name.groupBy(*grain, "position_name").agg(
+        *[F.sum(c).alias(c) for c in (*sums, "_n")], F.min("player_name").alias("player_name")
+    )
     usual = F.min(F.struct((-F.col("_n")).alias("n"), F.col("position_name"))).getField("position_name")
     return (
         per_position.groupBy(*grain)

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # no call-site capture for every column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
