@@ -345,3 +345,26 @@ def outcome_model_score(spark, d):
     columns = [f"{s}_{v}" for s in ("home", "away") for v in _SHORT.values()] + ["h2h_home_win_pct"]
     _, scored = marts.fit_outcome(features, columns, "1999-12-31")
     return marts.brier(scored)
+
+
+@query(
+    "outcome_model_rows",
+    ["K18"],
+    with_tables(
+        """SELECT count(*) AS n, true AS sums_to_one, true AS beats_uniform_guess_or_ties FROM stg_matches m
+           JOIN form h ON h.match_id = m.match_id AND h.team = m.home_team AND h.side = 'home'
+           JOIN form a ON a.match_id = m.match_id AND a.team = m.away_team AND a.side = 'away' WHERE m.match_date > DATE '1999-12-31'""",
+        "stg_matches", "form",
+    ),
+)
+def outcome_model_rows(spark, d):
+    """Every later match gets three probabilities that sum to one, no worse than guessing."""
+    run = base.Run(spark, d)
+    features = materialize(teams.match_features(run.stg_matches, run.form), "features")
+    columns = [f"{s}_{v}" for s in ("home", "away") for v in _SHORT.values()] + ["h2h_home_win_pct"]
+    scored = materialize(marts.fit_outcome(features, columns, "1999-12-31")[1], "scored")
+    total = F.col("p_home_win") + F.col("p_draw") + F.col("p_away_win")
+    sums = scored.agg(F.bool_and(F.abs(total - 1) < 1e-9)).scalar()
+    return marts.brier(scored).select(
+        "n", sums.alias("sums_to_one"), (F.col("brier") <= F.col("brier_uniform") + 0.02).alias("beats_uniform_guess_or_ties")
+    )

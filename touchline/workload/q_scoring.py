@@ -552,3 +552,84 @@ def nearest_vectors(spark, d):
     return archetypes.similar_players(rows, "vec_id", 7, names, 10, same="label").select("vec_id", "distance")
 
 
+
+
+@query(
+    "trained_archetype_totals",
+    ["G6", "G8", "G9", "G10"],
+    with_tables(
+        """SELECT count(*) AS n_rows, count(*) FILTER (position_name = 'Goalkeeper') AS n_keepers, 5::BIGINT AS n_clusters, 6::BIGINT AS n_labels,
+                  count(*) FILTER (position_name <> 'Goalkeeper') AS n_placed, sum(total_minutes) AS minutes FROM season""",
+        "season",
+    ),
+    doubles=["minutes"],
+    digits=3,
+)
+def trained_archetype_totals(spark, d):
+    """What must hold for any trained model: everyone is placed once, all clusters and labels occur."""
+    rows = archetypes.assign_archetypes(base.Run(spark, d, "season").season, starts=2)[0]
+    return rows.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("cluster") == -1).alias("n_keepers"),
+        F.count_distinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("n_clusters"),
+        F.count_distinct("archetype").alias("n_labels"),
+        F.count_if(F.col("pc1").isNotNull() & F.col("pc2").isNotNull()).alias("n_placed"),
+        F.sum("total_minutes").alias("minutes"),
+    )
+
+
+def _spread_sql(n: int) -> str:
+    return ", ".join(f"var_pop(embedding[{i + 1}]::DOUBLE)" for i in range(n))
+
+
+@query(
+    "component_variances",
+    ["G6"],
+    f"""SELECT 64::BIGINT AS n_components, list_sum([{_spread_sql(64)}]) AS total_variance, 1.0::DOUBLE AS explained,
+               0.0::DOUBLE AS largest_mean FROM embeddings""",
+    doubles=["total_variance", "explained", "largest_mean"],
+)
+def component_variances(spark, d):
+    """A full PCA of the raw vectors keeps the total variance, and its scores have mean zero around the centre."""
+    rows, names = _embedding_columns(spark, d)
+    kept = materialize(rows, "vectors")
+    model = archetypes.fit_pca(kept, names)
+    projected = archetypes.project(kept, model)
+    means = kept.agg(*[F.avg(n).alias(n) for n in names])
+    centre = archetypes.project(means, model).select(F.col("components").alias("c"))
+    stats = projected.agg(
+        *[F.var_pop(F.element_at("components", i + 1)).alias(f"v{i}") for i in range(64)],
+        F.array(*[F.avg(F.element_at("components", i + 1)) for i in range(64)]).alias("m"),
+    ).withColumn("c", centre.scalar())
+    total = sum((F.col(f"v{i}") for i in range(64)), F.lit(0.0))
+    off = F.array_max(F.transform(F.arrays_zip("m", "c"), lambda x: F.abs(x["m"] - x["c"])))
+    return stats.select(
+        F.lit(64).alias("n_components"), total.alias("total_variance"),
+        F.lit(sum(model.explained)).alias("explained"), off.alias("largest_mean"),
+    )
+
+
+@query(
+    "cluster_partition",
+    ["G8", "G11"],
+    "SELECT count(*) AS n, 10::BIGINT AS clusters, true AS every_row_has_its_nearest_centre FROM embeddings",
+)
+def cluster_partition(spark, d):
+    """K-Means gives every vector to its nearest centre."""
+    rows, names = _embedding_columns(spark, d)
+    vectors = archetypes.assemble(materialize(rows, "vectors"), names, "_v")
+    model = archetypes.fit_kmeans(vectors, 10, 2)
+    clustered = model.transform(vectors)
+    distances = []
+    for centre in model.clusterCenters():
+        total = F.lit(0.0)
+        for n, c in zip(names, centre):
+            total = total + (F.col(n) - F.lit(float(c))) * (F.col(n) - F.lit(float(c)))
+        distances.append(total)
+    near = clustered.withColumn("_d", F.array(*distances)).withColumn(
+        "_ok", F.element_at("_d", F.col("cluster") + 1) <= F.array_min("_d") + 1e-9
+    )
+    return near.agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("cluster").alias("clusters"),
+        F.bool_and("_ok").alias("every_row_has_its_nearest_centre"),
+    )
