@@ -83,7 +83,11 @@ _TYPED = """SELECT e.*, s.location_x, s.shot_xg, nullif(e.pass_outcome, 'None')
 
 
 def _typed_events(spark, d):
-    """Staged events with player id and duration; identical raw rows are one event."""
+    """Staged events with player id and duration; identical raw rows are one event.
+
+    Durations have two decimals. Thresholds on their sums lie between two
+    possible sums, so that the order of adding cannot decide.
+    """
     staged = base.Run(spark, d).stg_events.select(
         F.col("event_id").alias("id"), "match_id", F.col("event_type").alias("type"), "location_x", "shot_xg", "pass_outcome"
     ).distinct()
@@ -104,13 +108,13 @@ _EVENT_CTE = """
             FROM (SELECT e.player_id, l.player_name, l.position_name, m.competition_name, m.season_name,
                          count(DISTINCT e.match_id) AS matches_played, sum(e.duration) AS total_minutes, {_RAW}
                   FROM ({_EVENT_CTE}) e JOIN stg_lineups l ON l.match_id = e.match_id AND l.player_id = e.player_id
-                  JOIN stg_matches m ON m.match_id = e.match_id GROUP BY 1, 2, 3, 4, 5 HAVING sum(e.duration) >= 30)""",
+                  JOIN stg_matches m ON m.match_id = e.match_id GROUP BY 1, 2, 3, 4, 5 HAVING sum(e.duration) >= 30.005)""",
         "stg_events", "raw_events", "stg_lineups", "stg_matches",
     ),
     doubles=_RAW_DOUBLES,
 )
 def raw_player_season(spark, d):
-    return players.raw_player_season(_typed_events(spark, d), base.Run(spark, d).stg_lineups, base.Run(spark, d).stg_matches, 30)
+    return players.raw_player_season(_typed_events(spark, d), base.Run(spark, d).stg_lineups, base.Run(spark, d).stg_matches, 30.005)
 
 
 @query(
@@ -125,14 +129,14 @@ def raw_player_season(spark, d):
                   QUALIFY row_number() OVER (PARTITION BY player_id, context ORDER BY round(sum(duration), 4) DESC, position_name) = 1)
             SELECT b.player_id, b.context, player_name, matches_played, total_minutes, {_RAW_RATES}, position_name
             FROM (SELECT player_id, context, max(player_name) AS player_name, count(DISTINCT match_id) AS matches_played,
-                         sum(duration) AS total_minutes, {_RAW} FROM j GROUP BY 1, 2 HAVING sum(duration) >= 270) b
+                         sum(duration) AS total_minutes, {_RAW} FROM j GROUP BY 1, 2 HAVING sum(duration) >= 270.005) b
             LEFT JOIN p ON p.player_id = b.player_id AND p.context = b.context""",
         "stg_events", "raw_events", "stg_lineups", "stg_matches",
     ),
     doubles=_RAW_DOUBLES,
 )
 def raw_player_context(spark, d):
-    return players.raw_player_context(_typed_events(spark, d), base.Run(spark, d).stg_lineups, base.Run(spark, d).stg_matches, 270)
+    return players.raw_player_context(_typed_events(spark, d), base.Run(spark, d).stg_lineups, base.Run(spark, d).stg_matches, 270.005)
 
 
 _CTX_COUNTS = """count(*) FILTER (event_type = 'Shot') AS shots, sum(shot_xg) FILTER (event_type = 'Shot') AS xg,
