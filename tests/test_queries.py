@@ -56,6 +56,20 @@ def test_every_query_has_a_distinct_name_and_coverage():
     assert all(q.covers for q in queries.values())
 
 
+@pytest.mark.parametrize("name", ["head_to_head", "match_features", "rank_features", "player_clusters", "linked_markets", "club_vs_national"])
+def test_no_pairwise_joins(spark, folder, name, capsys):
+    all_queries()[name].build(spark, folder).explain()
+    plan = capsys.readouterr().out
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_scan_is_pruned(spark, folder, capsys):
+    all_queries()["scan_pruned"].build(spark, folder).explain()
+    plan = capsys.readouterr().out
+    assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,25.0)]" in plan
+    assert "ReadSchema: struct<l_quantity:double,l_returnflag:string>" in plan
+
+
 def test_invariants(spark, folder):
     run = Run(spark, folder, "stg_matches", "match_stats", "player_match")
     shares = run.match_stats.groupBy("match_id").agg(F.sum("possession_share").alias("s")).filter("abs(s - 1) > 1e-9")

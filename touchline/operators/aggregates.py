@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from touchline.functions.rates import ratio, share_pct
 from touchline.operators.slices import heavy_groups
 from touchline.operators.windows import running_totals
+from touchline.session import materialize
 
 # the built-in percentile holds the distinct values of a group in memory
 ROWS_PER_AGGREGATE = 1_000_000
@@ -98,7 +99,7 @@ def exact_percentiles(
     doubles = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
     long = doubles.unpivot(list(keys), list(columns), "column", "_value").filter(F.col("_value").isNotNull())
     group = [*keys, "column"]
-    counts = long.groupBy(*group, "_value").agg(F.count(F.lit(1)).alias("_n"))
+    counts = materialize(long.groupBy(*group, "_value").agg(F.count(F.lit(1)).alias("_n")), "counts")
     below = running_totals(counts, group, ["_value"], {"_below": "_n"}, rows_per_slice)
     totals = counts.groupBy(*group).agg(F.sum("_n").alias("_total"))
     wanted = totals.select(*group, "_total", F.explode(grid).alias("p")).withColumn(

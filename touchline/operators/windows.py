@@ -140,13 +140,15 @@ def rank_by(
     """Rank by descending value per group; ties share the lowest rank.
 
     Ranks distinct values by how many rows lie above, then joins the ranks
-    back, so no task holds more than the distinct values of one slice.
+    back, so no task holds more than the distinct values of one slice. The
+    counts are read several times and therefore written once.
     """
-    counts = (
+    counts = materialize(
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_down", -F.col(value))
+        .withColumn("_down", -F.col(value)),
+        "counts",
     )
     above = running_totals(counts, keys, ["_down"], {"_above": "_n"}, rows_per_slice)
     ranks = above.select(*keys, value, (F.col("_above") + 1).alias(name))
