@@ -1,4 +1,4 @@
 """All registered queries of this subpackage."""
 
-from touchline.llm import byte_bpe, quality_rules  # noqa: F401
+from touchline.llm import byte_bpe, packing, quality_rules  # noqa: F401
 from touchline.llm.tables import QUERIES, SQL  # noqa: F401

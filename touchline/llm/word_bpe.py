@@ -5,19 +5,22 @@ space (it is dropped, and neither composition nor lower-casing reaches over a
 blank), so the ids of a text are the ids of its blank-separated words in
 order. Distinct words of a slice are tokenized once and the ids of every
 occurrence are gathered with numpy. A fixed-size cache keeps words between
-slices. Texts with other white space than ASCII go through the tokenizer whole.
+slices. Other white space than ASCII
+is handled by the tokenizer inside a word.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 
 import numpy as np
+import pandas as pd
 from tokenizers import Tokenizer
 
 from touchline.llm.text import Hasher, Texts
 
-CACHE_WORDS = 1 << 19
+CACHE_WORDS = 1 << 20
 
 
 @functools.lru_cache(maxsize=2)
@@ -28,53 +31,63 @@ def tokenizer(path: str) -> Tokenizer:
 
 
 class WordIds:
-    """Ids of words by their 64-bit hash and bytes; forgets all when ``limit`` words are held."""
+    """Ids of words by their 64-bit hash; forgets all when more than ``limit`` words are held."""
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
         self.tokenizer, self.limit = tokenizer(path), limit
         self._forget()
 
     def _forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.known: dict[int, int] = {}
+        self.at, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.n_words = self.n_ids = 0
 
-    def _learn(self, keys: np.ndarray, words: list[bytes]) -> None:
-        if len(self.keys) + len(keys) > self.limit:
-            self._forget()
-        found = [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)]
-        size = np.array([len(i) for i in found], np.int64)
-        at = len(self.ids) + np.concatenate(([0], np.cumsum(size)[:-1]))
-        self.ids = np.concatenate((self.ids, np.fromiter((x for i in found for x in i), np.uint32, size.sum())))
-        keys = np.concatenate((self.keys, keys))
-        order = np.argsort(keys)
-        self.keys, self.at, self.size = keys[order], np.concatenate((self.at, at))[order], np.concatenate((self.size, size))[order]
-
-    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.keys):
-            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, self.keys[at] == keys
+    def _learn(self, keys: list[int], words: list[str]) -> None:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        new = np.fromiter(itertools.chain.from_iterable(found), np.uint32, size.sum())
+        self.at = _room(self.at, self.n_words + 1 + len(words))
+        self.ids = _room(self.ids, self.n_ids + len(new))
+        self.at[self.n_words + 1 : self.n_words + 1 + len(words)] = self.n_ids + np.cumsum(size)
+        self.ids[self.n_ids : self.n_ids + len(new)] = new
+        self.known.update(zip(keys, range(self.n_words, self.n_words + len(words)), strict=True))
+        self.n_words, self.n_ids = self.n_words + len(words), self.n_ids + len(new)
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text's ids begin (and the end)."""
         start, end, first = texts.words()
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        distinct, sample, back = np.unique(Hasher(texts.data).spans(start, end), return_index=True, return_inverse=True)
-        at, known = self._find(distinct)
-        if not known.all():
-            new = sample[~known]
-            self._learn(distinct[~known], [texts.data[start[i] : end[i]].tobytes() for i in new])
-            at, known = self._find(distinct)
-            if not known.all():  # the cache was emptied: learn the rest of this slice as well
-                new = sample[~known]
-                limit, self.limit = self.limit, 1 << 62
-                self._learn(distinct[~known], [texts.data[start[i] : end[i]].tobytes() for i in new])
-                self.limit = limit
-                at, known = self._find(distinct)
-        at = at[back]
-        size = self.size[at]
+        if self.n_words > self.limit:
+            self._forget()
+        distinct, back = factorize(Hasher(texts.data).spans(start, end))
+        keys = distinct.tolist()
+        place = [self.known.get(k, -1) for k in keys]
+        new = [i for i, p in enumerate(place) if p < 0]
+        if new:
+            sample = np.empty(len(keys), np.int64)
+            sample[back] = np.arange(len(back))
+            words = [texts.data[start[i] : end[i]].tobytes().decode() for i in sample[new].tolist()]
+            self._learn([keys[i] for i in new], words)
+            place = [self.known[k] for k in keys]
+        at = np.array(place, np.int64)[back]
+        begin = self.at[at]
+        size = self.at[at + 1] - begin
         stops = np.concatenate(([0], np.cumsum(size)))
-        source = np.repeat(self.at[at] - stops[:-1], size) + np.arange(stops[-1])
-        return self.ids[source], stops[first]
+        return self.ids[np.repeat(begin - stops[:-1], size) + np.arange(stops[-1])], stops[first]
+
+
+def _room(a: np.ndarray, n: int) -> np.ndarray:
+    return a if len(a) >= n else np.concatenate((a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)))
+
+
+@functools.lru_cache(maxsize=2)
+def shared(path: str) -> WordIds:
+    """One cache for all tasks that a Python worker runs."""
+    return WordIds(path)
+
+
+def factorize(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the place of each key among them."""
+    back, distinct = pd.factorize(keys)
+    return distinct, back
