@@ -75,12 +75,18 @@ class Texts:
     def lowered(self) -> Texts:
         return Texts(LOWER[self.data], self.off)
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start and end of every word, and where each text's words begin in them (and the end)."""
+    def words(self, cut: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and end of every word, and where each text's words begin in them (and the end).
+
+        ``cut``: whether words are also cut before each byte.
+        """
         inside = ~IS_SPACE[self.data]
         first, last = inside.copy(), inside.copy()
         first[1:] &= ~inside[:-1]
         last[:-1] &= ~inside[1:]
+        if cut is not None:
+            first |= cut & inside
+            last[:-1] |= cut[1:] & inside[:-1]
         cuts = self.off[1:-1]
         cuts = cuts[(cuts > 0) & (cuts < len(self.data))]
         first[cuts] = inside[cuts]

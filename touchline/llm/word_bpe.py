@@ -3,7 +3,8 @@
 The normalizer and pre-tokenizer of such a vocabulary never look across white
 space (it is dropped, and neither composition nor lower-casing reaches over a
 blank), so the ids of a text are the ids of its blank-separated words in
-order. Distinct words of a slice are tokenized once and the ids of every
+order; inside a word it always cuts between ASCII letters and marks, so they
+are looked up apart. Distinct words of a slice are tokenized once and the ids of every
 occurrence are gathered with numpy. A fixed-size cache keeps words between
 slices. Other white space than ASCII
 is handled by the tokenizer inside a word.
@@ -20,6 +21,9 @@ from tokenizers import Tokenizer
 
 from touchline.llm.text import Hasher, Texts
 
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK[33:127] = ~_LETTER[33:127]
 CACHE_WORDS = 1 << 20
 
 
@@ -55,7 +59,7 @@ class WordIds:
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text's ids begin (and the end)."""
-        start, end, first = texts.words()
+        start, end, first = texts.words(_joints(texts.data))
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
         if self.n_words > self.limit:
@@ -77,6 +81,14 @@ class WordIds:
         return self.ids[np.repeat(begin - stops[:-1], size) + np.arange(stops[-1])], stops[first]
 
 
+def _joints(data: np.ndarray) -> np.ndarray:
+    """Where an ASCII letter meets an ASCII mark or digit: the pre-tokenizer always cuts there, but after an apostrophe."""
+    letter, mark = _LETTER[data], _MARK[data]
+    out = np.zeros(len(data), bool)
+    out[1:] = (letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:] & (data[:-1] != ord("'")))
+    return out
+
+
 def _room(a: np.ndarray, n: int) -> np.ndarray:
     return a if len(a) >= n else np.concatenate((a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)))
 
