@@ -208,9 +208,10 @@ def _sent_windows(bits: int):
                 spans = np.zeros(lost.sum(), SPAN)
                 spans["idx"], spans["start"] = idx[lost], (window - off[idx])[lost]
                 spans["end"] = spans["start"] + size[lost]
-                meta = np.zeros(first.sum(), META)
-                meta["doc"], meta["idx"], meta["start"], meta["n"] = doc[idx][first], idx[first], (window - off[idx])[first], n[first]
-                window, size, bucket = window[first], size[first], bucket[first]
+                sent = ~lost  # with its repeats inside the smallest document
+                meta = np.zeros(sent.sum(), META)
+                meta["doc"], meta["idx"], meta["start"], meta["n"] = doc[idx][sent], idx[sent], (window - off[idx])[sent], n[sent]
+                window, size, bucket = window[sent], size[sent], bucket[sent]
                 which, cut = np.unique(bucket, return_index=True)
                 cut = np.append(cut, len(bucket))
                 pack = zstandard.ZstdCompressor(level=3)
