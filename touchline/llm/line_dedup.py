@@ -13,12 +13,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.tables import query, table
+from touchline.llm.tables import keyed_texts, query, rest_of, table, with_rest
 from touchline.llm.text import Hasher, Texts, mix, slices
 from touchline.session import materialize
 
@@ -171,18 +173,20 @@ def lost_lines(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     return lost.groupBy("doc_id").agg(F.collect_list("key").alias("lost"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, key: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, key: str = "doc_id", text: str = "text", rest: Sequence[str] = ()) -> DataFrame:
     """``doc_id, n_lines, n_dropped, kept``: whole texts without lines held by ``min_docs`` documents or more.
 
     A line is compared without white space at its ends and with A-Z lower-cased;
     shorter keys than ``min_chars`` code points always stay. The largest key of
     the documents that hold a line keeps it, with all its repeats there. Null and
     empty texts are one empty line. Rows with one key count as one document. A
-    null key is a document smaller than all others. Other columns are not read.
+    null key is a document smaller than all others. Other columns are not read,
+    but for those in ``rest``, which come back as a struct of that name.
     """
-    chosen = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    lost = lost_lines(chosen, min_chars, min_docs).withColumnRenamed("doc_id", "loser")
-    both = chosen.join(lost, F.col("doc_id").eqNullSafe(F.col("loser")), "left").select("doc_id", "text", "lost")
+    chosen = keyed_texts(docs, key, text, rest)
+    kind = with_rest("doc_id long, n_lines long, n_dropped long, kept string", chosen)
+    lost = lost_lines(chosen.select("doc_id", "text"), min_chars, min_docs).withColumnRenamed("doc_id", "loser")
+    both = chosen.join(lost, F.col("doc_id").eqNullSafe(F.col("loser")), "left").drop("loser")
 
     def run(batches):
         for rows, texts in slices(batches, "text"):
@@ -197,9 +201,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
                 n_dropped[i] = gone.sum()
                 kept.append(b"\n".join(texts.data[start[k] : end[k]].tobytes() for k in np.flatnonzero(~gone) + a))
             out = [rows.column("doc_id"), pa.array(np.diff(first)), pa.array(n_dropped), pa.array(kept, pa.binary()).cast(pa.string())]
-            yield pa.RecordBatch.from_arrays(out, ["doc_id", "n_lines", "n_dropped", "kept"])
+            yield pa.RecordBatch.from_arrays([*out, *rest_of(rows)], kind.names)
 
-    return both.mapInArrow(run, "doc_id long, n_lines long, n_dropped long, kept string")
+    return both.mapInArrow(run, kind)
 
 
 OP7_SQL = """

@@ -11,12 +11,13 @@ and the like cost a clean document one line, not its place.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from touchline.llm.tables import query, table
+from touchline.llm.tables import keyed_texts, query, rest_of, table, with_rest
 from touchline.llm.text import Hasher, Texts, slices, windows, within
 
 # fixed values of the base rules
@@ -145,21 +146,23 @@ def measure(texts: Texts) -> dict[str, np.ndarray | list[bytes]]:
     }
 
 
-def line_first_cleaning(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def line_first_cleaning(docs: DataFrame, key: str = "doc_id", text: str = "text", rest: Sequence[str] = ()) -> DataFrame:
     """Counts, verdict and cleaned text of every document.
 
     Null and empty texts have no words and fail the base rule. Equal rows give
-    equal rows; a null key stays null. Other columns of the input are not read.
-    One scan without a shuffle; a task holds a few MB of text, or one document.
+    equal rows; a null key stays null. Other columns of the input are not read,
+    but for those in ``rest``, which come back as a struct of that name. One scan without a shuffle; a task holds a few MB of text, or one document.
     """
 
     def run(batches):
         for rows, texts in slices(batches, "text"):
             out = measure(texts)
             cleaned = pa.array(out.pop("cleaned"), pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), *map(pa.array, out.values()), cleaned], ["doc_id", *out, "cleaned"])
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), *map(pa.array, out.values()), cleaned, *rest_of(rows)], kind.names)
 
-    return docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(run, RESULT)
+    chosen = keyed_texts(docs, key, text, rest)
+    kind = with_rest(RESULT, chosen)
+    return chosen.mapInArrow(run, kind)
 
 
 SQL = r"""

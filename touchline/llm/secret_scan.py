@@ -11,13 +11,14 @@ reported as kind ``novel``.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.tables import query, table
+from touchline.llm.tables import keyed_texts, query, rest_of, table, with_rest
 
 # fixed values: the base patterns, in the order of the kinds
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -100,14 +101,15 @@ def redact(text: str, spans: list[tuple[int, int, int]], mask: str = "[secret]")
     return "".join([*out, text[at:]])
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False, rest: Sequence[str] = ()) -> DataFrame:
     """Secrets of every whole text: counts by kind, all spans, and on request the text without them.
 
     Positions are code points, ends exclusive. Null and empty texts have no
     spans; a null text stays null when redacted. Equal rows give equal rows; a
-    null key stays null. Other columns are not read. One scan without a shuffle.
+    null key stays null. Other columns are not read, but for those in ``rest``,
+    which come back as a struct of that name. One scan without a shuffle.
     """
-    kind = "doc_id long, n_assign long, n_access long, n_hex long, n_novel long, base_spans string, spans string, redacted string"
+    schema = "doc_id long, n_assign long, n_access long, n_hex long, n_novel long, base_spans string, spans string, redacted string"
 
     def run(batches):
         for rows in batches:
@@ -119,9 +121,10 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bo
                 out.append((doc, *n, name(base), name(every), (redact(t, every) if t else t) if with_text else None))
             columns = zip(*out, strict=True) if out else [()] * 8
             kinds = [pa.int64()] * 5 + [pa.string()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in kind.split(", ")])
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), *rest_of(rows)], kind.names)
 
-    chosen = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    chosen = keyed_texts(docs, key, text, rest)
+    kind = with_rest(schema, chosen)
     return chosen.mapInArrow(run, kind)
 
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,3 +34,19 @@ def share_package(spark: SparkSession) -> None:
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     share_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def keyed_texts(docs: DataFrame, key: str, text: str, rest: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, text`` and, if any are named, other columns as the struct ``rest``, where no name can clash."""
+    more = [F.struct(*[docs[c] for c in rest]).alias("rest")] if rest else []
+    return docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"), *more)
+
+
+def with_rest(schema: str, chosen: DataFrame) -> StructType:
+    """The schema, followed by ``rest`` if ``chosen`` has it."""
+    out = StructType.fromDDL(schema)
+    return out.add(chosen.schema["rest"]) if "rest" in chosen.columns else out
+
+
+def rest_of(rows) -> list:
+    return [rows.column("rest")] if "rest" in rows.schema.names else []
