@@ -36,9 +36,9 @@ from touchline.session import materialize
 
 LENGTH = 50
 GRAM = 16
-CHUNK_BYTES = 4 << 20
-SEGMENT = 1 << 20
-BUCKET_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
+SEGMENT = 1 << 19
+BUCKET_BYTES = 1 << 20
 HOT = 4096
 META = np.dtype([("doc", "<i8"), ("idx", "<u4"), ("start", "<u4"), ("n", "<u4")])
 SPAN = np.dtype([("idx", "<u4"), ("start", "<u4"), ("end", "<u4")])
@@ -55,6 +55,13 @@ def _chunks(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["chunk", "docs", "digests", "sizes", "packed"])
 
 
+def _each(batches):
+    """Rows as dictionaries, one at a time: they are large."""
+    for rows in batches:
+        for i in range(rows.num_rows):
+            yield rows.slice(i, 1).to_pylist()[0]
+
+
 def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["packed"]), np.uint8) if row["packed"] else np.zeros(0, np.uint8)
     return data, np.concatenate(([0], np.cumsum(np.array(row["sizes"], np.int64))))
@@ -123,18 +130,17 @@ def _unpack40(raw: bytes) -> np.ndarray:
 
 def _sent_anchors(bits: int):
     def run(batches):
-        for rows in batches:
-            for row in rows.to_pylist():
-                hashes, _, _ = anchors(*_unpacked(row))
-                distinct, count = np.unique(hashes, return_counts=True)
-                bucket, short = _short(distinct, bits)
-                cuts = np.searchsorted(bucket, np.arange((1 << bits) + 1))
-                count = np.minimum(count, 255).astype(np.uint8)
-                which = np.flatnonzero(np.diff(cuts))
-                grams = [_pack40(short[cuts[b] : cuts[b + 1]]) for b in which]
-                counts = [count[cuts[b] : cuts[b + 1]].tobytes() for b in which]
-                columns = [pa.array(which, pa.int32()), pa.array([row["chunk"]] * len(which), pa.int64()), pa.array(grams, pa.binary()), pa.array(counts, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "grams", "counts"])
+        for row in _each(batches):
+            hashes, _, _ = anchors(*_unpacked(row))
+            distinct, count = np.unique(hashes, return_counts=True)
+            bucket, short = _short(distinct, bits)
+            cuts = np.searchsorted(bucket, np.arange((1 << bits) + 1))
+            count = np.minimum(count, 255).astype(np.uint8)
+            which = np.flatnonzero(np.diff(cuts))
+            grams = [_pack40(short[cuts[b] : cuts[b + 1]]) for b in which]
+            counts = [count[cuts[b] : cuts[b + 1]].tobytes() for b in which]
+            columns = [pa.array(which, pa.int32()), pa.array([row["chunk"]] * len(which), pa.int64()), pa.array(grams, pa.binary()), pa.array(counts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "grams", "counts"])
 
     return run
 
@@ -177,54 +183,53 @@ def _sent_windows(bits: int):
     """For each chunk: stretches of shared windows by bucket, and what its own copies already settle."""
 
     def run(batches):
-        for rows in batches:
-            for row in rows.to_pylist():
-                data, off = _unpacked(row)
-                hashes, window, n = anchors(data, off)
-                bucket, short = _short(hashes, bits)
-                idx = np.searchsorted(off, window, "right") - 1
-                doc = np.array([-1 if d is None else d for d in row["docs"]], np.int64)
-                skip = np.array([d is None for d in row["docs"]], bool)
-                skip[np.array(row["copies"] or [], np.int64)] = True
-                use = ~skip[idx] & _member(bucket, short, row["replies"] or [], "shared")
-                often = _member(bucket[use], short[use], row["replies"] or [], "often")
-                window, n, idx, bucket = window[use], n[use], idx[use], bucket[use]
-                if often.any():  # one stretch for each window of a frequent anchor, by its own hash
-                    each = n[often]
-                    stops = np.cumsum(each)
-                    w = np.repeat(window[often] - (stops - each), each) + np.arange(stops[-1])
-                    i = np.repeat(idx[often], each)
-                    h = Hasher(data).spans(w, w + LENGTH)
-                    window, n, idx = np.concatenate((window[~often], w)), np.concatenate((n[~often], np.ones(len(w), np.int64))), np.concatenate((idx[~often], i))
-                    bucket = np.concatenate((bucket[~often], _short(h, bits)[0]))
-                size = n + LENGTH - 1
-                same = Hasher(data).spans(window, window + size) if len(window) else np.zeros(0, np.uint64)
-                order = np.lexsort((doc[idx], same, bucket))
-                window, n, idx, bucket, size, same = (x[order] for x in (window, n, idx, bucket, size, same))
-                first = np.ones(len(window), bool)
-                first[1:] = (same[1:] != same[:-1]) | (bucket[1:] != bucket[:-1])
-                least = doc[idx][first][np.cumsum(first) - 1]
-                lost = doc[idx] > least
-                spans = np.zeros(lost.sum(), SPAN)
-                spans["idx"], spans["start"] = idx[lost], (window - off[idx])[lost]
-                spans["end"] = spans["start"] + size[lost]
-                sent = ~lost  # with its repeats inside the smallest document
-                meta = np.zeros(sent.sum(), META)
-                meta["doc"], meta["idx"], meta["start"], meta["n"] = doc[idx][sent], idx[sent], (window - off[idx])[sent], n[sent]
-                window, size, bucket = window[sent], size[sent], bucket[sent]
-                which, cut = np.unique(bucket, return_index=True)
-                cut = np.append(cut, len(bucket))
-                pack = zstandard.ZstdCompressor(level=3)
-                texts = [pack.compress(_stretches(data, window[a:b], size[a:b]).tobytes()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
-                metas = [meta[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
-                m = len(which)
-                columns = [
-                    pa.array([*which.tolist(), None], pa.int32()),
-                    pa.array([row["chunk"]] * (m + 1), pa.int64()),
-                    pa.array([*metas, None], pa.binary()),
-                    pa.array([*texts, spans.tobytes()], pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "meta", "data"])
+        for row in _each(batches):
+            data, off = _unpacked(row)
+            hashes, window, n = anchors(data, off)
+            bucket, short = _short(hashes, bits)
+            idx = np.searchsorted(off, window, "right") - 1
+            doc = np.array([-1 if d is None else d for d in row["docs"]], np.int64)
+            skip = np.array([d is None for d in row["docs"]], bool)
+            skip[np.array(row["copies"] or [], np.int64)] = True
+            use = ~skip[idx] & _member(bucket, short, row["replies"] or [], "shared")
+            often = _member(bucket[use], short[use], row["replies"] or [], "often")
+            window, n, idx, bucket = window[use], n[use], idx[use], bucket[use]
+            if often.any():  # one stretch for each window of a frequent anchor, by its own hash
+                each = n[often]
+                stops = np.cumsum(each)
+                w = np.repeat(window[often] - (stops - each), each) + np.arange(stops[-1])
+                i = np.repeat(idx[often], each)
+                h = Hasher(data).spans(w, w + LENGTH)
+                window, n, idx = np.concatenate((window[~often], w)), np.concatenate((n[~often], np.ones(len(w), np.int64))), np.concatenate((idx[~often], i))
+                bucket = np.concatenate((bucket[~often], _short(h, bits)[0]))
+            size = n + LENGTH - 1
+            same = Hasher(data).spans(window, window + size) if len(window) else np.zeros(0, np.uint64)
+            order = np.lexsort((doc[idx], same, bucket))
+            window, n, idx, bucket, size, same = (x[order] for x in (window, n, idx, bucket, size, same))
+            first = np.ones(len(window), bool)
+            first[1:] = (same[1:] != same[:-1]) | (bucket[1:] != bucket[:-1])
+            least = doc[idx][first][np.cumsum(first) - 1]
+            lost = doc[idx] > least
+            spans = np.zeros(lost.sum(), SPAN)
+            spans["idx"], spans["start"] = idx[lost], (window - off[idx])[lost]
+            spans["end"] = spans["start"] + size[lost]
+            sent = ~lost  # with its repeats inside the smallest document
+            meta = np.zeros(sent.sum(), META)
+            meta["doc"], meta["idx"], meta["start"], meta["n"] = doc[idx][sent], idx[sent], (window - off[idx])[sent], n[sent]
+            window, size, bucket = window[sent], size[sent], bucket[sent]
+            which, cut = np.unique(bucket, return_index=True)
+            cut = np.append(cut, len(bucket))
+            pack = zstandard.ZstdCompressor(level=3)
+            texts = [pack.compress(_stretches(data, window[a:b], size[a:b]).tobytes()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            metas = [pack.compress(meta[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            m = len(which)
+            columns = [
+                pa.array([*which.tolist(), None], pa.int32()),
+                pa.array([row["chunk"]] * (m + 1), pa.int64()),
+                pa.array([*metas, None], pa.binary()),
+                pa.array([*texts, spans.tobytes()], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "meta", "data"])
 
     return run
 
@@ -232,17 +237,17 @@ def _sent_windows(bits: int):
 def _repeated(rows: pa.Table) -> pa.Table:
     """One bucket: which windows start in a smaller document as well, as spans of each chunk."""
     unpack = zstandard.ZstdDecompressor()
-    metas = [np.frombuffer(m, META) for m in rows.column("meta").to_pylist()]
+    metas = [np.frombuffer(unpack.decompress(m), META) for m in rows.column("meta").to_pylist()]
     data = np.frombuffer(b"".join(unpack.decompress(d) for d in rows.column("data").to_pylist()), np.uint8)
     meta = np.concatenate(metas)
     n = meta["n"].astype(np.int64)
     size = n + LENGTH - 1
     begin = np.cumsum(size) - size
     total = int(n.sum())
-    item = np.repeat(np.arange(len(n)), n)
-    nth = np.arange(total) - np.repeat(np.cumsum(n) - n, n)
-    order, equal = deep_shallow(data, begin[item] + nth, LENGTH)
-    run_of = np.cumsum(~equal) - 1
+    item = np.repeat(np.arange(len(n), dtype=np.int32), n)
+    nth = np.arange(total, dtype=np.int32) - np.repeat((np.cumsum(n) - n).astype(np.int32), n)
+    order, equal = deep_shallow(data, begin.astype(np.int32)[item] + nth, LENGTH)
+    run_of = np.cumsum(~equal, dtype=np.int32) - 1
     doc = meta["doc"][item[order]]
     least = np.minimum.reduceat(doc, np.flatnonzero(~equal)) if total else doc
     lost = np.zeros(total, bool)
@@ -265,28 +270,27 @@ def _repeated(rows: pa.Table) -> pa.Table:
 
 def _kept(batches):
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
-    for rows in batches:
-        for row in rows.to_pylist():
-            data, off = _unpacked(row)
-            edge = np.zeros(len(data) + 1, np.int32)
-            for raw in row["spans"] or []:
-                spans = np.frombuffer(raw, SPAN)
-                base = off[spans["idx"]]
-                np.add.at(edge, base + spans["start"], 1)
-                np.add.at(edge, base + spans["end"], -1)
-            gone = np.cumsum(edge[:-1]) > 0
-            for i in row["copies"] or []:
-                if off[i + 1] - off[i] >= LENGTH:
-                    gone[off[i] : off[i + 1]] = True
-            starts = gone.copy()
-            starts[1:] &= ~gone[:-1]
-            inner = off[1:-1][off[1:-1] < len(gone)]
-            starts[inner] = gone[inner]
-            count = np.concatenate(([0], np.cumsum(gone)))
-            runs = np.concatenate(([0], np.cumsum(starts)))
-            kept = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(off[:-1], off[1:], strict=True)]
-            columns = [pa.array(row["docs"], pa.int64()), pa.array(np.diff(off)), pa.array(np.diff(count[off])), pa.array(np.diff(runs[off])), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names)
+    for row in _each(batches):
+        data, off = _unpacked(row)
+        edge = np.zeros(len(data) + 1, np.int32)
+        for raw in row["spans"] or []:
+            spans = np.frombuffer(raw, SPAN)
+            base = off[spans["idx"]]
+            np.add.at(edge, base + spans["start"], 1)
+            np.add.at(edge, base + spans["end"], -1)
+        gone = np.cumsum(edge[:-1]) > 0
+        for i in row["copies"] or []:
+            if off[i + 1] - off[i] >= LENGTH:
+                gone[off[i] : off[i + 1]] = True
+        starts = gone.copy()
+        starts[1:] &= ~gone[:-1]
+        inner = off[1:-1][off[1:-1] < len(gone)]
+        starts[inner] = gone[inner]
+        count = np.concatenate(([0], np.cumsum(gone)))
+        runs = np.concatenate(([0], np.cumsum(starts)))
+        kept = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(off[:-1], off[1:], strict=True)]
+        columns = [pa.array(row["docs"], pa.int64()), pa.array(np.diff(off)), pa.array(np.diff(count[off])), pa.array(np.diff(runs[off])), pa.array(kept, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names)
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 
-PART = 1 << 20
+PART = 1 << 22
 
 
 def _words(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -43,7 +43,7 @@ def deep_shallow(data: np.ndarray, starts: np.ndarray, depth: int, shallow: int
     ``data`` holds at least ``depth`` bytes from every start.
     """
     shallow = min(shallow, depth - depth % 8)
-    order = np.arange(len(starts))
+    order = np.arange(len(starts), dtype=np.int32)
     new = np.zeros(len(starts), bool)
     new[:1] = True
     for low in range(0, shallow, 8):
@@ -51,7 +51,7 @@ def deep_shallow(data: np.ndarray, starts: np.ndarray, depth: int, shallow: int
         open_ = np.flatnonzero(np.repeat(size > 1, size))
         if not len(open_):
             break
-        own = np.cumsum(new)[open_]
+        own = np.cumsum(new, dtype=np.int32)[open_]
         word = _words(data, starts[order[open_]] + low)
         by = np.lexsort((word, own)) if low else np.argsort(word)
         order[open_] = order[open_][by]
@@ -67,7 +67,7 @@ def deep_shallow(data: np.ndarray, starts: np.ndarray, depth: int, shallow: int
         active, at, branch = active[parted], at[parted], branch[parted]
         if not len(active):
             break
-        own = np.cumsum(new[active])
+        own = np.cumsum(new[active], dtype=np.int32)
         byte = data[at + branch]
         by = np.lexsort((byte, own))
         order[active] = order[active][by]
