@@ -63,7 +63,7 @@ def test_quality_counts_equal_brute_force(documents, given, nothing):
 
 
 def test_quality_rules_take_lines_first():
-    good = "\n".join(f"Sentence {'abcdefghijkl'[i]} tells {'mnopqrstuvwx'[i]}ore about plain w{'aeiou'[i % 5]}rds of k{i}nd, and en{i}s as prose does." for i in range(12))
+    good = "\n".join(" ".join(f"{c}{'abcdefghijkl'[i]}{'nopqrstuvwxy'[i]}o" for c in ("S", "thr", "pl", "qu", "str", "br", "cl", "fl")) + "." for i in range(12))
     page = "Home | About | News | Sport | Contact\n" + good + "\nAll rights reserved.\nRead more"
     junk = "\n".join(f"w{i}### a{i}&&& b{i}%%% c{i}$$$ d{i}*** e{i}### f{i}&&&" for i in range(12))
     out = measure(texts_of(pa.array([good, page, junk, good + "\n" + junk + junk])))
