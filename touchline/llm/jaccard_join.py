@@ -10,7 +10,7 @@ documents are copied to every cell that the triangle inequality allows, and
 cells are cut again until they fit a task. What the metric cannot separate is
 joined block by block. Every link comes from exact set sizes.
 
-Rarity is the order of counts in a fixed array of 2**22 cells over all
+Rarity is the order of counts in a fixed array of 2**20 cells over all
 documents; any order gives the same links.
 """
 
@@ -21,15 +21,16 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.graph import components, spanning
-from touchline.llm.tables import query, table
+from touchline.llm.tables import query, sifted, table
 from touchline.llm.text import Hasher, Texts, mix, slices, windows
 from touchline.session import materialize
 
-CELLS = 22
+CELLS = 20
 CELL_ROWS = 64
 SHARED = 2
 SMALL = 24
@@ -105,7 +106,7 @@ def _heads(k: int):
         if held:
             cells += counts_of(held)
         if cells.any():
-            parts = [p.tobytes() for p in np.split(cells, CELL_ROWS)]
+            parts = [zstandard.compress(p.tobytes()) for p in np.split(cells, CELL_ROWS)]
             columns = [pa.nulls(CELL_ROWS, pa.int64()), pa.nulls(CELL_ROWS, pa.int64()), pa.nulls(CELL_ROWS, pa.binary())]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(range(CELL_ROWS), pa.int32()), pa.array(parts, pa.binary())], names)
 
@@ -117,7 +118,7 @@ def _add_counts(batches):
     total: dict[int, np.ndarray] = {}
     for rows in batches:
         for part, counts in zip(rows.column("part").to_pylist(), rows.column("counts"), strict=True):
-            own = np.frombuffer(counts.as_py(), np.uint32).astype(np.uint64)
+            own = np.frombuffer(zstandard.decompress(counts.as_py()), np.uint32).astype(np.uint64)
             total[part] = total[part] + own if part in total else own
     if total:
         # steps of a twelfth of a doubling keep the order well enough in one byte for counts up to 2**21, coarser beyond
@@ -126,7 +127,7 @@ def _add_counts(batches):
 
 
 def rarity(heads: DataFrame) -> np.ndarray:
-    """One byte for each of 2**22 cells (4 MB whatever the input): how often its shingles occur."""
+    """One byte for each of 2**20 cells (1 MB whatever the input): how often its shingles occur."""
     sums = heads.where("part IS NOT NULL").select("part", "counts").repartition(CELL_ROWS, "part")
     out = np.zeros((CELL_ROWS, (1 << CELLS) // CELL_ROWS), np.uint8)
     for row in sums.mapInArrow(_add_counts, "part int, steps binary").collect():
@@ -372,7 +373,10 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "d
     classes = materialize(classes, "shingle-classes")
     shingles = classes.select(F.col("class_id").alias("doc"), "n")
     cells = spark.sparkContext.broadcast(rarity(heads))
-    firsts = known.join(classes.where("n > 1").select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
+    later = rows.join(classes.where("n > 1"), "digest").where("doc_id > class_id").select("doc_id").distinct()
+    later = materialize(later.unionByName(rows.where("n < 2 AND doc_id IS NOT NULL").select("doc_id")), "later-copies")
+    marked = sifted(known, "doc_id", later, "doc_id")
+    firsts = marked.where("NOT maybe").drop("maybe").unionByName(marked.where("maybe").drop("maybe").join(later, "doc_id", "left_anti"))
     entries = firsts.mapInArrow(_entries(k, measure, cells), "key long, band int, doc long, n long")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     entries = entries.repartition(4 * parts, "key", "band").sortWithinPartitions("key", "band", F.xxhash64("doc"), "doc")
@@ -381,7 +385,9 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "d
     pairs = materialize(pairs, "candidates")
     members = materialize(met.where("NOT pair").select("region", "doc").distinct(), "members")
     wanted = pairs.select("doc").unionAll(pairs.select("region")).unionAll(members.select("doc")).distinct()
-    texts = materialize(known.join(wanted, known.doc_id == wanted.doc, "left_semi").select(F.col("doc_id").alias("doc"), "text").dropDuplicates(["doc"]), "candidate-texts")
+    wanted = materialize(wanted, "wanted")
+    likely = sifted(known, "doc_id", wanted, "doc").where("maybe")
+    texts = materialize(likely.join(wanted, likely.doc_id == wanted.doc, "left_semi").select(F.col("doc_id").alias("doc"), "text").dropDuplicates(["doc"]), "candidate-texts")
     one = pairs.groupBy("region").agg(F.count(F.lit(1)).alias("docs")).select("region", (1 + F.floor(F.col("docs") / LEAF_DOCS)).cast("int").alias("copies"))
     pivots = pairs.select("region").distinct().select("region", F.lit(0).alias("slot"), F.col("region").alias("doc")).join(texts, "doc")
     star = _pivot_distances(pairs.join(texts, "doc"), pivots, k, measure, one)

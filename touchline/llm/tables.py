@@ -50,3 +50,21 @@ def with_rest(schema: str, chosen: DataFrame) -> StructType:
 
 def rest_of(rows) -> list:
     return [rows.column("rest")] if "rest" in rows.schema.names else []
+
+
+#: words of 64 bits in a sift: never more than so many rows are broadcast
+SIFT_WORDS = 1 << 17
+
+
+def sifted(rows: DataFrame, key: str, wanted: DataFrame, column: str) -> DataFrame:
+    """``rows`` with ``maybe``: false only where ``key`` is surely not in ``column`` of ``wanted``.
+
+    The keys wanted become one bit each of a bitmap of fixed size, so rows that
+    nobody wants need no shuffle; a bitmap that fills up just sifts less.
+    """
+    place = lambda c: F.shiftright(F.xxhash64(c), 6).bitwiseAND(F.lit(SIFT_WORDS - 1))
+    mask = F.expr(f"shiftleft(1L, cast(xxhash64({column}) & 63 AS INT))")
+    words = wanted.select(place(column).alias("sift_word"), mask.alias("mask")).groupBy("sift_word").agg(F.bit_or("mask").alias("sift_bits"))
+    out = rows.withColumn("sift_word", place(key)).join(F.broadcast(words), "sift_word", "left")
+    bit = F.xxhash64(key).bitwiseAND(F.lit(63)).cast("int")
+    return out.withColumn("maybe", F.coalesce(F.getbit("sift_bits", bit) == 1, F.lit(False))).drop("sift_word", "sift_bits")
