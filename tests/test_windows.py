@@ -24,34 +24,34 @@ def skewed(spark):
     )
 
 
-@pytest.mark.parametrize("limit", [10, 60, 10_000])
-def test_rolling_means(spark, skewed, limit):
+@pytest.mark.parametrize("n_slices", [60, 10, None])
+def test_rolling_means(spark, skewed, n_slices):
     frame = Window.partitionBy("k").orderBy("t", "id").rowsBetween(-5, -1)
     plain = skewed.withColumn("m", F.avg("v").over(frame))
-    got = windows.rolling_means(skewed, ["k"], ["t", "id"], {"m": "v"}, 5, limit)
+    got = windows.rolling_means(skewed, ["k"], ["t", "id"], {"m": "v"}, 5, n_slices)
     assert rows(got.select("id", "m"), "id") == rows(plain.select("id", "m"), "id")
 
 
-@pytest.mark.parametrize("limit", [10, 60, 10_000])
-def test_running_totals(spark, skewed, limit):
+@pytest.mark.parametrize("n_slices", [60, 10, None])
+def test_running_totals(spark, skewed, n_slices):
     frame = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, -1)
     plain = skewed.withColumn("s", F.coalesce(F.sum("v").over(frame), F.lit(0)))
-    got = windows.running_totals(skewed, ["k"], ["t", "id"], {"s": "v"}, limit)
+    got = windows.running_totals(skewed, ["k"], ["t", "id"], {"s": "v"}, n_slices)
     assert rows(got.select("id", "s"), "id") == rows(plain.select("id", "s"), "id")
 
 
-@pytest.mark.parametrize("limit", [20, 10_000])
-def test_rank_by(spark, skewed, limit):
+@pytest.mark.parametrize("n_slices", [20, None])
+def test_rank_by(spark, skewed, n_slices):
     plain = skewed.withColumn("rank", F.rank().over(Window.partitionBy("k").orderBy(F.desc("v"))).cast("long"))
-    got = windows.rank_by(skewed, ["k"], "v", rows_per_slice=limit)
+    got = windows.rank_by(skewed, ["k"], "v", slices=n_slices)
     assert rows(got.select("id", "rank"), "id") == rows(plain.select("id", "rank"), "id")
 
 
-@pytest.mark.parametrize("limit", [15, 10_000])
-def test_as_of_join(spark, skewed, limit):
+@pytest.mark.parametrize("n_slices", [30, None])
+def test_as_of_join(spark, skewed, n_slices):
     left = skewed.filter("id % 2 = 0").select("id", "k", "t")
     right = skewed.filter("id % 5 = 1").select("k", F.col("t").alias("rt"), "v")
-    got = windows.as_of_join(left, right, ["k"], "t", "rt", ["v"], limit)
+    got = windows.as_of_join(left, right, ["k"], "t", "rt", ["v"], n_slices)
     pool = {}
     for k, t, v in right.collect():
         pool.setdefault(k, []).append((t, v))
@@ -63,29 +63,50 @@ def test_as_of_join(spark, skewed, limit):
     assert rows(got, "id") == expected
 
 
-@pytest.mark.parametrize("limit", [25, 10_000])
-def test_exact_percentiles(spark, skewed, limit):
+@pytest.mark.parametrize("accuracy", [20, 50_000])
+def test_exact_percentiles(spark, skewed, accuracy):
     plain = skewed.groupBy("k").agg(F.percentile("v", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.99))).alias("p"))
     expected = {(r["k"], p): v for r in plain.collect() for p, v in zip((0.1, 0.5, 0.99), r["p"])}
-    got = aggregates.exact_percentiles(skewed, ["v"], [0.1, 0.5, 0.99], ["k"], limit)
+    got = aggregates.exact_percentiles(skewed, ["v"], [0.1, 0.5, 0.99], ["k"], accuracy)
     assert {(r["k"], r["p"]): pytest.approx(r["value"]) for r in got.collect()} == expected
 
 
 def test_slices_cover_and_order(spark, skewed):
-    plan = slices.plan_slices(skewed, ["k"], ["t", "id"], 40)
-    assert plan.needed
-    cut = skewed.withColumn("s", slices.slice_column(skewed, plan))
-    spans = cut.filter("k = 99").groupBy("s").agg(F.min(F.struct("t", "id")).alias("lo"), F.max(F.struct("t", "id")).alias("hi"))
-    ordered = spans.orderBy("s").collect()
-    assert len(ordered) > 3
+    cut = slices.in_slices(skewed, ["k"], ["t", "id"], 15)
+    spans = cut.groupBy(slices.SLICE).agg(F.min(F.struct("k", "t", "id")).alias("lo"), F.max(F.struct("k", "t", "id")).alias("hi"), F.count(F.lit(1)).alias("n"))
+    ordered = spans.orderBy(slices.SLICE).collect()
+    assert len(ordered) > 10 and sum(r["n"] for r in ordered) == 600
     assert all(a["hi"] < b["lo"] for a, b in zip(ordered, ordered[1:]))
-    assert cut.filter("k <> 99").agg(F.max("s")).first()[0] == 0
+
+
+def test_many_heavy_groups_are_all_cut(spark):
+    """3,000 heavy groups in ranges of their own: every one is cut, no slice is much larger than the others."""
+    df = spark.range(240_000).selectExpr("id", "id % 3000 AS k", "id % 3000 * 1000 + cast(id / 3000 AS int) AS t", "1D AS v")
+    cut = slices.in_slices(df, ["k"], ["t"], 6000)
+    sizes = cut.groupBy("k", slices.SLICE).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 80
+    assert cut.groupBy(slices.SLICE).count().agg(F.max("count")).first()[0] <= 200
+    assert sizes.groupBy("k").count().filter("count > 1").count() > 2000
+
+
+def test_row_numbers_of_a_sorted_whole(spark, skewed):
+    got = windows.with_rank(skewed, [F.desc("v"), F.asc("id")], "place", 20).orderBy("place").collect()
+    want = sorted(skewed.collect(), key=lambda r: (-r["v"], r["id"]))
+    assert [(r["id"], r["place"]) for r in got] == [(r["id"], i + 1) for i, r in enumerate(want)]
+
+
+def test_null_keys_and_missing_values_rank(spark):
+    df = spark.createDataFrame([(1, None, 2.0), (2, None, None), (3, "a", 1.0), (4, None, 5.0), (5, None, 2.0)], "id int, k string, v double")
+    means = windows.rolling_means(df, ["k"], ["id"], {"m": "v"}, 2, 5)
+    assert {r["id"]: r["m"] for r in means.collect()} == {1: None, 2: 2.0, 3: None, 4: 2.0, 5: 5.0}
+    ranked = windows.rank_by(df.filter("k IS NULL").withColumn("k", F.lit("x")), ["k"], "v")
+    assert {r["id"]: r["rank"] for r in ranked.collect()} == {1: 2, 2: None, 4: 1, 5: 2}
 
 
 def test_null_order_values_go_first(spark):
     df = spark.sql("SELECT id, 1 AS k, if(id < 5, NULL, id) AS t, 1D AS v FROM range(60)")
     frame = Window.partitionBy("k").orderBy("t", "id").rowsBetween(-3, -1)
-    got = windows.rolling_means(df, ["k"], ["t", "id"], {"m": "id"}, 3, 7)
+    got = windows.rolling_means(df, ["k"], ["t", "id"], {"m": "id"}, 3, 9)
     plain = df.withColumn("m", F.avg("id").over(frame))
     assert rows(got.select("id", "m"), "id") == rows(plain.select("id", "m"), "id")
 
@@ -155,9 +176,9 @@ def test_chi2_against_spark_ml(spark, skewed):
     assert ours["p_value"] == pytest.approx(theirs["pValue"], abs=1e-9)
 
 
-@pytest.mark.parametrize("limit", [5, 10_000])
-def test_mann_whitney_by_pairs(spark, skewed, limit):
-    got = mann_whitney(skewed, F.col("k") == 99, "v", rows_per_slice=limit).first()
+@pytest.mark.parametrize("n_slices", [12, None])
+def test_mann_whitney_by_pairs(spark, skewed, n_slices):
+    got = mann_whitney(skewed, F.col("k") == 99, "v", slices=n_slices).first()
     first = [r["v"] for r in skewed.filter("k = 99").collect()]
     second = [r["v"] for r in skewed.filter("k <> 99").collect()]
     u = sum((a > b) + 0.5 * (a == b) for a in first for b in second)

@@ -4,16 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.rates import ratio, share_pct
-from touchline.operators.slices import heavy_groups
-from touchline.operators.windows import running_totals
-from touchline.session import materialize
 
-# the built-in percentile holds the distinct values of a group in memory
-ROWS_PER_AGGREGATE = 1_000_000
+# of the approximate percentiles that bracket the exact ones: one in so many ranks off at most
+ACCURACY = 50_000
 
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
@@ -78,42 +75,59 @@ def exact_percentiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     keys: Sequence[str] = (),
-    rows_per_slice: int = ROWS_PER_AGGREGATE,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Exact, linearly interpolated percentiles as rows (keys, column, p, value).
 
-    Small groups use the built-in aggregate. When some group is too large for
-    one task's memory, values are counted, cumulated and the two neighbours of
-    each wanted position are looked up, which never gathers a group.
+    Approximate percentiles a little below and above bracket each wanted
+    position. A second pass counts the values below the bracket and, one by one,
+    those inside it: about one row in 6,000, or a whole group of up to twice
+    ``accuracy`` rows. No task gathers more of a group than that.
     """
-    grid = F.array(*[F.lit(float(p)) for p in probabilities])
-    if not heavy_groups(df, keys, rows_per_slice):
-        wide = df.groupBy(*keys).agg(*[F.percentile(c, grid).alias(c) for c in columns])
-        long = wide.unpivot(list(keys), list(columns), "column", "_values")
-        pairs = F.arrays_zip(grid.alias("p"), F.col("_values").alias("value"))
-        return (
-            long.filter(F.col("_values").isNotNull())
-            .select(*keys, "column", F.explode(pairs).alias("_pair"))
-            .select(*keys, "column", F.col("_pair.p").alias("p"), F.col("_pair.value").alias("value"))
-        )
     doubles = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
     long = doubles.unpivot(list(keys), list(columns), "column", "_value").filter(F.col("_value").isNotNull())
     group = [*keys, "column"]
-    counts = materialize(long.groupBy(*group, "_value").agg(F.count(F.lit(1)).alias("_n")), "counts")
-    below = running_totals(counts, group, ["_value"], {"_below": "_n"}, rows_per_slice)
-    totals = counts.groupBy(*group).agg(F.sum("_n").alias("_total"))
-    wanted = totals.select(*group, "_total", F.explode(grid).alias("p")).withColumn(
-        "_at", F.col("p") * (F.col("_total") - 1)
+    margin = 4 / accuracy
+    lows = [max(0.0, float(p) - margin) for p in probabilities]
+    highs = [min(1.0, float(p) + margin) for p in probabilities]
+    grid = F.array(*[F.lit(p) for p in (*lows, *highs)])
+    stats = long.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("_total"),
+        F.min("_value").alias("_min"),
+        F.max("_value").alias("_max"),
+        F.percentile_approx("_value", grid, accuracy).alias("_near"),
+    )
+    whole = F.col("_total") <= 2 * accuracy
+    n = len(lows)
+
+    def bracket(k: int, p: float) -> Column:
+        low = F.when(whole | F.lit(lows[k] == 0), F.col("_min")).otherwise(F.col("_near")[k])
+        high = F.when(whole | F.lit(highs[k] == 1), F.col("_max")).otherwise(F.col("_near")[n + k])
+        return F.struct(F.lit(float(p)).alias("p"), low.alias("_low"), high.alias("_high"))
+
+    marks = stats.select(
+        *[F.col(c).alias(f"_of_{c}") for c in group], "_total", F.explode(F.array(*[bracket(k, p) for k, p in enumerate(probabilities)])).alias("_mark")
+    ).select("*", "_mark.*")
+    test = F.col("_value") <= F.col("_high")
+    for c in group:
+        test = test & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    # below the bracket all rows count as one
+    seen = F.when(F.col("_value") >= F.col("_low"), F.col("_value"))
+    counts = (
+        long.join(marks, test)
+        .groupBy(*group, "p", "_total", seen.alias("_value"))
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    lo, hi = F.floor("_at"), F.ceil("_at")
+    earlier = Window.partitionBy(*group, "p").orderBy(F.asc_nulls_first("_value")).rowsBetween(Window.unboundedPreceding, -1)
+    below = counts.withColumn("_below", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    at = F.col("p") * (F.col("_total") - 1)
 
     def covers(place: Column) -> Column:
         return (F.col("_below") <= place) & (place < F.col("_below") + F.col("_n"))
 
     picked = (
-        below.join(wanted, on=group, how="inner")
-        .filter(covers(lo) | covers(hi))
-        .groupBy(*group, "p", "_at")
+        below.filter(F.col("_value").isNotNull() & (covers(F.floor(at)) | covers(F.ceil(at))))
+        .groupBy(*group, "p", at.alias("_at"))
         .agg(F.min("_value").alias("_lo"), F.max("_value").alias("_hi"))
     )
     value = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_at") - F.floor("_at"))

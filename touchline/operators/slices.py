@@ -1,112 +1,56 @@
-"""Ordered work over groups of very uneven size.
-
-A window needs all rows of a group in one task. When one group holds a large
-part of the table that task never ends, so heavy groups are cut into slices
-along the sort order. Each slice is an own window group, and operators carry
-the little state they need (the last n rows, a running total, the last match)
-from slice to slice. Groups below the limit keep a single slice.
-
-The cut points are plain literals taken from a bounded sample, so every pass
-over the data assigns the same row to the same slice.
+"""Ordered work over groups of any size, in slices of about equal size.
+
+A window needs all rows of a group in one task. Here rows are range-partitioned
+by group and order instead: every partition holds a contiguous stretch, light
+groups share one, heavy groups span several, each with cuts of its own. Rows are
+stored once with the number of their stretch, which makes (group, slice) the
+window group. Only the last group of a slice can go on in the next one, so what
+operators carry over (the last rows, a running total, the last match) is at
+most one small record for each slice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.constants import SEED
-
-ROWS_PER_SLICE = 5_000_000
-MAX_SLICES = 1024
-MAX_HEAVY_GROUPS = 2000
-SAMPLE_PER_SLICE = 50
-
-
-@dataclass(frozen=True)
-class Slicing:
-    """Heavy groups (as key hashes) and the cut points of the sort order."""
-
-    keys: tuple[str, ...]
-    order: tuple[str, ...]
-    heavy: tuple[int, ...]
-    cuts: tuple[tuple, ...]
-
-    @property
-    def needed(self) -> bool:
-        return bool(self.cuts)
+from touchline.session import materialize
 
-    def is_heavy(self) -> Column:
-        """A light group that shares a hash is sliced too, which changes no result."""
-        return F.xxhash64(*[F.col(k) for k in self.keys]).isin(list(self.heavy)) if self.keys else F.lit(True)
+SLICE = "_slice"
 
 
-def _sortable(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType.typeName()
-    if kind in ("timestamp", "timestamp_ntz"):
-        return F.unix_micros(F.col(name).cast("timestamp"))
-    if kind == "date":
-        return F.unix_date(name).cast("long")
-    return F.col(name)
+def in_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], slices: int | None = None) -> DataFrame:
+    """The rows, stored, with ``_slice``: stretches of the order by ``keys`` and ``order``, numbered along it.
 
+    Rows equal in both stay together. Without ``slices`` their number follows
+    the session's shuffle partitions and the size of the data.
+    """
+    by = [F.col(c) if isinstance(c, str) else c for c in [*keys, *order]]
+    ranged = df.repartitionByRange(slices, *by) if slices else df.repartitionByRange(*by)
+    return materialize(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
 
-def _sortable_type(df: DataFrame, name: str) -> str:
-    kind = df.schema[name].dataType
-    return "long" if kind.typeName() in ("timestamp", "timestamp_ntz", "date") else kind.simpleString()
 
-
-def heavy_groups(df: DataFrame, keys: Sequence[str], limit: int) -> list[tuple[int, int]]:
-    """(key hash, size) of the groups with more than ``limit`` rows, the 2000 largest at most."""
+def last_groups(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of the group that stands last in each slice, the only one that may go on."""
     if not keys:
-        n = df.count()
-        return [(0, n)] if n > limit else []
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
-    hashed = sizes.select(F.xxhash64(*[F.col(k) for k in keys]).alias("_key"), "_rows")
-    return [tuple(r) for r in hashed.orderBy(F.desc("_rows")).limit(MAX_HEAVY_GROUPS).collect()]
-
-
-def plan_slices(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE
-) -> Slicing:
-    """Find groups above ``rows_per_slice`` rows and cut points that split them evenly."""
-    found = heavy_groups(df, keys, rows_per_slice)
-    empty = Slicing(tuple(keys), tuple(order), (), ())
-    if not found:
-        return empty
-    groups = Slicing(tuple(keys), tuple(order), tuple(key for key, _ in found), ())
-    total = sum(size for _, size in found)
-    n_slices = min(MAX_SLICES, -(-max(size for _, size in found) // rows_per_slice))
-    wanted = n_slices * SAMPLE_PER_SLICE
-    sample = (
-        df.filter(groups.is_heavy())
-        .select(*[_sortable(df, c).alias(c) for c in order])
-        .sample(withReplacement=False, fraction=min(1.0, wanted / total), seed=SEED)
-        .limit(4 * wanted)
-        .collect()
-    )
-    points = sorted({tuple(r) for r in sample if None not in tuple(r)})
-    if len(points) < 2:
-        return empty
-    picks = sorted({points[len(points) * i // n_slices] for i in range(1, n_slices)})
-    return replace(groups, cuts=tuple(picks))
-
-
-def slice_column(df: DataFrame, slicing: Slicing) -> Column:
-    """Slice number of a row: 0 for light groups, 0..n along the order for heavy ones."""
-    if not slicing.needed:
-        return F.lit(0)
-    here = F.struct(*[_sortable(df, c).alias(c) for c in slicing.order])
-    kinds = [_sortable_type(df, c) for c in slicing.order]
-    cuts = slicing.cuts
-
-    def find(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        cut = F.struct(*[F.lit(v).cast(k).alias(c) for v, k, c in zip(cuts[mid], kinds, slicing.order)])
-        return F.when(here >= cut, find(mid + 1, hi)).otherwise(find(lo, mid))
-
-    return F.when(slicing.is_heavy(), find(0, len(cuts))).otherwise(F.lit(0))
+        return rows
+    last = rows.groupBy(SLICE).agg(F.max(F.struct(*keys)).alias("_last")).withColumnRenamed(SLICE, "_of")
+    # one row for each slice
+    same = [F.col(k).eqNullSafe(F.col(f"_last.{k}")) for k in keys]
+    test = F.col(SLICE) == F.col("_of")
+    for s in same:
+        test = test & s
+    return rows.join(last, test, "left_semi")
+
+
+def going_on(ends: DataFrame, rows: DataFrame, keys: Sequence[str], states: Sequence[str]) -> DataFrame:
+    """The last groups' states, and a row without state for the slice after each, where the group may go on."""
+    # one row for each slice
+    steps = rows.select(SLICE).distinct()
+    steps = steps.select(F.col(SLICE).alias("_of"), F.lead(SLICE).over(Window.orderBy(SLICE)).alias("_next"))
+    after = ends.join(steps.filter(F.col("_next").isNotNull()), F.col(SLICE) == F.col("_of"))
+    after = after.select(*keys, F.col("_next").alias(SLICE), *[F.lit(None).cast(ends.schema[c].dataType).alias(c) for c in states])
+    both = ends.select(*keys, SLICE, *states).unionByName(after)
+    return both.groupBy(*keys, SLICE).agg(*[F.max(c).alias(c) for c in states])

@@ -10,9 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.operators.slices import ROWS_PER_SLICE
 from touchline.operators.windows import running_totals
-from touchline.session import materialize
 
 
 def chi2_tail(x: str | Column, dof: str | Column) -> Column:
@@ -99,7 +97,7 @@ def max_deviation(df: DataFrame, row: str, column: str, by: str) -> DataFrame:
 
 
 def mann_whitney(
-    df: DataFrame, is_first: Column, value: str, p_value: bool = True, rows_per_slice: int = ROWS_PER_SLICE
+    df: DataFrame, is_first: Column, value: str, p_value: bool = True, slices: int | None = None
 ) -> DataFrame:
     """Two-sided U test of first group against the rest, with tie and continuity correction.
 
@@ -107,11 +105,10 @@ def mann_whitney(
     values are one row and nothing is sorted in one task beyond a slice.
     """
     data = df.select(is_first.alias("_first"), F.col(value).alias("_value")).dropna()
-    per_value = data.groupBy("_value").agg(
+    counts = data.groupBy("_value").agg(
         F.count(F.lit(1)).alias("_n"), F.count_if(F.col("_first")).alias("_n1")
     )
-    counts = materialize(per_value, "counts")
-    below = running_totals(counts, [], ["_value"], {"_below": "_n"}, rows_per_slice)
+    below = running_totals(counts, [], ["_value"], {"_below": "_n"}, slices)
     mid_rank = F.col("_below") + (F.col("_n") + 1) / 2.0
     ties = (F.col("_n").cast("double") * F.col("_n") * F.col("_n")) - F.col("_n")
     sums = below.agg(

@@ -7,8 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.operators.slices import ROWS_PER_SLICE, plan_slices, slice_column
-from touchline.session import materialize
+from touchline.operators.slices import SLICE, going_on, in_slices, last_groups
 
 
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1, rank: str | None = None) -> DataFrame:
@@ -39,9 +38,16 @@ def both_ends(df: DataFrame, by: str, n: int, tie: str) -> DataFrame:
     return high.unionByName(low).distinct()
 
 
-def with_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
-    """Place in a sorted report. For result tables of known small size only."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+def with_rank(df: DataFrame, order: Sequence[Column], name: str = "rank", slices: int | None = None) -> DataFrame:
+    """Place of every row in the sorted whole, counted slice by slice. ``order`` must be a total order."""
+    rows = in_slices(df, [], order, slices)
+    sizes = rows.groupBy(SLICE).agg(F.count(F.lit(1)).alias("_size"))
+    # one row for each slice
+    before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(F.col(SLICE).alias("_of"), F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    placed = rows.withColumn("_place", F.row_number().over(Window.partitionBy(SLICE).orderBy(*order)))
+    found = placed.join(starts, F.col(SLICE) == F.col("_of"))
+    return found.withColumn(name, (F.col("_start") + F.col("_place")).cast("int")).select(*df.columns, name)
 
 
 def top_mean(df: DataFrame, keys: Sequence[str], columns: Sequence[str], n: int, prefix: str) -> DataFrame:
@@ -57,45 +63,49 @@ def top_mean(df: DataFrame, keys: Sequence[str], columns: Sequence[str], n: int,
     )
 
 
+def _attach(rows: DataFrame, carried: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Adds what each slice's first group carries over; other groups get null."""
+    right = carried.select(F.col(SLICE).alias("_of"), *[F.col(k).alias(f"_of_{k}") for k in keys], *names)
+    test = F.col(SLICE) == F.col("_of")
+    for k in keys:
+        test = test & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    return rows.join(right, test, "left").drop("_of", *[f"_of_{k}" for k in keys])
+
+
 def rolling_means(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     measures: Mapping[str, str],
     n: int,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    slices: int | None = None,
 ) -> DataFrame:
     """Mean of each measure over the previous ``n`` rows of the group, current row left out.
 
     ``order`` must be a total order within the group.
     """
-    slicing = plan_slices(df, keys, order, rows_per_slice)
-
-    def means(rows: DataFrame, groups: Sequence[str]) -> DataFrame:
-        frame = Window.partitionBy(*groups).orderBy(*order).rowsBetween(-n, -1)
-        return rows.select("*", *[F.avg(c).over(frame).alias(name) for name, c in measures.items()])
-
-    if not slicing.needed:
-        return means(df, keys)
-
-    rows = df.withColumn("_slice", slice_column(df, slicing))
+    rows = in_slices(df, keys, order, slices)
     kept = list(dict.fromkeys([*order, *measures.values()]))
-    groups = [*keys, "_slice"]
+    groups = [*keys, SLICE]
+    ends = last_groups(rows.select(*groups, *[c for c in kept if c not in groups]), keys)
     tail = (
-        top_n(rows.filter(slicing.is_heavy()).select(*groups, *kept), groups, [F.desc(c) for c in order], n)
+        top_n(ends, groups, [F.desc(c) for c in order], n)
         .groupBy(*groups)
         .agg(F.sort_array(F.collect_list(F.struct(*kept))).alias("_tail"))
     )
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(-n, -1)
-    carried = F.flatten(F.collect_list("_tail").over(before))
+    # n earlier slices of a group hold n rows of it, or all there are
+    marks = going_on(tail, rows, keys, ["_tail"])
+    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(-n, -1)
     lead = (
-        tail.select(*groups, carried.alias("_carried"))
+        marks.select(*groups, F.flatten(F.collect_list("_tail").over(before)).alias("_carried"))
         .filter(F.size("_carried") > 0)
         .select(*groups, F.explode(F.slice("_carried", F.greatest(F.size("_carried") - n + 1, F.lit(1)), n)).alias("_row"))
-        .select(*groups, "_row.*", F.lit(True).alias("_lead"))
+        .select(*groups, *[F.col(f"_row.{c}").alias(c) for c in kept if c not in groups], F.lit(True).alias("_lead"))
     )
     together = rows.withColumn("_lead", F.lit(False)).unionByName(lead, allowMissingColumns=True)
-    return means(together, groups).filter(~F.col("_lead")).drop("_lead", "_slice")
+    frame = Window.partitionBy(*groups).orderBy(*order).rowsBetween(-n, -1)
+    means = together.select("*", *[F.avg(c).over(frame).alias(name) for name, c in measures.items()])
+    return means.filter(~F.col("_lead")).drop("_lead", SLICE)
 
 
 def running_totals(
@@ -103,56 +113,43 @@ def running_totals(
     keys: Sequence[str],
     order: Sequence[str],
     sums: Mapping[str, str],
-    rows_per_slice: int = ROWS_PER_SLICE,
+    slices: int | None = None,
 ) -> DataFrame:
     """Sum of each column over all earlier rows of the group (0 for the first row).
 
     ``order`` must be a total order within the group.
     """
-    slicing = plan_slices(df, keys, order, rows_per_slice)
 
     def earlier(rows: DataFrame, groups: Sequence[str], by: Sequence[str], names: Mapping[str, str]) -> DataFrame:
         frame = Window.partitionBy(*groups).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
         return rows.select("*", *[F.coalesce(F.sum(c).over(frame), F.lit(0)).alias(out) for out, c in names.items()])
 
-    if not slicing.needed:
-        return earlier(df, keys, order, sums)
-
-    rows = df.withColumn("_slice", slice_column(df, slicing))
-    groups = [*keys, "_slice"]
-    heavy = rows.filter(slicing.is_heavy())
-    per_slice = heavy.groupBy(*groups).agg(*[F.sum(c).alias(f"_sum_{out}") for out, c in sums.items()])
-    offsets = earlier(per_slice, keys, ["_slice"], {f"_before_{out}": f"_sum_{out}" for out in sums}).select(
-        *groups, *[f"_before_{out}" for out in sums]
-    )
+    rows = in_slices(df, keys, order, slices)
+    groups = [*keys, SLICE]
     inside = earlier(rows, groups, order, {f"_in_{out}": c for out, c in sums.items()})
-    # same keys as the window, so the long side is not shuffled again
-    joined = inside.join(offsets, on=groups, how="left")
+    before = [f"_before_{out}" for out in sums]
+    ends = last_groups(rows, keys).groupBy(*groups).agg(*[F.sum(c).alias(f"_sum_{out}") for out, c in sums.items()])
+    offsets = earlier(going_on(ends, rows, keys, [f"_sum_{o}" for o in sums]), keys, [SLICE], {f"_before_{out}": f"_sum_{out}" for out in sums})
+    joined = _attach(inside, offsets, keys, before)
     return joined.select(
         *df.columns,
         *[(F.coalesce(F.col(f"_before_{out}"), F.lit(0)) + F.col(f"_in_{out}")).alias(out) for out in sums],
     )
 
 
-def rank_by(
-    df: DataFrame, keys: Sequence[str], value: str, name: str = "rank", rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame:
-    """Rank by descending value per group; ties share the lowest rank.
+def rank_by(df: DataFrame, keys: Sequence[str], value: str, name: str = "rank", slices: int | None = None) -> DataFrame:
+    """Rank by descending value per group; ties share the lowest rank, a missing value has none.
 
     Ranks distinct values by how many rows lie above, then joins the ranks
-    back, so no task holds more than the distinct values of one slice. The
-    counts are read several times and therefore written once.
+    back, so no task holds more than the distinct values of one slice.
     """
-    counts = materialize(
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_down", -F.col(value)),
-        "counts",
-    )
-    above = running_totals(counts, keys, ["_down"], {"_above": "_n"}, rows_per_slice)
+    known = df.filter(F.col(value).isNotNull())
+    counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_down", -F.col(value))
+    above = running_totals(counts, keys, ["_down"], {"_above": "_n"}, slices)
     ranks = above.select(*keys, value, (F.col("_above") + 1).alias(name))
-    return df.join(ranks, on=[*keys, value], how="left")
+    ranked = known.join(ranks, on=[*keys, value], how="left").select(*df.columns, name)
+    unknown = df.filter(F.col(value).isNull()).withColumn(name, F.lit(None).cast("long"))
+    return ranked.unionByName(unknown)
 
 
 def as_of_join(
@@ -162,7 +159,7 @@ def as_of_join(
     left_time: str,
     right_time: str,
     payload: Sequence[str],
-    rows_per_slice: int = ROWS_PER_SLICE,
+    slices: int | None = None,
 ) -> DataFrame:
     """For each left row, the payload of the newest right row at or before its time.
 
@@ -178,21 +175,18 @@ def as_of_join(
         .withColumn("_side", F.lit(0))
     )
     query = left.withColumns({"_time": F.col(left_time), "_side": F.lit(1)})
-    stacked = query.unionByName(event, allowMissingColumns=True)
     order = ["_time", "_side"]
-    slicing = plan_slices(stacked, keys, order, rows_per_slice)
-    if slicing.needed:
-        stacked = materialize(stacked, "asof")
-    rows = stacked.withColumn("_slice", slice_column(stacked, slicing))
-    groups = [*keys, "_slice"]
+    rows = in_slices(query.unionByName(event, allowMissingColumns=True), keys, order, slices)
+    groups = [*keys, SLICE]
     upto = Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     found = rows.withColumn("_found", F.last("_hit", ignorenulls=True).over(upto))
-    if slicing.needed:
-        ends = rows.filter(slicing.is_heavy()).groupBy(*groups).agg(F.max("_hit").alias("_end"))
-        earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-        starts = ends.select(*groups, F.last("_end", ignorenulls=True).over(earlier).alias("_start"))
-        found = found.join(starts, on=groups, how="left").withColumn("_found", F.coalesce("_found", "_start"))
-    return found.filter("_side = 1").select(
+    # the time comes first in the payload, so the largest is the newest
+    ends = last_groups(rows, keys).groupBy(*groups).agg(F.max("_hit").alias("_end"))
+    marks = going_on(ends, rows, keys, ["_end"])
+    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    starts = marks.select(*groups, F.last("_end", ignorenulls=True).over(earlier).alias("_start"))
+    both = _attach(found, starts, keys, ["_start"]).withColumn("_found", F.coalesce("_found", "_start"))
+    return both.filter("_side = 1").select(
         *left.columns, *[F.col(f"_found.{c}").alias(c) for c in [right_time, *payload]]
     )
 

@@ -11,7 +11,6 @@ from touchline.functions.rates import ratio
 from touchline.operators.aggregates import conditional_counts
 from touchline.operators.joins import attach_sides
 from touchline.operators.reshape import match_sides
-from touchline.operators.slices import ROWS_PER_SLICE
 from touchline.operators.windows import latest, prior_meetings, rolling_means
 from touchline.plans.staging import mens_scope
 from touchline.session import materialize
@@ -84,7 +83,7 @@ def team_season_stats(stats: DataFrame, min_matches: int = MIN_MATCHES) -> DataF
     )
 
 
-def rolling_form(stats: DataFrame, n: int = FORM_MATCHES, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def rolling_form(stats: DataFrame, n: int = FORM_MATCHES, slices: int | None = None) -> DataFrame:
     """Mean of five measures over the team's previous n matches, per team-match.
 
     Runs across seasons and competitions. Matches on one day are ordered by id.
@@ -93,7 +92,7 @@ def rolling_form(stats: DataFrame, n: int = FORM_MATCHES, rows_per_slice: int =
     scored = stats.withColumn("points_earned", points("side", "match_result")).select(
         "match_id", "match_date", "team", "side", "competition_id", "season_id", *FORM.values()
     )
-    form = rolling_means(materialize(scored, "team-matches"), ["team"], ["match_date", "match_id"], FORM, n, rows_per_slice)
+    form = rolling_means(materialize(scored, "team-matches"), ["team"], ["match_date", "match_id"], FORM, n, slices)
     return form.select("match_id", "match_date", "team", "side", "competition_id", "season_id", *FORM)
 
 
@@ -149,7 +148,7 @@ def long_results(results: DataFrame) -> DataFrame:
     )
 
 
-def international_form(results: DataFrame, n: int = FORM_MATCHES, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def international_form(results: DataFrame, n: int = FORM_MATCHES, slices: int | None = None) -> DataFrame:
     """Goals for and against and win rate over each side's last n scored matches, per match."""
     long = long_results(results.filter(F.col("home_score").isNotNull() & F.col("away_score").isNotNull()))
     measures = {"roll_gf": "goals_for", "roll_ga": "goals_against", "roll_win_rate": "won"}
@@ -159,7 +158,7 @@ def international_form(results: DataFrame, n: int = FORM_MATCHES, rows_per_slice
         ["date", "match_id"],
         measures,
         n,
-        rows_per_slice,
+        slices,
     )
     sides = results.select("match_id", "date", "home_team", "away_team", "home_score", "away_score")
     joined = attach_sides(sides, form, "team", {m: m for m in measures}, how="left", extra=["match_id"])

@@ -395,6 +395,6 @@ def rating_profile(spark, d):
 def last_rank_before_match_sliced(spark, d):
     run = base.Run(spark, d, "ranked", "results_now")
     right = run.ranked.select(F.col("team").alias("home_team"), "rank_date", "rank")
-    return as_of_join(run.results_now, right, ["home_team"], "date", "rank_date", ["rank"], rows_per_slice=200).select("match_id", "rank")
+    return as_of_join(run.results_now, right, ["home_team"], "date", "rank_date", ["rank"], slices=40).select("match_id", "rank")
 
 

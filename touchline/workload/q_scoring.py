@@ -378,20 +378,20 @@ _U = """WITH r AS (SELECT event_type = 'click' AS f, rank() OVER (ORDER BY value
              / sqrt(n_first::DOUBLE * n_second / 12 * ((n + 1) - ties / (n * (n - 1)))) AS z FROM s"""
 
 
-def _u_test(spark, d, rows_per_slice):
+def _u_test(spark, d, slices=None):
     rows = read_table(spark, d, "events").filter(F.col("event_type").isin("click", "purchase"))
-    return statistics.mann_whitney(rows, F.col("event_type") == "click", "value", p_value=False, rows_per_slice=rows_per_slice)
+    return statistics.mann_whitney(rows, F.col("event_type") == "click", "value", p_value=False, slices=slices)
 
 
 @query("click_purchase_u_test", ["I5"], _U, doubles=["u", "z"])
 def click_purchase_u_test(spark, d):
-    return _u_test(spark, d, 20_000_000)
+    return _u_test(spark, d)
 
 
 @query("click_purchase_u_test_sliced", ["I5"], _U, doubles=["u", "z"])
 def click_purchase_u_test_sliced(spark, d):
     """Same result with the sorted values cut into slices."""
-    return _u_test(spark, d, 200)
+    return _u_test(spark, d, 30)
 
 
 @query("defender_forward_u_test", ["I5", "H15"], None)

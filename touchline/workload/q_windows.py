@@ -128,13 +128,13 @@ _ASOF = """SELECT p.event_id, p.user_id, p.ts, c.ts AS click_ts, c.value AS clic
     ON c.user_id = p.user_id AND c.ts <= p.ts"""
 
 
-def _last_click(spark, d, rows_per_slice):
+def _last_click(spark, d, slices=None):
     log = read_table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     bought = log.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
     clicks = log.filter("event_type = 'click'").select(
         "user_id", F.col("ts").alias("click_ts"), F.col("value").alias("click_value")
     )
-    found = windows.as_of_join(bought, clicks, ["user_id"], "ts", "click_ts", ["click_value"], rows_per_slice)
+    found = windows.as_of_join(bought, clicks, ["user_id"], "ts", "click_ts", ["click_value"], slices)
     return found.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in ("ts", "click_ts")})
 
 
@@ -145,13 +145,13 @@ def _asof_text(sql: str) -> str:
 
 @query("last_click_before_purchase", ["C9"], _asof_text(_ASOF), doubles=["click_value"])
 def last_click_before_purchase(spark, d):
-    return _last_click(spark, d, windows.ROWS_PER_SLICE)
+    return _last_click(spark, d)
 
 
 @query("last_click_before_purchase_sliced", ["C9"], _asof_text(_ASOF), doubles=["click_value"])
 def last_click_before_purchase_sliced(spark, d):
-    """Same result with every user cut into slices of a few rows."""
-    return _last_click(spark, d, 10)
+    """Same result with more slices than users."""
+    return _last_click(spark, d, 400)
 
 
 # --- ordered windows --------------------------------------------------------------------------------
@@ -169,21 +169,21 @@ _SPEND = """SELECT o_orderkey, o_custkey, avg(o_totalprice) OVER (PARTITION BY o
     ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS prior_mean FROM orders"""
 
 
-def _spend(spark, d, rows_per_slice):
+def _spend(spark, d, slices=None):
     orders = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    rolled = windows.rolling_means(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], {"prior_mean": "o_totalprice"}, 5, rows_per_slice)
+    rolled = windows.rolling_means(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], {"prior_mean": "o_totalprice"}, 5, slices)
     return rolled.select("o_orderkey", "o_custkey", "prior_mean")
 
 
 @query("rolling_spend", ["E1"], _SPEND, doubles=["prior_mean"], digits=3)
 def rolling_spend(spark, d):
-    return _spend(spark, d, windows.ROWS_PER_SLICE)
+    return _spend(spark, d)
 
 
 @query("rolling_spend_sliced", ["E1"], _SPEND, doubles=["prior_mean"], digits=3)
 def rolling_spend_sliced(spark, d):
-    """Same result with customers of more than eight orders cut into slices."""
-    return _spend(spark, d, 8)
+    """Same result in slices so short that customers span them."""
+    return _spend(spark, d, 500)
 
 
 _PRIORITY = """SELECT o_orderkey, o_orderpriority, avg(o_totalprice) OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey
@@ -192,9 +192,9 @@ _PRIORITY = """SELECT o_orderkey, o_orderpriority, avg(o_totalprice) OVER (PARTI
 
 @query("rolling_spend_hot_groups", ["E1"], _PRIORITY, doubles=["prior_mean"], digits=3)
 def rolling_spend_hot_groups(spark, d):
-    """Five groups hold all rows; each is cut into slices of about 500."""
+    """Five groups hold all rows and span the slices."""
     orders = read_table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice")
-    rolled = windows.rolling_means(orders, ["o_orderpriority"], ["o_orderdate", "o_orderkey"], {"prior_mean": "o_totalprice"}, 5, 500)
+    rolled = windows.rolling_means(orders, ["o_orderpriority"], ["o_orderdate", "o_orderkey"], {"prior_mean": "o_totalprice"}, 5, 40)
     return rolled.select("o_orderkey", "o_orderpriority", "prior_mean")
 
 
@@ -313,7 +313,7 @@ def value_ranks(spark, d):
 )
 def value_ranks_sliced(spark, d):
     """Five groups hold all rows; the running count is cut into slices."""
-    return windows.rank_by(read_table(spark, d, "events").select("event_type", "event_id", "value"), ["event_type"], "value", rows_per_slice=100)
+    return windows.rank_by(read_table(spark, d, "events").select("event_type", "event_id", "value"), ["event_type"], "value", slices=60)
 
 
 @query(
@@ -359,7 +359,7 @@ _INTL = [f"{s}_roll_{m}" for s in ("home", "away") for m in ("gf", "ga", "win_ra
 
 @query("international_form", ["E15"], with_tables(intl_form_sql(), "results_now"), doubles=_INTL)
 def international_form(spark, d):
-    return teams.international_form(base.Run(spark, d).results_now, rows_per_slice=300).select("match_id", *_INTL)
+    return teams.international_form(base.Run(spark, d).results_now, slices=30).select("match_id", *_INTL)
 
 
 @query(
