@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.suffix_sort import deep_shallow
 from touchline.llm.tables import query, table
-from touchline.llm.text import Hasher, slices
+from touchline.llm.text import Hasher, mix, slices
 from touchline.session import materialize
 
 LENGTH = 50
@@ -89,7 +89,8 @@ def _anchors_of(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     anchor = (least[window] & np.uint64((1 << 24) - 1)).astype(np.int64)
     new = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (window[1:] != window[:-1] + 1)))
     first = np.flatnonzero(new)
-    return hashes[anchor[first]], window[first], np.diff(np.append(first, len(window)))
+    # anchors have small hashes: spread them over all buckets
+    return mix(hashes[anchor[first]]), window[first], np.diff(np.append(first, len(window)))
 
 
 def anchors(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
