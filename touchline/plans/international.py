@@ -105,8 +105,8 @@ def rating_profile(players: DataFrame, digits: int = 1) -> DataFrame:
 
 
 def ranked(rankings: DataFrame) -> DataFrame:
-    """Rank per date by points, ties sharing the lowest rank, with aligned team names."""
-    named = rankings.withColumn("team", country_name("country", RANKING_ALIASES))
+    """Rank per date by points, ties sharing the lowest rank, with team names aligned by both tables."""
+    named = rankings.withColumn("team", country_name("country", {**COUNTRY_ALIASES, **RANKING_ALIASES}))
     return rank_by(named, ["rank_date"], "points", "rank")
 
 

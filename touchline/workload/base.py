@@ -63,7 +63,7 @@ TABLES: dict[str, Callable[[Run], DataFrame]] = {
     "scores": lambda r: consistency.consistency_scores(r.club_national, r.loadings),
     "gaps": lambda r: consistency.gap_table(r.wide_scores, r.weights),
     "results_now": _results_now,
-    "rated_players": lambda r: international.with_team(feeds.players(r.spark, r.folder), feeds.PLAYER_ALIASES),
+    "rated_players": lambda r: international.with_team(feeds.players(r.spark, r.folder)),
     "ranked": lambda r: international.ranked(feeds.rankings(r.spark, r.folder)),
 }
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.constants import POSITION_GROUPS
+from touchline.constants import COUNTRY_ALIASES, POSITION_GROUPS, RANKING_ALIASES
 from touchline.functions.labels import is_international
 from touchline.sources.readers import read_table
 
@@ -28,6 +28,7 @@ ACTION_TYPES = (
 POSITIONS = tuple(POSITION_GROUPS)
 TOURNAMENTS = ("FIFA World Cup", "FIFA World Cup qualification", "Friendly", "UEFA Euro", "Copa América")
 ACTIONS_PER_ENTRY = 8
+N_NATIONS = 25
 STINT = "array<struct<position:string,`from`:string,`to`:string>>"
 
 
@@ -35,11 +36,25 @@ def _array(names) -> str:
     return "array(" + ", ".join(f"'{n}'" for n in names) + ")"
 
 
+def _nation_names() -> tuple[list[str], list[str], list[str]]:
+    """Names of the 25 nations in results, player profiles and rankings: every published spelling occurs."""
+    results = list(dict.fromkeys([*COUNTRY_ALIASES.values(), *RANKING_ALIASES.values()]))
+    results += [f"NATION_{i}" for i in range(len(results), N_NATIONS)]
+    in_profiles = {name: alias for alias, name in COUNTRY_ALIASES.items()}
+    in_rankings = {**in_profiles, **{name: alias for alias, name in RANKING_ALIASES.items()}}
+    profiles = [in_profiles.get(n, n) for n in results[:-1]] + ["ATLANTIS"]
+    return results, profiles, [in_rankings.get(n, n) for n in results]
+
+
+RESULT_NAMES, PROFILE_NAMES, RANKING_NAMES = _nation_names()
+
+
+def _nation(names, number: str) -> str:
+    return f"element_at({_array(names)}, cast({number} AS int) + 1)"
+
+
 def _lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    """Line items, spread over the cores when they come as fewer file splits than there are cores."""
-    rows = read_table(spark, folder, "lineitem").select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    return read_table(spark, folder, "lineitem").select(*columns)
 
 
 def raw_matches(spark: SparkSession, folder: str) -> DataFrame:
@@ -164,9 +179,14 @@ def team_codes(matches: DataFrame) -> DataFrame:
 
 
 def markets(spark: SparkSession, folder: str) -> DataFrame:
-    """Three markets per match for as many matches as there are parts."""
+    """Three markets for each match that a group of three parts was last ordered in, by a scattered number of the order."""
     parts = read_table(spark, folder, "part").selectExpr(
-        "p_partkey", "p_name", "p_type", "p_size", "p_retailprice", "p_partkey div 3 AS k"
+        "p_partkey", "p_name", "p_type", "p_size", "p_retailprice", "p_partkey div 3 AS g"
+    )
+    chosen = (
+        _lines(spark, folder, "l_orderkey", "l_partkey")
+        .groupBy(F.expr("l_partkey div 3").alias("g"))
+        .agg(F.expr("max(l_orderkey * 7919 % 1000003 * 1000000000 + l_orderkey) % 1000000000").alias("k"))
     )
     orders = read_table(spark, folder, "orders").selectExpr(
         "o_orderkey AS k", "o_orderdate AS d", "o_orderkey * 37 % 1000 AS t"
@@ -176,7 +196,8 @@ def markets(spark: SparkSession, folder: str) -> DataFrame:
         return f"concat(char(97 + {n} div 676), char(97 + {n} div 26 % 26), char(97 + {n} % 26))"
 
     return (
-        parts.join(orders, on="k", how="inner")
+        parts.join(chosen, on="g", how="inner")
+        .join(orders, on="k", how="inner")
         .selectExpr("*", "t ^ (1 + k % 3) AS a", f"element_at({_array(COMPETITION_CODES)}, cast((t div 4) % 8 AS int) + 1) AS c")
         .selectExpr(
             "p_partkey AS market_id",
@@ -233,11 +254,11 @@ def odds(spark: SparkSession, folder: str) -> DataFrame:
 
 def players(spark: SparkSession, folder: str) -> DataFrame:
     customers = read_table(spark, folder, "customer")
-    nations = read_table(spark, folder, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
+    nations = read_table(spark, folder, "nation").selectExpr("n_nationkey AS c_nationkey")
     return customers.join(nations, on="c_nationkey", how="inner").selectExpr(
         "c_custkey AS player_id",
         "c_name AS player_name",
-        "CASE WHEN c_nationkey % 6 = 5 THEN concat(n_name, ' Rep.') WHEN c_nationkey = 24 THEN 'ATLANTIS' ELSE n_name END AS nationality",
+        f"{_nation(PROFILE_NAMES, 'c_nationkey')} AS nationality",
         "c_mktsegment AS league",
         "element_at(array('GK', 'CB', 'FB', 'CM', 'AM', 'FW'), cast(c_custkey % 11 % 6 AS int) + 1) AS primary_position",
         "2022 + c_custkey % 5 AS year",
@@ -254,12 +275,9 @@ def players(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-PLAYER_ALIASES = {f"NATION_{i} Rep.": f"NATION_{i}" for i in range(5, 25, 6)}
-
-
 def results(spark: SparkSession, folder: str) -> DataFrame:
     def team(n: str) -> str:
-        return f"concat(if({n} % 5 = 4 AND date <= DATE'2022-06-30', 'OLD_', ''), 'NATION_', {n})"
+        return f"concat(if({n} % 5 = 4 AND date <= DATE'2022-06-30', 'OLD_', ''), {_nation(RESULT_NAMES, n)})"
 
     return (
         read_table(spark, folder, "orders")
@@ -277,7 +295,7 @@ def results(spark: SparkSession, folder: str) -> DataFrame:
             "if(s = 'P' AND k % 4 = 0, NULL, (k div 3) % 4) AS away_score",
             f"element_at({_array(TOURNAMENTS)}, cast(substring(pr, 1, 1) AS int)) AS tournament",
             "concat('City ', h) AS city",
-            "concat('NATION_', h) AS country",
+            f"{_nation(RESULT_NAMES, 'h')} AS country",
             "k % 3 = 0 AS neutral",
         )
     )
@@ -287,6 +305,7 @@ def former_names(spark: SparkSession, folder: str) -> DataFrame:
     return (
         read_table(spark, folder, "nation")
         .filter("n_nationkey % 5 = 4")
+        .selectExpr(f"{_nation(RESULT_NAMES, 'n_nationkey')} AS n_name")
         .selectExpr(
             "n_name AS current", "concat('OLD_', n_name) AS former",
             "DATE'2000-01-01' AS start_date", "DATE'2022-06-30' AS end_date",
@@ -299,7 +318,7 @@ def rankings(spark: SparkSession, folder: str) -> DataFrame:
     return (
         read_table(spark, folder, "orders")
         .selectExpr(
-            "concat('NATION_', o_custkey % 25) AS country",
+            f"{_nation(RANKING_NAMES, 'o_custkey % 25')} AS country",
             "concat('CONF_', o_custkey % 25 % 5) AS confederation",
             "cast(date_trunc('month', cast(date_add(cast(o_orderdate AS date), 9131) AS timestamp)) AS date) AS rank_date",
             "cast(floor(o_totalprice) AS bigint) AS v",

@@ -10,7 +10,7 @@ from touchline.plans import international, markets
 from touchline.sources.readers import read_table
 from touchline.workload import base, feeds
 from touchline.workload.registry import query
-from touchline.workload.tables_sql import with_tables
+from touchline.workload.tables_sql import in_list, with_tables
 
 _STATS = """SELECT event_slug, count(*) AS market_count, sum(volume) AS total_volume, min(created_at)::TIMESTAMP AS first_start,
     max(end_date)::TIMESTAMP AS last_end FROM markets GROUP BY 1"""
@@ -362,13 +362,13 @@ def rank_features(spark, d):
     ["D39"],
     with_tables(
         """SELECT year, nationality, count(*) AS n, round(avg(overall), 1) AS mean_ovr, round(avg(overall) FILTER (primary_position = 'GK'), 1) AS mean_gk
-           FROM players WHERE nationality IN ('NATION_1', 'NATION_2', 'NATION_3', 'NATION_4') GROUP BY 1, 2""",
+           FROM players WHERE nationality IN """ + in_list(feeds.PROFILE_NAMES[1:5]) + " GROUP BY 1, 2",
         "players",
     ),
     doubles=["mean_ovr", "mean_gk"],
 )
 def ratings_by_nation(spark, d):
-    return international.ratings_by_nation(feeds.players(spark, d), [f"NATION_{i}" for i in range(1, 5)])
+    return international.ratings_by_nation(feeds.players(spark, d), feeds.PROFILE_NAMES[1:5])
 
 
 @query(

@@ -393,21 +393,21 @@ def table_sizes(spark, d):
 @query(
     "users_in_both",
     ["F4"],
-    "SELECT user_id FROM events WHERE event_type = 'signup' AND value > 20 INTERSECT SELECT user_id FROM events WHERE event_type = 'error' AND value > 20",
+    "SELECT user_id, ts::DATE::VARCHAR AS day FROM events WHERE event_type = 'signup' INTERSECT SELECT user_id, ts::DATE::VARCHAR AS day FROM events WHERE event_type = 'error'",
 )
 def users_in_both(spark, d):
-    log = read_table(spark, d, "events").filter("value > 20")
-    return reshape.in_both(log.filter("event_type = 'signup'"), log.filter("event_type = 'error'"), ["user_id"])
+    log = read_table(spark, d, "events").withColumn("day", F.to_date("ts"))
+    return reshape.in_both(log.filter("event_type = 'signup'"), log.filter("event_type = 'error'"), ["user_id", "day"])
 
 
 @query(
     "users_in_one",
     ["F5", "F6"],
-    "SELECT user_id FROM events WHERE event_type = 'signup' EXCEPT SELECT user_id FROM events WHERE event_type = 'error' AND value > 40",
+    "SELECT user_id, ts::DATE::VARCHAR AS day FROM events WHERE event_type = 'signup' EXCEPT SELECT user_id, ts::DATE::VARCHAR AS day FROM events WHERE event_type = 'error'",
 )
 def users_in_one(spark, d):
-    log = read_table(spark, d, "events")
-    return reshape.only_left(log.filter("event_type = 'signup'"), log.filter("event_type = 'error' AND value > 40"), ["user_id"])
+    log = read_table(spark, d, "events").withColumn("day", F.to_date("ts"))
+    return reshape.only_left(log.filter("event_type = 'signup'"), log.filter("event_type = 'error'"), ["user_id", "day"])
 
 
 @query(

@@ -140,7 +140,10 @@ table(
            d - to_days(p_size) AS created_at, d AS end_date
     FROM (SELECT *, xor(t, 1 + k % 3) AS a, ({values(feeds.COMPETITION_CODES)})[(t // 4) % 8 + 1] AS c
           FROM (SELECT p.*, o_orderkey AS k, o_orderdate AS d, o_orderkey * 37 % 1000 AS t
-                FROM part p JOIN orders ON o_orderkey = p_partkey // 3))
+                FROM part p
+                JOIN (SELECT l_partkey // 3 AS g, max(l_orderkey * 7919 % 1000003 * 1000000000 + l_orderkey) % 1000000000 AS chosen
+                      FROM lineitem GROUP BY 1) ON g = p_partkey // 3
+                JOIN orders ON o_orderkey = chosen))
     """,
 )
 table(
@@ -171,9 +174,9 @@ table(
 )
 table(
     "players",
-    """
+    f"""
     SELECT c_custkey AS player_id, c_name AS player_name,
-           CASE WHEN c_nationkey % 6 = 5 THEN n_name || ' Rep.' WHEN c_nationkey = 24 THEN 'ATLANTIS' ELSE n_name END AS nationality,
+           ({values(feeds.PROFILE_NAMES)})[c_nationkey + 1] AS nationality,
            (['GK', 'CB', 'FB', 'CM', 'AM', 'FW'])[c_custkey % 11 % 6 + 1] AS primary_position,
            2022 + c_custkey % 5 AS year, 50 + c_custkey * 17 % 45 AS overall,
            CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE 40 + c_custkey * 3 % 55 END AS pace,
@@ -186,19 +189,20 @@ table(
 )
 table(
     "players_h",
-    """SELECT *, CASE WHEN nationality LIKE '% Rep.' THEN replace(nationality, ' Rep.', '') ELSE nationality END AS intl_team FROM players""",
+    f"""SELECT *, CASE WHEN nationality = 'ATLANTIS' THEN nationality
+        ELSE ({values(feeds.RESULT_NAMES)})[list_position({values(feeds.PROFILE_NAMES)}, nationality)] END AS intl_team FROM players""",
     "players",
 )
 table(
     "results",
     f"""
     SELECT k AS match_id, date,
-           CASE WHEN h % 5 = 4 AND date <= DATE '2022-06-30' THEN 'OLD_' ELSE '' END || 'NATION_' || h AS home_team,
-           CASE WHEN a % 5 = 4 AND date <= DATE '2022-06-30' THEN 'OLD_' ELSE '' END || 'NATION_' || a AS away_team,
+           CASE WHEN h % 5 = 4 AND date <= DATE '2022-06-30' THEN 'OLD_' ELSE '' END || ({values(feeds.RESULT_NAMES)})[h + 1] AS home_team,
+           CASE WHEN a % 5 = 4 AND date <= DATE '2022-06-30' THEN 'OLD_' ELSE '' END || ({values(feeds.RESULT_NAMES)})[a + 1] AS away_team,
            CASE WHEN s = 'P' AND k % 4 = 0 THEN NULL ELSE floor(p)::BIGINT % 5 END AS home_score,
            CASE WHEN s = 'P' AND k % 4 = 0 THEN NULL ELSE (k // 3) % 4 END AS away_score,
            ({values(feeds.TOURNAMENTS)})[substr(pr, 1, 1)::INT] AS tournament,
-           'City ' || h AS city, 'NATION_' || h AS country, k % 3 = 0 AS neutral
+           'City ' || h AS city, ({values(feeds.RESULT_NAMES)})[h + 1] AS country, k % 3 = 0 AS neutral
     FROM (SELECT o_orderkey AS k, o_orderstatus AS s, o_totalprice AS p, o_orderpriority AS pr,
                  o_orderdate::DATE + 9131 AS date, o_orderkey * 7 % 25 AS h, (o_orderkey * 7 + 1 + o_orderkey % 24) % 25 AS a
           FROM orders)
@@ -211,8 +215,8 @@ table(
 )
 table(
     "rankings",
-    """
-    SELECT 'NATION_' || (o_custkey % 25) AS team, 'CONF_' || (o_custkey % 25 % 5) AS confederation,
+    f"""
+    SELECT ({values(feeds.RESULT_NAMES)})[o_custkey % 25 + 1] AS team, 'CONF_' || (o_custkey % 25 % 5) AS confederation,
            date_trunc('month', o_orderdate::DATE + 9131)::DATE AS rank_date, (sum(floor(o_totalprice)::BIGINT) % 997)::DOUBLE AS points
     FROM orders GROUP BY ALL
     """,
