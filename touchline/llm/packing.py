@@ -28,7 +28,7 @@ from touchline.llm.word_bpe import shared
 END_ID = 2
 WINDOW_IDS = 1 << 21
 WINDOW_ITEMS = 2048
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, n_loss long, ids array<int>"
