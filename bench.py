@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -43,7 +44,7 @@ def model_run(spark, folder):
     from touchline.workload.base import Run
 
     stored = ("stg_matches", "stg_events", "stg_lineups", "player_match", "season", "club_national", "match_stats", "form",
-              "assignments", "scores", "wide_scores")
+              "trained", "scores", "wide_scores")
     run = Run(spark, folder, *stored)
     for name in stored:
         yield f"build_{name}", lambda name=name: getattr(run, name)
@@ -51,10 +52,10 @@ def model_run(spark, folder):
         "team_comparison": lambda: marts.team_comparison(teams.team_season_stats(run.match_stats), run.form),
         "match_features": lambda: teams.match_features(run.stg_matches, run.form),
         "match_analysis": lambda: marts.match_analysis(run.stg_matches, run.match_stats),
-        "player_clusters": lambda: marts.player_clusters(run.season, run.assignments, run.loadings),
-        "player_performance": lambda: marts.player_performance(run.season, run.assignments, run.scores),
+        "player_clusters": lambda: marts.player_clusters(run.season, run.trained, run.trained_loadings),
+        "player_performance": lambda: marts.player_performance(run.season, run.trained, run.scores),
         "feature_importance": lambda: consistency.feature_importance(consistency.gap_table(run.wide_scores, run.weights)),
-        "league_summary": lambda: reports.league_summary(reports.competition_archetypes(run.assignments, run.season)),
+        "league_summary": lambda: reports.league_summary(reports.competition_archetypes(run.trained, run.season)),
         "scaled_features": lambda: archetypes.preprocess(archetypes.split_goalkeepers(archetypes.cluster_features(run.season))[0]),
     }
     for name, build in tables.items():
@@ -68,7 +69,9 @@ def main() -> None:
     from touchline.session import build_session
     from touchline.workload import all_queries
 
+    shared = tempfile.TemporaryDirectory(prefix="bench-", ignore_cleanup_errors=True)
     settings = {
+        "spark.checkpoint.dir": shared.name,
         "spark.sql.shuffle.partitions": cpus,
         "spark.driver.memory": "16g",
         "spark.ui.enabled": "false",
@@ -89,6 +92,7 @@ def main() -> None:
         job()
         times[name] = round(time.perf_counter() - start, 3)
     spark.stop()
+    shared.cleanup()
     print(
         json.dumps(
             {

@@ -88,9 +88,11 @@ def test_landing_replaces_only_its_day(spark, good, tmp_path):
     assert got == {"2024-01-01": 2, "2024-01-02": 1}
 
 
-def test_report_export_refuses_big_tables(spark, tmp_path):
-    with pytest.raises(ValueError, match="write parts"):
-        writers.export_summary(spark.range(writers.REPORT_ROWS + 1), str(tmp_path / "x"))
+def test_report_export_has_no_size_limit(spark, tmp_path):
+    writers.export_summary(spark.range(20_000).repartition(3), str(tmp_path / "x"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "x")).count() == 20_000
+    writers.export_summary(spark.range(50).repartition(3), str(tmp_path / "y"), one_file=True)
+    assert len(list((tmp_path / "y").glob("part-*"))) == 1
 
 
 def test_csv_dates(spark, tmp_path):

@@ -161,3 +161,7 @@ SHIFT_METRICS = (
     "pass_completion_pct",
 )
 RATING_BLOCK = ("pace", "shooting", "passing_rating", "dribbling", "defending", "physical")
+
+# --- fixed values: numbers of clusters scanned ----------------------------------------
+K_RANGE = range(2, 11)
+K_RANGE_RATES = range(3, 9)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -107,14 +108,20 @@ def component_vectors(projected: DataFrame, n: int) -> DataFrame:
     return assemble(parts, [f"_c{i}" for i in range(n)], "_v").drop(*[f"_c{i}" for i in range(n)])
 
 
+def kmeans_starts(vectors: DataFrame, k: int, starts: int, seed: int) -> list[KMeansModel]:
+    """One model per start, fitted side by side so that their stages overlap; cheapest first."""
+
+    def fit(i: int) -> KMeansModel:
+        return KMeans(k=k, seed=seed + i, featuresCol="_v", predictionCol="cluster", maxIter=100).fit(vectors)
+
+    with ThreadPoolExecutor(max_workers=min(starts, 5)) as pool:
+        models = list(pool.map(fit, range(starts)))
+    return sorted(models, key=lambda m: m.summary.trainingCost)
+
+
 def fit_kmeans(vectors: DataFrame, k: int = N_CLUSTERS, starts: int = N_STARTS, seed: int = SEED) -> KMeansModel:
     """Best of several starts by training cost."""
-    best = None
-    for i in range(starts):
-        model = KMeans(k=k, seed=seed + i, featuresCol="_v", predictionCol="cluster", maxIter=100).fit(vectors)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+    return kmeans_starts(vectors, k, starts, seed)[0]
 
 
 def label_rules(profile: DataFrame) -> DataFrame:
@@ -171,11 +178,10 @@ def assign_archetypes(
     scaled = preprocess(outfield, features)
     model = fit_pca(scaled, features, variance)
     projected = materialize(project(scaled, model), "projected")
-    vectors = component_vectors(projected, model.n_components).cache()
+    vectors = materialize(component_vectors(projected, model.n_components), "vectors")
     model.kmeans = fit_kmeans(vectors, k, starts)
     clustered = model.kmeans.transform(vectors).drop("_v")
     clustered = materialize(clustered, "clustered")
-    vectors.unpersist()
     if labels == "rules":
         profile = clustered.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in features])
         named = clustered.join(F.broadcast(label_rules(profile)), on="cluster", how="left")
@@ -191,15 +197,14 @@ def assign_archetypes(
     return assignments, pca_loadings(season, model), model
 
 
-def k_scan(projected: DataFrame, n_components: int, ks: Sequence[int], seed: int = SEED) -> DataFrame:
-    """Training cost and silhouette per number of clusters (silhouette on squared distances)."""
-    vectors = component_vectors(projected, n_components).cache()
+def k_scan(projected: DataFrame, n_components: int, ks: Sequence[int], starts: int = N_STARTS, seed: int = SEED) -> DataFrame:
+    """Best training cost of all starts and its silhouette (on squared distances), per number of clusters."""
+    vectors = materialize(component_vectors(projected, n_components), "vectors")
     judge = ClusteringEvaluator(featuresCol="_v", predictionCol="cluster")
     rows = []
     for k in ks:
-        model = fit_kmeans(vectors, k, 1, seed)
+        model = fit_kmeans(vectors, k, starts, seed)
         rows.append((k, float(model.summary.trainingCost), float(judge.evaluate(model.transform(vectors)))))
-    vectors.unpersist()
     return projected.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 

@@ -238,7 +238,3 @@ def brier(scored: DataFrame, label: str = "match_result", outcomes: Sequence[str
     uniform = (1 - 1 / n) ** 2 + (n - 1) / n**2
     return scored.agg(F.count(F.lit(1)).alias("n"), F.avg(error).alias("brier"), F.lit(uniform).alias("brier_uniform"))
 
-
-def archetype_counts(assignments: DataFrame) -> DataFrame:
-    return count_by(assignments, ["archetype"], "seasons")
-

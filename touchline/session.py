@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from touchline.sources.folders import delete
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -29,21 +32,33 @@ def build_session(app: str = "touchline", master: str | None = None, **extra: st
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting falls back to a temporary
-    folder; on a cluster a missing setting is an error.
+    Only a local-mode session without that setting gets a folder of its own,
+    removed when Python ends; on a cluster a missing setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="touchline-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    own = tempfile.TemporaryDirectory(prefix="touchline-", ignore_cleanup_errors=True)
+    atexit.register(own.cleanup)
+    spark.conf.set("spark.checkpoint.dir", own.name)
+    return own.name
+
+
+_made: list[str] = []
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Removes all folders made so far. Call it when no table that reads them is needed any more."""
+    while _made:
+        delete(spark, _made.pop())
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from touchline.constants import ARCHETYPES, GOALKEEPER
 from touchline.operators.joins import rename_in_force
-from touchline.plans import consistency, international, players, staging, teams
+from touchline.plans import archetypes, consistency, international, players, staging, teams
 from touchline.session import materialize
 from touchline.workload import feeds
 from touchline.workload.tables_sql import LOADINGS
@@ -32,6 +32,12 @@ def _assignments(run: Run) -> DataFrame:
     )
 
 
+def _trained(run: Run) -> DataFrame:
+    """Archetypes of a trained model; its loadings become ``trained_loadings``."""
+    rows, run._made["trained_loadings"], _ = archetypes.assign_archetypes(run.season)
+    return rows
+
+
 def _results_now(run: Run) -> DataFrame:
     """International results with today's team names."""
     names = feeds.former_names(run.spark, run.folder)
@@ -55,6 +61,8 @@ TABLES: dict[str, Callable[[Run], DataFrame]] = {
     "match_stats": lambda r: teams.match_stats(r.stg_events, r.stg_matches),
     "form": lambda r: teams.rolling_form(r.match_stats),
     "assignments": _assignments,
+    "trained": _trained,
+    "trained_loadings": lambda r: (r.trained, r._made["trained_loadings"])[1],
     "loadings": lambda r: loadings(r.spark),
     "weights": lambda r: consistency.feature_weights(r.loadings),
     "wide_scores": lambda r: consistency.with_consistency(

@@ -60,7 +60,7 @@ def _lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 def raw_matches(spark: SparkSession, folder: str) -> DataFrame:
     return (
         read_table(spark, folder, "orders")
-        .selectExpr("o_orderkey AS k", "o_orderkey * 37 % 1000 AS t", "o_orderdate AS d", "o_totalprice AS p")
+        .selectExpr("o_orderkey AS k", "o_orderkey * 37 % 200 AS t", "o_orderdate AS d", "o_totalprice AS p")
         .selectExpr("*", "cast((t div 4) % 8 AS int) AS ci", "t ^ (1 + k % 3) AS a", "year(d) + 4 AS y")
         .selectExpr(
             "k AS match_id",
@@ -87,7 +87,7 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
         .selectExpr(
             "*",
             "l_orderkey * 31 + l_linenumber * 17 + slot * 101 + l_partkey * 7 + l_suppkey * 13 AS h",
-            "l_orderkey * 37 % 1000 AS t",
+            "l_orderkey * 37 % 200 AS t",
         )
         .selectExpr(
             "*",
@@ -114,7 +114,7 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
                     WHEN type = 'Pass' AND h % 7 = 0 THEN 'Assist'
                     WHEN type = 'Pass' AND h % 11 = 0 THEN 'None'
                     WHEN type = 'Shot' AND (h div 7) % 3 = 0 THEN 'Blocked' END AS pass_outcome""",
-            "(h % 300) / 100D AS duration",
+            "(h % 300) / 32D AS duration",
         )
     )
 
@@ -127,7 +127,7 @@ def raw_lineups(spark: SparkSession, folder: str) -> DataFrame:
         _lines(spark, folder, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
         .selectExpr(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-            "l_orderkey + l_linenumber * 3 + l_suppkey AS g", "l_orderkey * 37 % 1000 AS t",
+            "l_orderkey + l_linenumber * 3 + l_suppkey AS g", "l_orderkey * 37 % 200 AS t",
         )
         .selectExpr(
             "*",
@@ -189,7 +189,7 @@ def markets(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.expr("max(l_orderkey * 7919 % 1000003 * 1000000000 + l_orderkey) % 1000000000").alias("k"))
     )
     orders = read_table(spark, folder, "orders").selectExpr(
-        "o_orderkey AS k", "o_orderdate AS d", "o_orderkey * 37 % 1000 AS t"
+        "o_orderkey AS k", "o_orderdate AS d", "o_orderkey * 37 % 200 AS t"
     )
 
     def code(n: str) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from touchline.constants import FEATURES, MIN_MINUTES
 from touchline.functions.labels import context_label
 from touchline.operators import aggregates, joins
 from touchline.plans import exploration, players, staging
@@ -108,13 +109,13 @@ _EVENT_CTE = """
             FROM (SELECT e.player_id, l.player_name, l.position_name, m.competition_name, m.season_name,
                          count(DISTINCT e.match_id) AS matches_played, sum(e.duration) AS total_minutes, {_RAW}
                   FROM ({_EVENT_CTE}) e JOIN stg_lineups l ON l.match_id = e.match_id AND l.player_id = e.player_id
-                  JOIN stg_matches m ON m.match_id = e.match_id GROUP BY 1, 2, 3, 4, 5 HAVING sum(e.duration) >= 30.005)""",
+                  JOIN stg_matches m ON m.match_id = e.match_id GROUP BY 1, 2, 3, 4, 5 HAVING sum(e.duration) >= 270)""",
         "stg_events", "raw_events", "stg_lineups", "stg_matches",
     ),
     doubles=_RAW_DOUBLES,
 )
 def raw_player_season(spark, d):
-    return players.raw_player_season(_typed_events(spark, d), base.Run(spark, d).stg_lineups, base.Run(spark, d).stg_matches, 30.005)
+    return players.raw_player_season(_typed_events(spark, d), base.Run(spark, d).stg_lineups, base.Run(spark, d).stg_matches, MIN_MINUTES)
 
 
 @query(
@@ -129,14 +130,14 @@ def raw_player_season(spark, d):
                   QUALIFY row_number() OVER (PARTITION BY player_id, context ORDER BY round(sum(duration), 4) DESC, position_name) = 1)
             SELECT b.player_id, b.context, player_name, matches_played, total_minutes, {_RAW_RATES}, position_name
             FROM (SELECT player_id, context, max(player_name) AS player_name, count(DISTINCT match_id) AS matches_played,
-                         sum(duration) AS total_minutes, {_RAW} FROM j GROUP BY 1, 2 HAVING sum(duration) >= 270.005) b
+                         sum(duration) AS total_minutes, {_RAW} FROM j GROUP BY 1, 2 HAVING sum(duration) >= 270) b
             LEFT JOIN p ON p.player_id = b.player_id AND p.context = b.context""",
         "stg_events", "raw_events", "stg_lineups", "stg_matches",
     ),
     doubles=_RAW_DOUBLES,
 )
 def raw_player_context(spark, d):
-    return players.raw_player_context(_typed_events(spark, d), base.Run(spark, d).stg_lineups, base.Run(spark, d).stg_matches, 270.005)
+    return players.raw_player_context(_typed_events(spark, d), base.Run(spark, d).stg_lineups, base.Run(spark, d).stg_matches, MIN_MINUTES)
 
 
 _CTX_COUNTS = """count(*) FILTER (event_type = 'Shot') AS shots, sum(shot_xg) FILTER (event_type = 'Shot') AS xg,
@@ -429,13 +430,13 @@ def xg_leaders(spark, d):
     with_tables(
         """SELECT team, count(*) AS total_passes, count(*) FILTER (pass_outcome IS NULL) AS completed,
                   round(100.0::DOUBLE * count(*) FILTER (pass_outcome IS NULL) / count(*), 1) AS completion_pct
-           FROM stg_events WHERE event_type = 'Pass' GROUP BY 1 HAVING count(*) > 100 ORDER BY completion_pct DESC, team LIMIT 20""",
+           FROM stg_events WHERE event_type = 'Pass' GROUP BY 1 HAVING count(*) > 500 ORDER BY completion_pct DESC, team LIMIT 20""",
         "stg_events",
     ),
     doubles=["completion_pct"],
 )
 def pass_leaders(spark, d):
-    return exploration.pass_leaders(base.Run(spark, d).stg_events, min_passes=100)
+    return exploration.pass_leaders(base.Run(spark, d).stg_events)
 
 
 @query(
@@ -485,7 +486,7 @@ def shot_grid(spark, d):
     return exploration.shot_grid(base.Run(spark, d).stg_events)
 
 
-_CORR = ("xg_per_90", "shots_per_90", "passes_per_90", "duels_per_90")
+_CORR = FEATURES
 _CORR_SQL = " UNION ALL ".join(
     f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS corr FROM season" for i, a in enumerate(_CORR) for b in _CORR[i + 1 :]
 )

@@ -8,6 +8,7 @@ from touchline.constants import FEATURES, TOP5_COMPETITIONS
 from touchline.plans import consistency, marts, reports, teams
 from touchline.session import materialize
 from touchline.sources.readers import read_table
+from touchline.streaming.jobs import refresh
 from touchline.workload import base
 from touchline.workload.registry import query
 from touchline.workload.tables_sql import POSITION_CASE, in_list, with_tables
@@ -105,6 +106,80 @@ def player_performance(spark, d):
     return _performance(spark, d)
 
 
+@query(
+    "trained_marts_agree",
+    ["K2", "K3", "K12", "G9"],
+    with_tables(
+        """SELECT count(*) AS n_rows, count(DISTINCT player_id) AS players, sum(total_minutes) AS minutes, true AS label_of_longest_season,
+                  true AS marts_agree, true AS counts_agree FROM season""",
+        "season",
+    ),
+    doubles=["minutes"],
+    digits=3,
+)
+def trained_marts_agree(spark, d):
+    """Both player marts and the report on trained archetypes: every row has its player's label of the longest season."""
+    run = base.Run(spark, d, "player_match", "season", "trained")
+    clusters = materialize(marts.player_clusters(run.season, run.trained, run.trained_loadings), "clusters")
+    performance = marts.player_performance(run.season, run.trained, run.scores)
+    longest = F.struct(F.col("total_minutes"), -F.col("competition_id"), -F.col("season_id"))
+    best = run.trained.groupBy("player_id").agg(F.max_by("archetype", longest).alias("label"))
+    grain = ["player_id", "competition_id", "season_id"]
+    rows = clusters.join(best, "player_id", "left").join(
+        performance.select(*grain, F.col("cluster_label").alias("other")), grain, "left"
+    )
+    counted = reports.archetype_distribution(run.trained).agg(F.sum("seasons") == run.trained.agg(F.count(F.lit(1))).scalar()).scalar()
+    return rows.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("player_id").alias("players"), F.sum("total_minutes").alias("minutes"),
+        F.bool_and(F.col("cluster_label") == F.col("label")).alias("label_of_longest_season"),
+        F.bool_and(F.col("cluster_label") == F.col("other")).alias("marts_agree"),
+    ).withColumn("counts_agree", counted)
+
+
+@query("trained_player_clusters", ["K2", "G6", "G8", "G9"], None)
+def trained_player_clusters(spark, d):
+    run = base.Run(spark, d, "season", "trained")
+    trained = run.trained
+    return marts.player_clusters(run.season, trained, run.trained_loadings)
+
+
+@query("trained_league_summary", ["K12", "K14"], None)
+def trained_league_summary(spark, d):
+    run = base.Run(spark, d, "season", "trained")
+    return reports.league_summary(materialize(reports.competition_archetypes(run.trained, run.season), "counts"))
+
+
+@query(
+    "refreshed_marts",
+    ["L6"],
+    with_tables(
+        """SELECT * FROM (VALUES ('player_clusters', 2, true), ('player_performance', 2, true), ('team_comparison', 1, false)) AS t(mart, builds, rebuilt_last),
+           (SELECT count(*) AS n_seasons FROM season)""",
+        "season",
+    ),
+    longs=["builds"],
+)
+def refreshed_marts(spark, d):
+    """Two runs over stored marts: at first all are built, then new assignments rebuild the two that read them."""
+    run = base.Run(spark, d, "player_match", "season", "match_stats", "assignments")
+    stored: dict[str, list] = {}
+    builders = {
+        "player_clusters": lambda: marts.player_clusters(run.season, run.assignments, run.loadings),
+        "player_performance": lambda: marts.player_performance(run.season, run.assignments, run.scores),
+        "team_comparison": lambda: marts.team_comparison(teams.team_season_stats(run.match_stats), run.form),
+    }
+    inputs = {"player_clusters": ["assignments"], "player_performance": ["assignments", "scores"], "team_comparison": ["match_stats"]}
+
+    def store(name, df):
+        stored.setdefault(name, []).append(materialize(df, name))
+
+    refresh(builders, store, ["assignments", "scores", "match_stats"], inputs)
+    last = refresh(builders, store, ["assignments"], inputs)
+    counts = [(name, len(tables), name in last) for name, tables in stored.items()]
+    seasons = stored["player_clusters"][-1].agg(F.count(F.lit(1))).scalar()
+    return spark.createDataFrame(counts, "mart string, builds int, rebuilt_last boolean").withColumn("n_seasons", seasons)
+
+
 @query(
     "team_comparison",
     ["K4"],
@@ -120,7 +195,7 @@ def player_performance(spark, d):
                         sum(total_xg) AS total_xg, avg(total_xg) AS avg_xg_per_match, avg(possession_share) AS avg_possession_share,
                         sum(total_pressures)::BIGINT AS total_pressures, avg(total_pressures) AS avg_pressures_per_match
                  FROM (SELECT *, CASE WHEN side || '_win' = match_result THEN 3 WHEN match_result = 'draw' THEN 1 ELSE 0 END AS pts FROM match_stats)
-                 GROUP BY 1, 2, 3, 4, 5 HAVING count(*) >= 4) s
+                 GROUP BY 1, 2, 3, 4, 5 HAVING count(*) >= 10) s
            LEFT JOIN (SELECT * FROM form QUALIFY row_number() OVER (PARTITION BY team, competition_id, season_id ORDER BY match_date DESC, match_id DESC) = 1) f
            USING (team, competition_id, season_id)""",
         "match_stats", "form",
@@ -131,7 +206,7 @@ def player_performance(spark, d):
 )
 def team_comparison(spark, d):
     run = base.Run(spark, d, "match_stats")
-    return marts.team_comparison(teams.team_season_stats(run.match_stats, min_matches=4), run.form)
+    return marts.team_comparison(teams.team_season_stats(run.match_stats), run.form)
 
 
 _SHORT = teams.FORM_SHORT

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from touchline.constants import CLIP_QUANTILE, COMPETITION_LABEL_ORDER, COMPETITION_LABELS, FEATURES, POSITION_ORDER, QUADRANTS
+from touchline.constants import CLIP_QUANTILE, COMPETITION_LABEL_ORDER, COMPETITION_LABELS, FEATURES, K_RANGE, POSITION_ORDER, QUADRANTS
 from touchline.operators import statistics
 from touchline.plans import archetypes, consistency, marts, players
 from touchline.session import materialize
@@ -369,13 +369,14 @@ def role_deviation(spark, d):
     return statistics.max_deviation(_roles(spark, d), "position_group", "cluster", "league")
 
 
-_U = """WITH r AS (SELECT event_type = 'click' AS f, rank() OVER (ORDER BY value) + (count(*) OVER (PARTITION BY value) - 1) / 2 AS rk,
-               count(*) OVER (PARTITION BY value) AS t FROM events WHERE event_type IN ('click', 'purchase')),
+_U_OF = """placed AS (SELECT {first} AS f, rank() OVER (ORDER BY {value}) + (count(*) OVER (PARTITION BY {value}) - 1) / 2 AS rk,
+               count(*) OVER (PARTITION BY {value}) AS t FROM {rows}),
     s AS (SELECT count(*) FILTER (f) AS n_first, count(*) FILTER (NOT f) AS n_second, sum(rk) FILTER (f) AS ranks,
-                 sum(t * t - 1)::DOUBLE AS ties, count(*)::DOUBLE AS n FROM r)
+                 sum(t * t - 1)::DOUBLE AS ties, count(*)::DOUBLE AS n FROM placed)
     SELECT n_first, n_second, ranks - n_first * (n_first + 1) / 2 AS u,
            greatest(abs(ranks - n_first * (n_first + 1) / 2 - n_first * n_second / 2) - 0.5, 0)
              / sqrt(n_first::DOUBLE * n_second / 12 * ((n + 1) - ties / (n * (n - 1)))) AS z FROM s"""
+_U = "WITH " + _U_OF.format(first="event_type = 'click'", value="value", rows="events WHERE event_type IN ('click', 'purchase')")
 
 
 def _u_test(spark, d, slices=None):
@@ -394,10 +395,20 @@ def click_purchase_u_test_sliced(spark, d):
     return _u_test(spark, d, 30)
 
 
-@query("defender_forward_u_test", ["I5", "H15"], None)
+@query(
+    "defender_forward_u_test",
+    ["I5", "H15"],
+    with_tables(
+        f"{_ENRICHED}, " + _U_OF.format(first="position_group IN ('CB', 'FB')", value="consistency_score",
+                                        rows="e WHERE position_group IN ('CB', 'FB', 'FW') AND consistency_score IS NOT NULL"),
+        *_NEEDS,
+    ),
+    doubles=["u", "z"],
+    digits=4,
+)
 def defender_forward_u_test(spark, d):
     rows = materialize(_enriched(spark, d).filter(F.col("position_group").isin("CB", "FB", "FW")), "enriched")
-    return statistics.mann_whitney(rows, F.col("position_group").isin("CB", "FB"), "consistency_score")
+    return statistics.mann_whitney(rows, F.col("position_group").isin("CB", "FB"), "consistency_score", p_value=False)
 
 
 @query(
@@ -474,6 +485,25 @@ def trained_loadings(spark, d):
     return archetypes.pca_loadings(scaled, archetypes.fit_pca(scaled))
 
 
+def _covariance_sql() -> str:
+    pairs = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, covar_samp({a}, {b}) AS cov FROM x" for a in FEATURES for b in FEATURES)
+    return f"WITH x AS ({_scaled_sql()}) {pairs}"
+
+
+@query("loadings_covariance", ["G6", "G7"], with_tables(_covariance_sql(), "season"), doubles=["cov"], digits=5)
+def loadings_covariance(spark, d):
+    """The covariance of the features, rebuilt from all loadings and explained shares of a fitted model."""
+    scaled = materialize(_scaled(spark, d), "scaled")
+    model = archetypes.fit_pca(scaled, variance=1.1)
+    total = scaled.agg(sum((F.var_samp(c) for c in FEATURES), F.lit(0.0)).alias("total"))
+    loads = archetypes.pca_loadings(scaled, model)
+    shares = spark.createDataFrame([(f"PC{i + 1}", v) for i, v in enumerate(model.explained)], "component string, share double")
+    left = loads.join(shares, "component").select("component", F.col("feature").alias("a"), (F.col("loading") * F.col("share")).alias("x"))
+    right = loads.select("component", F.col("feature").alias("b"), F.col("loading").alias("y"))
+    sums = left.join(right, "component").groupBy("a", "b").agg(F.sum(F.col("x") * F.col("y")).alias("part"))
+    return sums.select("a", "b", (F.col("part") * total.scalar()).alias("cov"))
+
+
 def _embedding_columns(spark, d):
     rows = read_table(spark, d, "embeddings")
     names = [f"e{i}" for i in range(64)]
@@ -487,18 +517,19 @@ def embedding_clusters(spark, d):
     scaled = archetypes.preprocess(rows, names)
     model = archetypes.fit_pca(scaled, names)
     vectors = archetypes.component_vectors(materialize(archetypes.project(scaled, model), "projected"), model.n_components)
-    clustered = archetypes.fit_kmeans(vectors, 10, 3).transform(vectors)
+    clustered = archetypes.fit_kmeans(vectors, 10).transform(vectors)
     return clustered.groupBy("label", "cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("cluster_count_scan", ["G11"], None)
 def cluster_count_scan(spark, d):
+    """All published numbers of clusters, ten starts each."""
     scaled = _scaled(spark, d)
     model = archetypes.fit_pca(scaled)
-    return archetypes.k_scan(materialize(archetypes.project(scaled, model), "projected"), model.n_components, range(3, 7))
+    return archetypes.k_scan(materialize(archetypes.project(scaled, model), "projected"), model.n_components, K_RANGE)
 
 
-_PROFILE = ("xg_per_90", "passes_per_90", "duels_per_90")
+_PROFILE = FEATURES
 
 
 @query(
@@ -567,7 +598,7 @@ def nearest_vectors(spark, d):
 )
 def trained_archetype_totals(spark, d):
     """What must hold for any trained model: everyone is placed once, all clusters and labels occur."""
-    rows = archetypes.assign_archetypes(base.Run(spark, d, "season").season, starts=2)[0]
+    rows = archetypes.assign_archetypes(base.Run(spark, d, "season").season)[0]
     return rows.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("cluster") == -1).alias("n_keepers"),
@@ -618,7 +649,7 @@ def cluster_partition(spark, d):
     """K-Means gives every vector to its nearest centre."""
     rows, names = _embedding_columns(spark, d)
     vectors = archetypes.assemble(materialize(rows, "vectors"), names, "_v")
-    model = archetypes.fit_kmeans(vectors, 10, 2)
+    model = archetypes.fit_kmeans(vectors, 10)
     clustered = model.transform(vectors)
     distances = []
     for centre in model.clusterCenters():

@@ -138,8 +138,8 @@ def mart_sink(spark, d):
 def report_cache(spark, d):
     folder = new_folder(spark, "report")
     counts = reports.archetype_distribution(base.Run(spark, d).assignments)
-    writers.export_summary(counts, f"{folder}/archetype_distribution", "csv")
-    writers.export_summary(counts, f"{folder}/archetype_distribution_json", "json")
+    writers.export_summary(counts, f"{folder}/archetype_distribution", "csv", one_file=True)
+    writers.export_summary(counts, f"{folder}/archetype_distribution_json", "json", one_file=True)
     return readers.read_summaries(spark, folder, ["archetype_distribution"])["archetype_distribution"]
 
 
@@ -158,7 +158,7 @@ def seed_lookup(spark, d):
     codes = matches.select(
         F.col("competition_id").cast("int"), "competition_name", F.upper(F.substring("competition_name", 1, 3)).alias("competition_code")
     ).distinct()
-    writers.export_summary(codes, path)
+    writers.export_summary(codes, path, one_file=True)
     seed = readers.read_seed(spark, path, "competition_code_lookup")
     counts = matches.groupBy("competition_id").agg(F.count(F.lit(1)).alias("n"))
     return counts.join(seed, on="competition_id").select("competition_name", "competition_code", "n")
@@ -179,10 +179,12 @@ def random_sample(spark, d):
     ["A18"],
     """SELECT column_name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
               WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS column_type
-       FROM (DESCRIBE SELECT * FROM lineitem)""",
+       , (SELECT count(*) FROM lineitem) AS n_rows FROM (DESCRIBE SELECT * FROM lineitem)""",
 )
 def schema_of_table(spark, d):
-    return exploration.describe(readers.read_table(spark, d, "lineitem")).select("column_name", "column_type")
+    lines = readers.read_table(spark, d, "lineitem")
+    shape = lines.agg(F.count(F.lit(1))).scalar()
+    return exploration.describe(lines).select("column_name", "column_type", shape.alias("n_rows"))
 
 
 @query(

@@ -66,7 +66,7 @@ table(
            floor(p)::BIGINT % 5 AS home_score, (k // 3) % 4 AS away_score,
            CASE WHEN (t // 4) % 20 = 7 THEN 'female' ELSE 'male' END AS home_team_gender
     FROM (SELECT *, (t // 4) % 8 AS ci, xor(t, 1 + k % 3) AS a, year(d) + 4 AS y
-          FROM (SELECT o_orderkey AS k, o_orderkey * 37 % 1000 AS t, o_orderdate AS d, o_totalprice AS p FROM orders))
+          FROM (SELECT o_orderkey AS k, o_orderkey * 37 % 200 AS t, o_orderdate AS d, o_totalprice AS p FROM orders))
     """,
 )
 table(
@@ -84,11 +84,11 @@ table(
            CASE WHEN type = 'Pass' AND h % 5 = 0 THEN 'Incomplete' WHEN type = 'Pass' AND h % 7 = 0 THEN 'Assist'
                 WHEN type = 'Pass' AND h % 11 = 0 THEN 'None'
                 WHEN type = 'Shot' AND (h // 7) % 3 = 0 THEN 'Blocked' END AS pass_outcome,
-           (h % 300)::DOUBLE / 100 AS duration
+           (h % 300)::DOUBLE / 32 AS duration
     FROM (SELECT *, ({values(feeds.ACTION_TYPES)})[h % (10 + l_suppkey % 9) + 1] AS type, xor(t, 1 + l_orderkey % 3) AS a
           FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, s.slot,
                        l_orderkey * 31 + l_linenumber * 17 + s.slot * 101 + l_partkey * 7 + l_suppkey * 13 AS h,
-                       l_orderkey * 37 % 1000 AS t
+                       l_orderkey * 37 % 200 AS t
                 FROM lineitem, (SELECT unnest(range({feeds.ACTIONS_PER_ENTRY})) AS slot) AS s))
     """,
 )
@@ -116,7 +116,7 @@ table(
     FROM (SELECT *, ({values(feeds.POSITIONS)})[(l_suppkey + CASE WHEN g % 7 = 0 THEN 1 ELSE 0 END) % 27 + 1] AS p,
                  xor(t, 1 + l_orderkey % 3) AS a
           FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_orderkey + l_linenumber * 3 + l_suppkey AS g,
-                       l_orderkey * 37 % 1000 AS t FROM lineitem))
+                       l_orderkey * 37 % 200 AS t FROM lineitem))
     """,
 )
 table(
@@ -139,7 +139,7 @@ table(
            p_type AS category, round(p_retailprice * p_size, 2) AS volume, p_size % 2 = 0 AS active, p_size % 5 = 0 AS closed,
            d - to_days(p_size) AS created_at, d AS end_date
     FROM (SELECT *, xor(t, 1 + k % 3) AS a, ({values(feeds.COMPETITION_CODES)})[(t // 4) % 8 + 1] AS c
-          FROM (SELECT p.*, o_orderkey AS k, o_orderdate AS d, o_orderkey * 37 % 1000 AS t
+          FROM (SELECT p.*, o_orderkey AS k, o_orderdate AS d, o_orderkey * 37 % 200 AS t
                 FROM part p
                 JOIN (SELECT l_partkey // 3 AS g, max(l_orderkey * 7919 % 1000003 * 1000000000 + l_orderkey) % 1000000000 AS chosen
                       FROM lineitem GROUP BY 1) ON g = p_partkey // 3
