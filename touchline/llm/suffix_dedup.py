@@ -38,7 +38,7 @@ LENGTH = 50
 GRAM = 16
 CHUNK_BYTES = 2 << 20
 SEGMENT = 1 << 19
-BUCKET_BYTES = 1 << 20
+BUCKET_BYTES = 4 << 20
 HOT = 4096
 META = np.dtype([("doc", "<i8"), ("idx", "<u4"), ("start", "<u4"), ("n", "<u4")])
 SPAN = np.dtype([("idx", "<u4"), ("start", "<u4"), ("end", "<u4")])
@@ -225,7 +225,7 @@ def _sent_windows(bits: int):
             metas = [pack.compress(meta[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
             m = len(which)
             columns = [
-                pa.array([*which.tolist(), None], pa.int32()),
+                pa.array([*which.tolist(), -1 - row["chunk"]], pa.int64()),
                 pa.array([row["chunk"]] * (m + 1), pa.int64()),
                 pa.array([*metas, None], pa.binary()),
                 pa.array([*texts, spans.tobytes()], pa.binary()),
@@ -236,7 +236,12 @@ def _sent_windows(bits: int):
 
 
 def _repeated(rows: pa.Table) -> pa.Table:
-    """One bucket: which windows start in a smaller document as well, as spans of each chunk."""
+    """One bucket: which windows start in a smaller document as well, as spans of each chunk.
+
+    A bucket below zero is what a chunk has settled on its own.
+    """
+    if rows.column("bucket")[0].as_py() < 0:
+        return rows.select(["chunk", "data"]).rename_columns(["chunk", "spans"])
     unpack = zstandard.ZstdDecompressor()
     metas = [np.frombuffer(unpack.decompress(m), META) for m in rows.column("meta").to_pylist()]
     data = np.frombuffer(b"".join(unpack.decompress(d) for d in rows.column("data").to_pylist()), np.uint8)
@@ -315,9 +320,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", hot
     replies = sent.groupBy("bucket").applyInArrow(_shared_anchors(hot), "bucket int, chunk long, shared binary, often binary")
     replies = materialize(replies.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "shared", "often")).alias("replies")), "shared-anchors")
     asked = chunks.select("chunk", "docs", "sizes", "packed").join(replies, "chunk").join(copies, "chunk", "left")
-    windows = materialize(asked.mapInArrow(_sent_windows(bits), "bucket int, chunk long, meta binary, data binary"), "windows")
-    lost = windows.where("bucket IS NOT NULL").groupBy("bucket").applyInArrow(_repeated, "chunk long, spans binary")
-    lost = lost.unionByName(windows.where("bucket IS NULL").select("chunk", F.col("data").alias("spans")))
+    windows = asked.mapInArrow(_sent_windows(bits), "bucket long, chunk long, meta binary, data binary")
+    lost = windows.groupBy("bucket").applyInArrow(_repeated, "chunk long, spans binary")
     lost = materialize(lost.groupBy("chunk").agg(F.collect_list("spans").alias("spans")), "lost-spans")
     final = chunks.select("chunk", "docs", "sizes", "packed").join(lost, "chunk", "left").join(copies, "chunk", "left")
     return final.mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
