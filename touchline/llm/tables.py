@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +24,19 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+#: most bytes of text that Spark hands to a Python worker at once
+BATCH_BYTES = 8 << 20
+
+
 def share_package(spark: SparkSession) -> None:
-    """Python workers look for this package where the driver found it (on a cluster: also in --py-files)."""
+    """Prepares a session for the operators here.
+
+    Python workers look for this package where the driver found it (on a
+    cluster: also in --py-files), and get Arrow batches of bounded size.
+    """
+    number, unit = re.match(r"(\d+)([kmgt]?)", spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").lower()).groups()
+    if int(number) << 10 * " kmgt".index(unit or " ") > BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if here not in known.split(os.pathsep):
