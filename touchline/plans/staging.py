@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.constants import FIRST_SEASON, MIN_MATCHES
 from touchline.functions.labels import is_international, match_result
-from touchline.functions.text import location_xy, null_if_token, parse_location, season_year
+from touchline.functions.text import clock_minutes, location_xy, null_if_token, parse_location, season_year
 from touchline.operators.joins import known_only
 
 
@@ -58,31 +58,51 @@ def events(raw: DataFrame, staged_matches: DataFrame) -> DataFrame:
     return known_only(typed.filter(F.col("player").isNotNull()), staged_matches, ["match_id"])
 
 
+def _first(array: str, field: str) -> Column:
+    """First value of a field in a list of entries that is neither missing nor empty."""
+    values = F.transform(F.col(array), lambda entry: entry[field])
+    return F.try_element_at(F.filter(values, lambda v: v.isNotNull() & (v != "")), F.lit(1))
+
+
 def lineups(raw: DataFrame, staged_matches: DataFrame) -> DataFrame:
     """One row per lineup entry with the first known position, start, end and card.
 
     The first non-missing value of the whole list counts, so a player whose
     first stint has no end takes the end of a later one.
     """
-
-    def first(array: str, field: str):
-        values = F.transform(F.col(array), lambda entry: entry[field])
-        return F.try_element_at(F.filter(values, lambda v: v.isNotNull() & (v != "")), F.lit(1))
-
     typed = raw.select(
         F.col("match_id").cast("long").alias("match_id"),
         F.col("player_id").cast("long").alias("player_id"),
         F.col("player_name").cast("string").alias("player_name"),
         F.trim("team_name").alias("team_name"),
         F.col("jersey_number").cast("long").alias("jersey_number"),
-        F.coalesce(first("positions", "position"), F.lit("Unknown")).alias("position_name"),
-        first("positions", "from").alias("from_time"),
-        first("positions", "to").alias("to_time"),
-        first("cards", "card_type").alias("card_type"),
+        F.coalesce(_first("positions", "position"), F.lit("Unknown")).alias("position_name"),
+        _first("positions", "from").alias("from_time"),
+        _first("positions", "to").alias("to_time"),
+        _first("cards", "card_type").alias("card_type"),
     )
     return known_only(typed, staged_matches, ["match_id"])
 
 
+def lineups_flat(raw: DataFrame, staged_matches: DataFrame) -> DataFrame:
+    """The same from the flat layout, one row per stint and no player id: stints are put in order of their start."""
+    entry = ["match_id", "team_name", "player_name", "jersey_number"]
+    typed = raw.select(
+        F.col("match_id").cast("long").alias("match_id"),
+        F.trim("team_name").alias("team_name"),
+        "player_name",
+        F.col("jersey_number").cast("long").alias("jersey_number"),
+        F.struct(clock_minutes("from_time").alias("start"), "position_name", "from_time", "to_time", "card_type").alias("stint"),
+    )
+    folded = typed.groupBy(*entry).agg(F.sort_array(F.collect_list("stint")).alias("stints"))
+    rows = folded.select(
+        *entry,
+        F.coalesce(_first("stints", "position_name"), F.lit("Unknown")).alias("position_name"),
+        *[_first("stints", c).alias(c) for c in ("from_time", "to_time", "card_type")],
+    )
+    return known_only(rows, staged_matches, ["match_id"])
+
+
 def lineup_stints(raw: DataFrame, staged_matches: DataFrame) -> DataFrame:
     """One row per position stint; an empty list keeps one row without position."""
     typed = raw.select(

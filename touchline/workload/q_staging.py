@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from touchline.constants import COMPETITION_LABEL_ORDER
+from touchline.constants import COMPETITION_LABEL_ORDER, FIRST_SEASON
 from touchline.functions import labels, text
 from touchline.plans import international, players, staging
-from touchline.sources.readers import read_table
+from touchline.session import new_folder
+from touchline.sources.readers import read_raw, read_table
+from touchline.sources.schemas import SCHEMAS
 from touchline.workload import base, feeds
 from touchline.workload.registry import query
 from touchline.workload.tables_sql import BROAD_CASE, LEAGUE_CASE, POSITION_CASE, with_tables
@@ -25,6 +28,46 @@ def stg_events(spark, d):
     return base.Run(spark, d).stg_events
 
 
+def _typed(spark, d, name):
+    """A raw table written as files of its declared types and read back with the declared schema."""
+    raw = getattr(feeds, f"raw_{name}")(spark, d)
+    folder = new_folder(spark, "raw")
+    fields = T.StructType.fromDDL(SCHEMAS[name]).fields
+    raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields]).write.parquet(f"{folder}/{name}.parquet")
+    return read_raw(spark, folder, name)
+
+
+@query("stg_matches_typed", ["A1", "B1", "B11"], with_tables("SELECT * FROM stg_matches", "stg_matches"),
+       longs=["competition_id", "season_id"], texts=["match_date"])
+def stg_matches_typed(spark, d):
+    return staging.season_from(staging.matches(_typed(spark, d, "matches"), 0), FIRST_SEASON)
+
+
+@query("stg_events_typed", ["A1", "B4"], with_tables("SELECT * FROM stg_events", "stg_events"),
+       doubles=["location_x", "location_y", "shot_xg"], longs=["period"])
+def stg_events_typed(spark, d):
+    return staging.events(_typed(spark, d, "events"), base.Run(spark, d).stg_matches)
+
+
+@query(
+    "stg_lineups_flat",
+    ["B6"],
+    with_tables(
+        """SELECT match_id, team_name, player_name, jersey_number, position_name, from_time, to_time, card_type FROM stg_lineups
+           QUALIFY count(*) OVER (PARTITION BY match_id, team_name, player_name, jersey_number) = 1""",
+        "stg_lineups",
+    ),
+)
+def stg_lineups_flat(spark, d):
+    """Entries with a name and number of their own in the flat layout, stints as rows in any order."""
+    raw = _typed(spark, d, "lineups").withColumn("team_name", F.trim("team_name"))
+    entry = ["match_id", "team_name", "player_name", "jersey_number"]
+    single = raw.groupBy(*entry).count().filter("count = 1").select(*entry)
+    stints = raw.join(single, entry).select(*entry, F.explode_outer("positions").alias("p"), F.get("cards", F.lit(0))["card_type"].alias("card_type"))
+    flat = stints.select(*entry, F.col("p.position").alias("position_name"), F.col("p.from").alias("from_time"), F.col("p.to").alias("to_time"), "card_type")
+    return staging.lineups_flat(flat.repartition(8, "from_time"), base.Run(spark, d).stg_matches)
+
+
 @query("stg_lineups", ["B6"], with_tables("SELECT * FROM stg_lineups", "stg_lineups"))
 def stg_lineups(spark, d):
     return base.Run(spark, d).stg_lineups
