@@ -26,14 +26,19 @@ def query(name: str, sql: str | None = None):
 
 #: most bytes of text that Spark hands to a Python worker at once
 BATCH_BYTES = 8 << 20
+#: Python workers live on between tasks: they give large arrays back at once instead of keeping them for the next
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(8 << 20), "MALLOC_ARENA_MAX": "2"}
 
 
 def share_package(spark: SparkSession) -> None:
     """Prepares a session for the operators here.
 
     Python workers look for this package where the driver found it (on a
-    cluster: also in --py-files), and get Arrow batches of bounded size.
+    cluster: also in --py-files), return freed memory, and get Arrow batches of
+    bounded size.
     """
+    for name, value in WORKER_MEMORY.items():
+        spark.sparkContext.environment.setdefault(name, value)
     number, unit = re.match(r"(\d+)([kmgt]?)", spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").lower()).groups()
     if int(number) << 10 * " kmgt".index(unit or " ") > BATCH_BYTES:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
