@@ -109,7 +109,7 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
                     ELSE concat('[', h % 121, '.', h % 10, ', ', h % 81, '.5]') END AS location""",
             "if(h % 6 = 0, 'Aerial', 'Regular Play') AS play_pattern",
             """CASE WHEN type <> 'Shot' THEN NULL WHEN h % 41 = 0 THEN 'nan'
-                    ELSE concat('0.', lpad(cast(h % 1000 AS string), 3, '0')) END AS shot_statsbomb_xg""",
+                    ELSE concat('0.', lpad(cast(h % 1000 * 9765625 AS string), 10, '0')) END AS shot_statsbomb_xg""",
             """CASE WHEN type = 'Pass' AND h % 5 = 0 THEN 'Incomplete'
                     WHEN type = 'Pass' AND h % 7 = 0 THEN 'Assist'
                     WHEN type = 'Pass' AND h % 11 = 0 THEN 'None'

@@ -80,7 +80,7 @@ table(
                 ELSE '[' || (h % 121) || '.' || (h % 10) || ', ' || (h % 81) || '.5]' END AS location,
            CASE WHEN h % 6 = 0 THEN 'Aerial' ELSE 'Regular Play' END AS play_pattern,
            CASE WHEN type <> 'Shot' THEN NULL WHEN h % 41 = 0 THEN 'nan'
-                ELSE '0.' || lpad((h % 1000)::VARCHAR, 3, '0') END AS shot_statsbomb_xg,
+                ELSE '0.' || lpad((h % 1000 * 9765625)::VARCHAR, 10, '0') END AS shot_statsbomb_xg,
            CASE WHEN type = 'Pass' AND h % 5 = 0 THEN 'Incomplete' WHEN type = 'Pass' AND h % 7 = 0 THEN 'Assist'
                 WHEN type = 'Pass' AND h % 11 = 0 THEN 'None'
                 WHEN type = 'Shot' AND (h // 7) % 3 = 0 THEN 'Blocked' END AS pass_outcome,
