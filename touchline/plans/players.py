@@ -37,8 +37,23 @@ COUNTERS = (
     "ball_recoveries",
     "fouls",
 )
-# rate name -> counter, beside <counter>_per_90 for all the others
-RATE_OF = {f"{c}_per_90": f"total_{c}" for c in COUNTERS if not c.startswith("passes_a") and c != "passes_completed"} | {
+# rate name -> counter
+RATE_OF = {
+    "shots_per_90": "total_shots",
+    "goals_per_90": "total_goals",
+    "assists_per_90": "total_assists",
+    "pressures_per_90": "total_pressures",
+    "tackles_per_90": "total_tackles",
+    "interceptions_per_90": "total_interceptions",
+    "carries_per_90": "total_carries",
+    "duels_per_90": "total_duels",
+    "aerial_duels_per_90": "total_aerial_duels",
+    "dribbles_per_90": "total_dribbles",
+    "clearances_per_90": "total_clearances",
+    "carries_att_third_per_90": "total_carries_att_third",
+    "blocks_per_90": "total_blocks",
+    "ball_recoveries_per_90": "total_ball_recoveries",
+    "fouls_per_90": "total_fouls",
     "passes_att_third_per_90": "total_passes_att_third",
     "passes_per_90": "total_passes_attempted",
     "xg_per_90": "total_xg",
@@ -284,14 +299,21 @@ def raw_player_context(events: DataFrame, lineups: DataFrame, matches: DataFrame
     """Same per player and context, with the position of most action time."""
     keep = ["player_id", "context"]
     scoped = mens_scope(matches).select("match_id", F.when(F.col("is_international"), "National").otherwise("Club").alias("context"))
-    joined = timed_actions(events, lineups, scoped)
-    sums = joined.groupBy(*keep).agg(
+    counts = _raw_sums()
+    # read twice below: once per player, once for the usual position
+    per_match = materialize(
+        timed_actions(events, lineups, scoped)
+        .groupBy(*keep, "match_id", "position_name")
+        .agg(F.max("player_name").alias("player_name"), F.sum("duration").alias("total_minutes"), *counts),
+        "context-sums",
+    )
+    names = [c for c in per_match.columns if c not in (*keep, "match_id", "position_name", "player_name")]
+    sums = per_match.groupBy(*keep).agg(
         F.max("player_name").alias("player_name"),
         F.count_distinct("match_id").alias("matches_played"),
-        F.sum("duration").alias("total_minutes"),
-        *_raw_sums(),
+        *[F.sum(c).alias(c) for c in names],
     )
-    place = dominant(joined, keep, "position_name", "duration").drop("weight")
+    place = dominant(per_match, keep, "position_name", "total_minutes").drop("weight")
     rates = _raw_rates(
         sums.filter(F.col("total_minutes") >= min_minutes), [*keep, "player_name", "matches_played", "total_minutes"]
     )
