@@ -97,8 +97,9 @@ def _blocks(kind: str, axes: np.ndarray, size: int):
 
     def block(k: int, held: list[tuple]):
         at = unit([h[2] for h in held], kind) @ axes
-        columns = [[TaskContext.get().partitionId()], [k], [[h[0] for h in held]], [[h[1] for h in held]], [b"".join(h[2] for h in held)], [at.min(0).tolist()], [at.max(0).tolist()]]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+        reps, ns, raws = zip(*held, strict=True)
+        row = (TaskContext.get().partitionId(), k, list(reps), list(ns), b"".join(raws), at.min(0).tolist(), at.max(0).tolist())
+        return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, types, strict=True)], names)
 
     def run(batches):
         held, k = [], 0
@@ -241,7 +242,8 @@ def link_by_cosine(vectors: DataFrame, cosine: float, key: str = "vec_id", vecto
     found = materialize(pairs.mapInArrow(_leaf(kind, axes, cosine, eps), "node long, weight long, other long"), "vector-links")
     weights = found.where("other IS NULL").groupBy("node").agg(F.sum("weight").alias("weight"))
     whole = components(found.where("other IS NOT NULL"), "node", "other")
-    known = classes.select("key", "rep", "n").join(weights, F.col("rep") == weights.node, "left").drop("node").join(whole, F.col("rep") == whole.node, "left")
+    known = classes.select("key", "rep", "n").join(weights, F.col("rep") == weights.node, "left").drop("node")
+    known = known.join(whole, F.col("rep") == whole.node, "left")
     known = known.select("key", (F.coalesce("weight", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
     linked = rows.where("key IS NOT NULL").select("vec_id", "key").join(known, "key")
     linked = linked.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))

@@ -233,7 +233,8 @@ def _against_pivots(k: int, measure: Measure):
         for rows in batches:
             for part, sets in _sets_of(rows, k):
                 out = []
-                for region, slot, doc, s in zip(part.column("region").to_pylist(), part.column("slot").to_pylist(), part.column("doc").to_pylist(), sets, strict=True):
+                keys = (part.column(c).to_pylist() for c in ("region", "slot", "doc"))
+                for region, slot, doc, s in zip(*keys, sets, strict=True):
                     if slot is not None:
                         pivots = [*pivots, (slot, doc, s)] if loading else [(slot, doc, s)]
                         loading = True
@@ -247,7 +248,8 @@ def _against_pivots(k: int, measure: Measure):
                             out.append((region, doc, place, pivot, 1 - both / (len(s) + len(p) - both), bool(measure.linked(both, len(s), len(p)))))
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.bool_())
                 columns = zip(*out, strict=True) if out else [()] * 6
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["region", "doc", "slot", "pivot", "distance", "linked"])
+                arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, ["region", "doc", "slot", "pivot", "distance", "linked"])
 
     return run
 
@@ -330,8 +332,8 @@ def _links_of_large(members: DataFrame, shingles: DataFrame, texts: DataFrame, k
         if over.isEmpty():
             break
         if turn and "parent" in members.columns:
-            stuck = members.join(over, "region").select("region", "parent", "docs").distinct().join(before, "parent").where(F.col("docs") > STUCK * F.col("parent_docs"))
-            stuck = materialize(stuck.select("region", "docs"), "stuck")
+            stuck = members.join(over, "region").select("region", "parent", "docs").distinct().join(before, "parent")
+            stuck = materialize(stuck.where(F.col("docs") > STUCK * F.col("parent_docs")).select("region", "docs"), "stuck")
             blocks = members.join(stuck.join(sizes.select("region", "total"), "region"), "region")
             n = F.ceil(F.greatest(2 * F.col("docs") / LEAF_DOCS, 2 * F.col("total") / LEAF_SHINGLES)).cast("int") + 1
             blocks = blocks.withColumn("blocks", n).withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
@@ -387,7 +389,8 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "d
     wanted = pairs.select("doc").unionAll(pairs.select("region")).unionAll(members.select("doc")).distinct()
     wanted = materialize(wanted, "wanted")
     likely = sifted(known, "doc_id", wanted, "doc").where("maybe")
-    texts = materialize(likely.join(wanted, likely.doc_id == wanted.doc, "left_semi").select(F.col("doc_id").alias("doc"), "text").dropDuplicates(["doc"]), "candidate-texts")
+    texts = likely.join(wanted, likely.doc_id == wanted.doc, "left_semi").select(F.col("doc_id").alias("doc"), "text")
+    texts = materialize(texts.dropDuplicates(["doc"]), "candidate-texts")
     one = pairs.groupBy("region").agg(F.count(F.lit(1)).alias("docs")).select("region", (1 + F.floor(F.col("docs") / LEAF_DOCS)).cast("int").alias("copies"))
     pivots = pairs.select("region").distinct().select("region", F.lit(0).alias("slot"), F.col("region").alias("doc")).join(texts, "doc")
     star = _pivot_distances(pairs.join(texts, "doc"), pivots, k, measure, one)

@@ -30,6 +30,8 @@ SHARD_KEYS = 1 << 16
 PROBES = 1 << 18
 ROOMY = 2
 _MAX_LEVELS = 64
+#: the arrays that a probe reads, and what they hold
+ARRAYS = {"words": "u8", "levels": "i8", "prints": "u8", "holders": "i8"}
 
 
 class PerfectHash:
@@ -130,7 +132,7 @@ def _shards(frequent: DataFrame, n_shards: int, usual: int) -> DataFrame:
 
 def _probe(batches):
     """Rows sorted by shard and copy, the arrays first: passes on the probes that lose their line."""
-    hashed = prints = counts = holders = None
+    hashed = prints = holders = None
     at = (None, None)
     for rows in batches:
         shard, copy = (rows.column(c).to_numpy() for c in ("shard", "copy"))
@@ -138,7 +140,7 @@ def _probe(batches):
         for a, b in zip([0, *cuts], [*cuts, rows.num_rows], strict=True):
             part = rows.slice(a, b - a)
             if part.column("words").is_valid()[0].as_py():
-                words, levels, prints, counts, holders = (np.frombuffer(part.column(c)[0].as_py(), t) for c, t in zip(("words", "levels", "prints", "counts", "holders"), ("u8", "i8", "u8", "u4", "i8"), strict=True))
+                words, levels, prints, holders = (np.frombuffer(part.column(c)[0].as_py(), t) for c, t in ARRAYS.items())
                 hashed, at = PerfectHash(words, levels), (shard[a], copy[a])
                 continue
             if at != (shard[a], copy[a]):
@@ -158,9 +160,8 @@ def lost_lines(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     """``doc_id, lost array<long>``: key hashes of the lines that each document loses."""
     spark = docs.sparkSession
     pairs = materialize(_keys_of(docs, min_chars).distinct(), "line-keys")
-    frequent = materialize(
-        pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("holder")).where((F.col("n") >= min_docs) & F.col("holder").isNotNull()), "line-counts"
-    )
+    counted = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("holder"))
+    frequent = materialize(counted.where((F.col("n") >= min_docs) & F.col("holder").isNotNull()), "line-counts")
     n_shards = 1 + frequent.count() // SHARD_KEYS
     shards = materialize(_shards(frequent, n_shards, pairs.count() // n_shards), "line-shards")
     arrays = shards.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
@@ -173,7 +174,14 @@ def lost_lines(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     return lost.groupBy("doc_id").agg(F.collect_list("key").alias("lost"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, key: str = "doc_id", text: str = "text", rest: Sequence[str] = ()) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame,
+    min_chars: int = MIN_CHARS,
+    min_docs: int = MIN_DOCS,
+    key: str = "doc_id",
+    text: str = "text",
+    rest: Sequence[str] = (),
+) -> DataFrame:
     """``doc_id, n_lines, n_dropped, kept``: whole texts without lines held by ``min_docs`` documents or more.
 
     A line is compared without white space at its ends and with A-Z lower-cased;

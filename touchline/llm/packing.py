@@ -138,7 +138,8 @@ def _pack(batches, limits: Limits, items_of, with_ids: bool):
     def emit(item: Item, start: int, n: int, sequence: int, offset: int) -> None:
         ids = item.ids[start : start + n]
         loss = int(item.loss_before[start + n] - item.loss_before[start])
-        out.append((item.doc, start, n, zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes()), len(item.ids), sequence, offset, loss, ids if with_ids else None))
+        crc = zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes())
+        out.append((item.doc, start, n, crc, len(item.ids), sequence, offset, loss, ids if with_ids else None))
 
     packer = Packer(limits, emit, TaskContext.get().partitionId() << 40)
 
@@ -165,7 +166,15 @@ def _pack(batches, limits: Limits, items_of, with_ids: bool):
     yield from flush()
 
 
-def pack_texts(docs: DataFrame, path: str, limits: Limits = Limits(), key: str = "doc_id", text: str = "text", end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def pack_texts(
+    docs: DataFrame,
+    path: str,
+    limits: Limits = Limits(),
+    key: str = "doc_id",
+    text: str = "text",
+    end_id: int = END_ID,
+    with_ids: bool = False,
+) -> DataFrame:
     """Pieces of every whole text in sequences; the first id of a document bears no loss.
 
     Null and empty texts have one id, the end id. Repeated rows and null keys

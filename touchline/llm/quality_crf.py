@@ -189,7 +189,15 @@ def held_out(key: str):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", max_docs: int = TRAIN_DOCS, max_chars: int = TRAIN_CHARS) -> Field:
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    label: str = "quality",
+    max_docs: int = TRAIN_DOCS,
+    max_chars: int = TRAIN_CHARS,
+) -> Field:
     """Fits the field on at most ``max_docs`` labelled documents that are not held out, the first by a hash of the key.
 
     Labels that are null or of a null key are not used. Without both labels the

@@ -213,7 +213,8 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * lost <= @LOST * word_chars AS kept
 FROM m
 """
-for _name, _value in (("PARTS", MENU_PARTS), ("MARKS", MAX_MARKS), ("SAME", MAX_SAME), ("LOST", MAX_LOST), ("NAV", "|".join(NAVIGATION)), ("BOILER", "|".join(BOILERPLATE))):
+_VALUES = {"PARTS": MENU_PARTS, "MARKS": MAX_MARKS, "SAME": MAX_SAME, "LOST": MAX_LOST}
+for _name, _value in (_VALUES | {"NAV": "|".join(NAVIGATION), "BOILER": "|".join(BOILERPLATE)}).items():
     SQL = SQL.replace(f"@{_name}", str(_value))
 
 

@@ -1,4 +1,15 @@
 """All registered queries of this subpackage."""
 
-from touchline.llm import byte_bpe, embedding_join, jaccard_join, line_dedup, packing, quality_crf, quality_rules, secret_scan, suffix_dedup, token_counts  # noqa: F401
+from touchline.llm import (  # noqa: F401
+    byte_bpe,
+    embedding_join,
+    jaccard_join,
+    line_dedup,
+    packing,
+    quality_crf,
+    quality_rules,
+    secret_scan,
+    suffix_dedup,
+    token_counts,
+)
 from touchline.llm.tables import QUERIES, SQL  # noqa: F401

@@ -28,7 +28,11 @@ KINDS = ("assign", "access", "hex", "novel")
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 
 # fixed values of the novelty rule
-CONTEXT = re.compile(r"(?:auth|bearer|cred|private|signature|key|pwd|pass|secret|token)[A-Za-z_]{0,12}[\"']?\x20{0,2}(?:[:=]|\x20)\x20{0,2}[\"']?([A-Za-z0-9+/_=-]{16,})", re.IGNORECASE | re.ASCII)
+CONTEXT = re.compile(
+    r"(?:auth|bearer|cred|private|signature|key|pwd|pass|secret|token)[A-Za-z_]{0,12}"
+    r"[\"']?\x20{0,2}(?:[:=]|\x20)\x20{0,2}[\"']?([A-Za-z0-9+/_=-]{16,})",
+    re.IGNORECASE | re.ASCII,
+)
 AROUND = 256
 MIN_BYTES_A_CHAR = 0.85
 LEVEL = 12

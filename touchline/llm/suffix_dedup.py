@@ -160,7 +160,8 @@ def _shared_anchors(hot: int):
             mine = total[a:b]
             shared.append(_pack40(part[mine > 1]))
             often.append(_pack40(part[mine >= hot]))
-        out = pa.table([rows.column("bucket").combine_chunks(), rows.column("chunk").combine_chunks(), pa.array(shared, pa.binary()), pa.array(often, pa.binary())], names=["bucket", "chunk", "shared", "often"])
+        columns = [*(rows.column(c).combine_chunks() for c in ("bucket", "chunk")), *(pa.array(x, pa.binary()) for x in (shared, often))]
+        out = pa.table(columns, names=["bucket", "chunk", "shared", "often"])
         return out.filter(pa.array([bool(s) for s in shared]))
 
     return run
@@ -310,7 +311,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", hot
     """
     chosen = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     chunks = materialize(chosen.mapInArrow(_chunks, CHUNKS), "chunks")
-    each = chunks.select("chunk", F.posexplode(F.arrays_zip("docs", "digests", "sizes"))).select("chunk", F.col("pos").alias("idx"), "col.docs", "col.digests", "col.sizes")
+    each = chunks.select("chunk", F.posexplode(F.arrays_zip("docs", "digests", "sizes")))
+    each = each.select("chunk", F.col("pos").alias("idx"), "col.docs", "col.digests", "col.sizes")
     classes = each.where("docs IS NOT NULL").groupBy("digests").agg(F.min("docs").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     copies = each.join(classes.select("digests", "least"), "digests").where("docs > least").groupBy("chunk").agg(F.collect_list("idx").alias("copies"))
     copies = materialize(copies, "copies")

@@ -27,7 +27,12 @@ def query(name: str, sql: str | None = None):
 #: most bytes of text that Spark hands to a Python worker at once
 BATCH_BYTES = 8 << 20
 #: Python workers live on between tasks: they give large arrays back at once instead of keeping them for the next
-WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(8 << 20), "MALLOC_ARENA_MAX": "2"}
+WORKER_MEMORY = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_MMAP_THRESHOLD_": str(4 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(8 << 20),
+    "MALLOC_ARENA_MAX": "2",
+}
 
 
 def share_package(spark: SparkSession) -> None:

@@ -25,7 +25,15 @@ GROUP = 4096
 TOKEN = "<u2"
 
 
-def write_token_files(docs: DataFrame, path: str, pattern: str, separator: int, key: str = "doc_id", text: str = "text", block_tokens: int = BLOCK_TOKENS) -> tuple[DataFrame, DataFrame]:
+def write_token_files(
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    separator: int,
+    key: str = "doc_id",
+    text: str = "text",
+    block_tokens: int = BLOCK_TOKENS,
+) -> tuple[DataFrame, DataFrame]:
     """Encodes whole texts to flat files in the shared folder: their blocks, and which documents they hold in order.
 
     Each input partition is one file. Null and empty texts are a separator alone.
@@ -102,7 +110,8 @@ def _searched(separator: int):
                 ends.append(len(at))
                 last.append(int(at[-1]) + 1 if len(at) else None)
                 gaps.append(np.diff(at, prepend=-1) - 1)
-            columns = [rows.column("file"), rows.column("block"), pa.array(size, pa.int64()), pa.array(ends, pa.int64()), pa.array(last, pa.int64()), pa.array(gaps, pa.list_(pa.int64()))]
+            numbers = [pa.array(x, pa.int64()) for x in (size, ends, last)]
+            columns = [rows.column("file"), rows.column("block"), *numbers, pa.array(gaps, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["file", "block", "size", "ends", "last", "gaps"])
 
     return run
@@ -130,12 +139,14 @@ def count_tokens(blocks: DataFrame, separator: int, group: int = GROUP) -> DataF
     near = near.withColumn("open", F.max("after").over(inside))
     groups = near.groupBy("file", "group").agg(F.sum("size").alias("g_size"), F.sum("ends").alias("g_ends"), F.max("after").alias("g_after"))
     past = Window.partitionBy("file").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
-    groups = groups.select("*", F.coalesce(F.sum("g_size").over(past), F.lit(0)).alias("g_start"), F.coalesce(F.sum("g_ends").over(past), F.lit(0)).alias("g_nth"))
+    sums = [F.coalesce(F.sum(c).over(past), F.lit(0)).alias(to) for c, to in (("g_size", "g_start"), ("g_ends", "g_nth"))]
+    groups = groups.select("*", *sums)
     groups = groups.withColumn("g_open", F.coalesce(F.max(F.col("g_start") + F.col("g_after")).over(past), F.lit(0)))
     placed = near.join(groups.select("file", "group", "g_start", "g_nth", "g_open"), ["file", "group"])
     carried = F.col("g_start") + F.col("start") - F.coalesce(F.col("g_start") + F.col("open"), F.col("g_open"))
     docs = placed.select("file", (F.col("g_nth") + F.col("nth")).alias("base"), carried.alias("carried"), F.posexplode("gaps").alias("at", "gap"))
-    docs = docs.select("file", (F.col("base") + F.col("at")).alias("nth"), (F.col("gap") + F.when(F.col("at") == 0, F.col("carried")).otherwise(0)).alias("n_tokens"))
+    length = F.col("gap") + F.when(F.col("at") == 0, F.col("carried")).otherwise(0)
+    docs = docs.select("file", (F.col("base") + F.col("at")).alias("nth"), length.alias("n_tokens"))
     files = placed.groupBy("file").agg(
         F.max(F.col("g_start") + F.col("start") + F.col("size")).alias("total"),
         F.sum("ends").alias("nth"),
