@@ -3,16 +3,22 @@
 A candidate stands in a sensitive context (a word like key, auth or credential
 before it on its line) and looks like one token. Its novelty is what it adds
 to the zstandard size of the code around it, when the compressor has already
-seen a dictionary of that code and of common identifiers. Identifiers, words and
-repeated literals are cheap; random strings cost nearly their entropy and are
-reported as kind ``novel``.
+seen a dictionary of that code and of common identifiers, as a share of what
+its own characters add in random order. So neither its length nor its alphabet
+counts: identifiers, known words and repeated literals cost less than their
+shuffled characters, random strings as much, and these are reported as kind
+``novel``. Values of under 32 bits, like runs of one character, and letters in
+one case whose pairs read like words are not.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Sequence
+from math import log2
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -34,7 +40,8 @@ CONTEXT = re.compile(
     re.IGNORECASE | re.ASCII,
 )
 AROUND = 256
-MIN_BYTES_A_CHAR = 0.85
+#: share of the size of its shuffled characters, number of shuffles, bits that the counts of its characters hold
+MIN_SHARE, SHUFFLES, MIN_BITS = 0.85, 3, 32
 LEVEL = 12
 _WORDS = (
     "access account action address admin alias app application array async attribute auth authentication authorization base "
@@ -53,18 +60,38 @@ _WORDS = (
 IDENTIFIERS = " ".join([*(w.title() for w in _WORDS), *_WORDS, "_".join(_WORDS[:40]), "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 "])
 
 
-def _size(data: bytes, known: bytes) -> int:
-    primed = zstandard.ZstdCompressionDict(known, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    return len(zstandard.ZstdCompressor(level=LEVEL, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False).compress(data))
+def _letter_bits() -> dict[str, float]:
+    """Bits of a letter after another in the words above, for each pair."""
+    pairs = Counter(w[i : i + 2] for w in _WORDS for i in range(len(w) - 1))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    total = {x: sum(pairs[x + y] + 0.5 for y in letters) for x in letters}
+    return {x + y: log2(total[x] / (pairs[x + y] + 0.5)) for x in letters for y in letters}
+
+
+LETTER_BITS = _letter_bits()
+
+
+def reads_like_words(letters: str) -> bool:
+    """Whether the pairs of ASCII letters are likelier in words than in random letters."""
+    low = letters.lower()
+    return sum(LETTER_BITS[low[i : i + 2]] for i in range(len(low) - 1)) < log2(26) * (len(low) - 1)
 
 
 def novelty(text: str, start: int, end: int) -> float:
-    """Compressed bytes that a candidate adds to the context before it, for each of its characters."""
+    """Compressed bytes that a candidate adds to its context, as a share of what its characters add in random order."""
     before, after = text[max(0, start - AROUND) : start], text[end : end + AROUND]
+    candidate = text[start:end].encode()
+    n = len(candidate)
+    if sum(c * log2(n / c) for c in Counter(candidate).values()) < MIN_BITS:
+        return 0.0
     known = (IDENTIFIERS + before + "\n" + after).encode("utf-8", "replace")
     lead = before[-16:].encode("utf-8", "replace")
-    candidate = text[start:end].encode()
-    return (_size(lead + candidate, known) - _size(lead, known)) / len(candidate)
+    primed = zstandard.ZstdCompressionDict(known, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    coder = zstandard.ZstdCompressor(level=LEVEL, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False)
+    alone = len(coder.compress(lead))
+    symbols, order = np.frombuffer(candidate, np.uint8), np.random.RandomState(n % 2**32)
+    shuffled = [len(coder.compress(lead + order.permutation(symbols).tobytes())) - alone for _ in range(SHUFFLES)]
+    return (len(coder.compress(lead + candidate)) - alone) * SHUFFLES / max(1, sum(shuffled))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -84,9 +111,9 @@ def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     for m in CONTEXT.finditer(text):
         a, b = m.span(1)
         value = m[1]
-        if value.isalpha() and (value.islower() or value.isupper() or value.istitle()):
+        if value.isalpha() and (value.islower() or value.isupper() or value.istitle()) and reads_like_words(value):
             continue  # a word of prose
-        if not any(s < b and a < e for s, _, e in base) and novelty(text, a, b) >= MIN_BYTES_A_CHAR:
+        if not any(s < b and a < e for s, _, e in base) and novelty(text, a, b) >= MIN_SHARE:
             out.append((a, 3, b))
     return out
 
