@@ -5,6 +5,7 @@ import pytest
 
 from touchline.llm import secret_scan
 
+AROUND = secret_scan.AROUND
 ALPHABETS = {
     "decimal": string.digits,
     "upper hex": "0123456789ABCDEF",
@@ -34,3 +35,11 @@ def test_random_values_of_any_alphabet_and_length_are_novel(alphabet, n):
 @pytest.mark.parametrize("value", ["0" * 40, "abc" * 20, "0123456789" * 4, "verantwortungsbewusstsein", "AuthenticationTokenProvider"])
 def test_runs_repeats_and_words_are_not_novel(value):
     assert found(f'auth_key = "{value}"\n') == []
+
+
+@pytest.mark.parametrize("n", [24, 40, 64, 300])
+def test_a_value_used_again_nearby_is_novel_each_time(n):
+    for value in values("base64", n):
+        assert found(f'auth_key = "{value}"\nprivate_key = "{value}"\n') == [value, value]
+        for gap in (AROUND - n // 2, AROUND + n // 2):  # the edge of the context cuts the other one
+            assert found(f'auth_key = "{value}"\n{"x = 1;" * AROUND}'[: gap + n] + f'\nprivate_key = "{value}"\n') == [value, value]

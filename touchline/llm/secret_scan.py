@@ -5,9 +5,9 @@ before it on its line) and looks like one token. Its novelty is what it adds
 to the zstandard size of the code around it, when the compressor has already
 seen a dictionary of that code and of common identifiers, as a share of what
 its own characters add in random order. So neither its length nor its alphabet
-counts: identifiers, known words and repeated literals cost less than their
+counts: identifiers, known words and repetitive literals cost less than their
 shuffled characters, random strings as much, and these are reported as kind
-``novel``. Values of under 32 bits, like runs of one character, and letters in
+``novel``, wherever the same value stands again. Values of under 32 bits, like runs of one character, and letters in
 one case whose pairs read like words are not.
 """
 
@@ -79,9 +79,11 @@ def reads_like_words(letters: str) -> bool:
 
 def novelty(text: str, start: int, end: int) -> float:
     """Compressed bytes that a candidate adds to its context, as a share of what its characters add in random order."""
-    before, after = text[max(0, start - AROUND) : start], text[end : end + AROUND]
-    candidate = text[start:end].encode()
-    n = len(candidate)
+    value, n = text[start:end], end - start
+    # the same value nearby, also where the edge cuts it, would make itself known
+    before = text[max(0, start - AROUND - n) : start].replace(value, "\x20" * n)[-AROUND:]
+    after = text[end : end + AROUND + n].replace(value, "\x20" * n)[:AROUND]
+    candidate = value.encode()
     if sum(c * log2(n / c) for c in Counter(candidate).values()) < MIN_BITS:
         return 0.0
     known = (IDENTIFIERS + before + "\n" + after).encode("utf-8", "replace")
