@@ -1,14 +1,16 @@
 """Secret scans: fixed patterns, and strings that a primed compressor finds new.
 
 A candidate stands in a sensitive context (a word like key, auth or credential
-before it on its line) and looks like one token. Its novelty is what it adds
-to the zstandard size of the code around it, when the compressor has already
-seen a dictionary of that code and of common identifiers, as a share of what
-its own characters add in random order. So neither its length nor its alphabet
-counts: identifiers, known words and repetitive literals cost less than their
-shuffled characters, random strings as much, and these are reported as kind
-``novel``, wherever the same value stands again. Values of under 32 bits, like runs of one character, and letters in
-one case whose pairs read like words are not.
+anywhere before it on its line) and looks like one token: 16 or more of the value
+characters of the base patterns, cut at ``=`` and, where the whole is not novel,
+at ``.``, ``/`` and other marks. Its novelty is what it adds to the zstandard
+size of the code around it, when the compressor has already seen a dictionary of
+that code and of common identifiers, as a share of what its own characters add
+in random order. So neither its length nor its alphabet counts: identifiers,
+known words and repetitive literals cost less than their shuffled characters,
+random strings as much, and these are reported as kind ``novel``, wherever the
+same value stands again. Values of under 32 bits, like
+runs of one character, and those whose pairs of letters read like words are not.
 """
 
 from __future__ import annotations
@@ -34,11 +36,13 @@ KINDS = ("assign", "access", "hex", "novel")
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 
 # fixed values of the novelty rule
-CONTEXT = re.compile(
-    r"(?:auth|bearer|cred|private|signature|key|pwd|pass|secret|token)[A-Za-z_]{0,12}"
-    r"[\"']?\x20{0,2}(?:[:=]|\x20)\x20{0,2}[\"']?([A-Za-z0-9+/_=-]{16,})",
-    re.IGNORECASE | re.ASCII,
-)
+CONTEXT = re.compile(r"auth|bearer|cred|private|signature|key|pwd|pass|secret|token", re.IGNORECASE | re.ASCII)
+LINE_END = re.compile(r"[\r\n]|\Z")
+RUN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+PIECE = re.compile(r"[^=]+(?:=+\Z)?")
+PARTS = tuple(re.compile(p) for p in (r"[^.]{16,}", r"[^/]{16,}", r"[^+_-]{16,}"))
+LETTERS = re.compile(r"[A-Za-z]+")
+MIN_VALUE, MARGIN = 16, 8
 AROUND = 256
 #: share of the size of its shuffled characters, number of shuffles, bits that the counts of its characters hold
 MIN_SHARE, SHUFFLES, MIN_BITS = 0.85, 3, 32
@@ -71,10 +75,17 @@ def _letter_bits() -> dict[str, float]:
 LETTER_BITS = _letter_bits()
 
 
-def reads_like_words(letters: str) -> bool:
-    """Whether the pairs of ASCII letters are likelier in words than in random letters."""
-    low = letters.lower()
-    return sum(LETTER_BITS[low[i : i + 2]] for i in range(len(low) - 1)) < log2(26) * (len(low) - 1)
+def reads_like_words(value: str) -> bool:
+    """Whether the pairs of ASCII letters are likelier in words than in random letters, with at most a digit in eight.
+
+    By more than ``MARGIN`` bits, so of random values at most one in 2 ** MARGIN
+    passes for words; letters of one case alone, as in prose, need no margin.
+    """
+    if 8 * sum(c.isdigit() for c in value) > len(value):
+        return False
+    prose = value.isalpha() and (value.islower() or value.isupper() or value.istitle())
+    bits = [LETTER_BITS[w[i : i + 2]] for w in LETTERS.findall(value.lower()) for i in range(len(w) - 1)]
+    return sum(bits) - log2(26) * len(bits) < (0 if prose else -MARGIN)
 
 
 def novelty(text: str, start: int, end: int) -> float:
@@ -107,16 +118,54 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def _is_novel(text: str, a: int, b: int) -> bool:
+    return b - a >= MIN_VALUE and not reads_like_words(text[a:b]) and novelty(text, a, b) >= MIN_SHARE
+
+
+def _novel_parts(text: str, a: int, b: int, least: int, depth: int = 0) -> list[tuple[int, int]]:
+    """A piece from ``least`` on if it is novel, else its novel parts."""
+    if a >= least and _is_novel(text, a, b):
+        return [(a, b)]
+    for at in range(depth, len(PARTS)):
+        parts = [m.span() for m in PARTS[at].finditer(text, a, b)]
+        if parts != [(a, b)]:
+            return [s for x, y in parts if y - least >= MIN_VALUE for s in _novel_parts(text, x, y, least, at + 1)]
+    return []
+
+
+def _novel_in_run(text: str, a: int, b: int, least: int) -> list[tuple[int, int]]:
+    """Novel values of a run of value characters without outer dots: what stands between ``=``, else all from ``least`` on."""
+    b = a + len(text[a:b].rstrip("."))
+    a = b - len(text[a:b].lstrip("."))
+    pieces = [(a + m.start(), a + m.end()) for m in PIECE.finditer(text[a:b])]
+    found = [s for x, y in pieces if y - least >= MIN_VALUE for s in _novel_parts(text, x, y, least)]
+    late = [x for x, _ in pieces if x >= least]
+    if not found and len(pieces) > 1 and late and _is_novel(text, late[0], b):
+        found = [(late[0], b)]
+    return found
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Incompressible strings in sensitive contexts that overlap no base span."""
-    out = []
-    for m in CONTEXT.finditer(text):
-        a, b = m.span(1)
-        value = m[1]
-        if value.isalpha() and (value.islower() or value.isupper() or value.istitle()) and reads_like_words(value):
-            continue  # a word of prose
-        if not any(s < b and a < e for s, _, e in base) and novelty(text, a, b) >= MIN_SHARE:
-            out.append((a, 3, b))
+    out, line, i = [], 0, 0
+    base = sorted(base)
+    while m := CONTEXT.search(text, line):
+        least = m.end()
+        end = LINE_END.search(text, least).start()
+        start = max(text.rfind("\n", line, least), text.rfind("\r", line, least), line - 1) + 1
+        for run in RUN.finditer(text, start, end):
+            a, stop = run.span()
+            while i < len(base) and base[i][2] <= a:
+                i += 1
+            j = i
+            while a < stop:  # what base spans leave of the run
+                while j < len(base) and base[j][2] <= a:
+                    j += 1
+                b = min(stop, max(a, base[j][0])) if j < len(base) else stop
+                if b - least >= MIN_VALUE and b - a >= MIN_VALUE:
+                    out += [(x, 3, y) for x, y in _novel_in_run(text, a, b, least)]
+                a = max(b, base[j][2]) if j < len(base) and base[j][0] < stop else stop
+        line = end
     return out
 
 
