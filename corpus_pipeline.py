@@ -40,8 +40,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links join, the one with the smallest id stays."""
+    """Of documents that links join, the one with the smallest id stays; rows that share an id, or have none, are told apart."""
     share_package(spark)
+    if not docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").isEmpty():
+        rows = materialize(docs.withColumn("row", F.monotonically_increasing_id()), "numbered-documents")
+        groups = near_documents(rows, k=5, percent=80, key="row").select(F.col("doc_id").alias("row"), "component_id")
+        order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+        stays = groups.join(rows.select("row", "doc_id"), "row").groupBy("component_id").agg(F.min(order).alias("first"))
+        return rows.join(stays.select("first.row"), "row", "left_semi").select(*COLUMNS)
     groups = near_documents(docs, k=5, percent=80)
     first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first_id")).distinct()
     return docs.join(first, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi").select(*COLUMNS)

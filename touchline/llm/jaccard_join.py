@@ -355,6 +355,19 @@ def _links_of_large(members: DataFrame, shingles: DataFrame, texts: DataFrame, k
     return [*links, small.groupBy("region").applyInArrow(_leaf(k, measure), "a long, b long")]
 
 
+def _by_row(chosen: DataFrame, keyless: DataFrame, k: int, percent: int) -> DataFrame:
+    """Near documents where rows share keys: numbered rows are linked, and named by the smallest key among them."""
+    numbered = materialize(chosen.where("doc_id IS NOT NULL").withColumn("row", F.monotonically_increasing_id()), "numbered-rows")
+    found = near_documents(numbered, k, percent, key="row").withColumnRenamed("doc_id", "row").join(numbered.select("row", "doc_id"), "row")
+    found = materialize(found, "linked-rows")
+    for name in ("class_id", "component_id"):
+        least = found.groupBy(name).agg(F.min("doc_id").alias("least"))
+        found = found.join(least, name).drop(name).withColumnRenamed("least", name)
+    none = F.lit(None).cast("long")
+    keyless = keyless.select("doc_id", F.col("n").alias("n_shingles"), none.alias("class_id"), none.alias("component_id"))
+    return found.select(keyless.columns).unionByName(keyless)
+
+
 def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, class_id, component_id`` of every document.
 
@@ -362,8 +375,8 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "d
     ``component_id`` the smallest reachable by links. Fewer than ``k`` words are
     one shingle; null texts and texts without words have none, link with
     nothing and are classes of their own, like rows with a null key (whose
-    class is null). Rows that repeat a key count as one class if they have one
-    set. Other columns are not read.
+    class is null). Rows that repeat a key are linked each by its own text. Other
+    columns are not read.
     """
     spark = docs.sparkSession
     measure = Measure(percent)
@@ -371,6 +384,8 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "d
     known = chosen.where("doc_id IS NOT NULL AND text IS NOT NULL")
     heads = materialize(chosen.mapInArrow(_heads(k), "doc_id long, n long, digest binary, part int, counts binary"), "shingle-heads")
     rows = heads.where("part IS NULL").select("doc_id", "n", "digest")
+    if not rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").isEmpty():
+        return _by_row(chosen, rows.where("doc_id IS NULL"), k, percent)
     classes = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("class_id"), F.first("n").alias("n"))
     classes = materialize(classes, "shingle-classes")
     shingles = classes.select(F.col("class_id").alias("doc"), "n")
