@@ -2,9 +2,11 @@
 
 from touchline.llm import (  # noqa: F401
     byte_bpe,
+    chat_format,
     embedding_join,
     jaccard_join,
     line_dedup,
+    merkle,
     packing,
     quality_crf,
     quality_rules,
