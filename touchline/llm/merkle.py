@@ -47,22 +47,23 @@ def _hex(hash_bytes: Column) -> Column:
 
 
 def _hashes() -> Column:
-    return F.array(*[_hex(F.col(f"{s}.hash")) for s in SLOTS])
+    return F.transform("kids", lambda node: _hex(node["hash"]))
 
 
 def _alone() -> Column:
     """Whether a run holds the only node of its level, which then goes up as it is."""
-    return (F.col("run") == 0) & F.col("slot1").isNull()
+    return (F.col("run") == 0) & (F.size("kids") == 1)
 
 
 def _runs(nodes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Each run of ``FANOUT`` nodes as one row: a column for every slot, and the hash of them all."""
+    """Each run of ``FANOUT`` nodes as one row: a column for every slot, put together as ``kids``, and the hash of them all."""
     slot = F.pmod("place", F.lit(FANOUT))
     spread = nodes.groupBy(*keys, F.floor(F.col("place") / FANOUT).alias("run")).agg(
         *[F.max(F.when(slot == k, F.col("node"))).alias(s) for k, s in enumerate(SLOTS)]
     )
-    up = F.when(_alone(), F.col("slot0.hash")).otherwise(F.unhex(digest(F.concat_ws("", _hashes()))))
-    return spread.withColumn("hash", up)
+    kids = spread.select(*keys, "run", F.array_compact(F.array(*SLOTS)).alias("kids"))
+    up = F.when(_alone(), F.get("kids", F.lit(0))["hash"]).otherwise(F.unhex(digest(F.array_join(_hashes(), ""))))
+    return kids.withColumn("hash", up)
 
 
 def _levels(nodes: DataFrame, keys: Sequence[str], most: int, label: str) -> list[DataFrame]:
@@ -77,8 +78,8 @@ def _levels(nodes: DataFrame, keys: Sequence[str], most: int, label: str) -> lis
 
 def _siblings(slot: Column) -> Column:
     """What a run adds to the path of the child in ``slot``: the hashes left and right of it."""
-    left = F.concat_ws("", F.slice("hashes", F.lit(1), slot))
-    right = F.concat_ws("", F.slice("hashes", slot + 2, F.lit(FANOUT)))
+    left = F.array_join(F.slice("hashes", F.lit(1), slot), "")
+    right = F.array_join(F.slice("hashes", slot + 2, F.lit(FANOUT)), "")
     step = F.struct(left.alias("left"), right.alias("right"))
     return F.when(F.col("alone"), F.slice(F.array(step), 1, 0)).otherwise(F.array(step))
 
@@ -143,9 +144,9 @@ def manifest(leaves: DataFrame, group: str, order: str, leaf: str, payload: Sequ
 
 
 def _children(runs: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row for each slot taken, its path lengthened by its siblings."""
-    spread = runs.select(*columns, "path", _hashes().alias("hashes"), _alone().alias("alone"), F.posexplode(F.array(*SLOTS)).alias("slot", "node"))
-    return spread.where(F.col("node").isNotNull()).withColumn("path", F.concat(_siblings(F.col("slot")), F.col("path")))
+    """One row for each child, its path lengthened by its siblings."""
+    spread = runs.select(*columns, "path", _hashes().alias("hashes"), _alone().alias("alone"), F.posexplode("kids").alias("slot", "node"))
+    return spread.withColumn("path", F.concat(_siblings(F.col("slot")), F.col("path")))
 
 
 def fold(leaf: Column, path: Column) -> Column:
