@@ -5,6 +5,7 @@ from touchline.llm import (  # noqa: F401
     chat_format,
     embedding_join,
     jaccard_join,
+    lexical_search,
     line_dedup,
     merkle,
     packing,

@@ -1,8 +1,9 @@
 """Whole texts as flat byte arrays: words, lines and hashes computed with numpy.
 
 Separators are single ASCII bytes, so everything here works on UTF-8 bytes
-without decoding. Hashes are 64 bits: equal strings always have equal hashes,
-and different ones differ but for a chance of about 2**-64 a pair.
+without decoding. Hashes have 61 bits: equal strings always have equal hashes,
+and two different ones of n bytes differ but for a chance of about n / 2**61,
+whatever their pattern (polynomials modulo a prime).
 """
 
 from __future__ import annotations
@@ -21,10 +22,13 @@ IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-# one random 64-bit number for each byte value, and an odd base
-_BYTE_VALUE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x5851F42D4C957F2D
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+# one random number below 2**30 for each byte value, and a base below the prime modulus
+_BYTE_VALUE = np.random.default_rng(20240229).integers(1, 2**30, 256, dtype=np.uint64)
+_BASE = 0x11D2F5B4C957F2D7
+_PRIME = np.uint64(2**61 - 1)
+_LOW30, _LOW31 = np.uint64(2**30 - 1), np.uint64(2**31 - 1)
+_30, _31, _61 = np.uint64(30), np.uint64(31), np.uint64(61)
+_powers: list[np.ndarray] = []
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -36,14 +40,34 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Any 64-bit numbers modulo the prime."""
+    x = (x & _PRIME) + (x >> _61)
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
+def _shifted(x: np.ndarray) -> np.ndarray:
+    """Numbers below 2**62 times 2**31: congruent, and below 2**62."""
+    return (x >> _30) + ((x & _LOW30) << _31)
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime of numbers below it."""
+    a1, a0, b1, b0 = a >> _31, a & _LOW31, b >> _31, b & _LOW31
+    return _reduced(np.uint64(2) * a1 * b1 + _shifted(a1 * b0 + a0 * b1) + a0 * b0)
+
+
 def _power_tables(n: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse, at least ``n`` of each."""
-    if len(_powers[0]) < n:
+    """Powers of the base (high and low part) and of its inverse, at least ``n`` of each."""
+    if not _powers or len(_powers[0]) < n:
         size = max(n, 1 << 16)
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.multiply.accumulate(steps)
+        tables = []
+        for base in (_BASE, pow(_BASE, -1, int(_PRIME))):
+            table = np.ones(1, np.uint64)
+            while len(table) < size:
+                table = np.concatenate((table, _product(table, np.uint64(pow(base, len(table), int(_PRIME))))))
+            tables.append(table[:size])
+        _powers[:] = [tables[0] >> _31, tables[0] & _LOW31, tables[1]]
     return _powers
 
 
@@ -51,12 +75,18 @@ class Hasher:
     """Hashes of any spans of one byte array in constant time each."""
 
     def __init__(self, data: np.ndarray):
-        up, self._down = _power_tables(len(data) + 1)
-        self._sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE_VALUE[data] * up[: len(data)], out=self._sums[1:])
+        high, low, self._down = _power_tables(len(data) + 1)
+        value = _BYTE_VALUE[data]
+        terms = _shifted(value * high[: len(data)])
+        terms += value * low[: len(data)]
+        self._high = np.zeros(len(data) + 1, np.uint64)
+        self._low = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(terms >> _31, out=self._high[1:])
+        np.cumsum(terms & _LOW31, out=self._low[1:])
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        raw = (self._sums[end] - self._sums[start]) * self._down[start]
+        raw = _shifted(_reduced(self._high[end] - self._high[start])) + _reduced(self._low[end] - self._low[start])
+        raw = _product(_reduced(raw), self._down[start])
         return mix(raw + (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
@@ -75,12 +105,13 @@ class Texts:
     def lowered(self) -> Texts:
         return Texts(LOWER[self.data], self.off)
 
-    def words(self, cut: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def words(self, cut: np.ndarray | None = None, within: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start and end of every word, and where each text's words begin in them (and the end).
 
-        ``cut``: whether words are also cut before each byte.
+        ``cut``: whether words are also cut before each byte. ``within``: for
+        each of the 256 bytes whether it is part of a word, else all but white space.
         """
-        inside = ~IS_SPACE[self.data]
+        inside = ~IS_SPACE[self.data] if within is None else within[self.data]
         first, last = inside.copy(), inside.copy()
         first[1:] &= ~inside[:-1]
         last[:-1] &= ~inside[1:]
