@@ -3,11 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -23,6 +20,7 @@ from touchline.constants import (
     PCA_VARIANCE,
     SEED,
 )
+from touchline.operators.clustering import Centres, best_of, fit_many, silhouettes
 from touchline.operators.standardize import clip_upper, impute_median, standardize
 from touchline.operators.windows import dominant
 from touchline.session import materialize
@@ -57,7 +55,7 @@ class StyleModel:
     pca: PCAModel
     n_components: int
     signs: list[float]
-    kmeans: KMeansModel | None = None
+    kmeans: Centres | None = None
 
     @property
     def explained(self) -> list[float]:
@@ -104,24 +102,12 @@ def pca_loadings(df: DataFrame, model: StyleModel) -> DataFrame:
 
 
 def component_vectors(projected: DataFrame, n: int) -> DataFrame:
-    parts = projected.select("*", *[F.element_at("components", i + 1).alias(f"_c{i}") for i in range(n)])
-    return assemble(parts, [f"_c{i}" for i in range(n)], "_v").drop(*[f"_c{i}" for i in range(n)])
+    return projected.withColumn("_v", F.slice("components", 1, n))
 
 
-def kmeans_starts(vectors: DataFrame, k: int, starts: int, seed: int) -> list[KMeansModel]:
-    """One model per start, fitted side by side so that their stages overlap; cheapest first."""
-
-    def fit(i: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + i, featuresCol="_v", predictionCol="cluster", maxIter=100).fit(vectors)
-
-    with ThreadPoolExecutor(max_workers=min(starts, 5)) as pool:
-        models = list(pool.map(fit, range(starts)))
-    return sorted(models, key=lambda m: m.summary.trainingCost)
-
-
-def fit_kmeans(vectors: DataFrame, k: int = N_CLUSTERS, starts: int = N_STARTS, seed: int = SEED) -> KMeansModel:
-    """Best of several starts by training cost."""
-    return kmeans_starts(vectors, k, starts, seed)[0]
+def fit_kmeans(vectors: DataFrame, k: int = N_CLUSTERS, starts: int = N_STARTS, seed: int = SEED) -> Centres:
+    """Best of several starts by cost; all starts share their passes over the vectors."""
+    return best_of(fit_many(vectors, [k], starts, seed))
 
 
 def label_rules(profile: DataFrame) -> DataFrame:
@@ -180,7 +166,7 @@ def assign_archetypes(
     projected = materialize(project(scaled, model), "projected")
     vectors = materialize(component_vectors(projected, model.n_components), "vectors")
     model.kmeans = fit_kmeans(vectors, k, starts)
-    clustered = model.kmeans.transform(vectors).drop("_v")
+    clustered = model.kmeans.assign(vectors, "_v").drop("_v")
     clustered = materialize(clustered, "clustered")
     if labels == "rules":
         profile = clustered.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in features])
@@ -197,15 +183,22 @@ def assign_archetypes(
     return assignments, pca_loadings(season, model), model
 
 
-def k_scan(projected: DataFrame, n_components: int, ks: Sequence[int], starts: int = N_STARTS, seed: int = SEED) -> DataFrame:
-    """Best training cost of all starts and its silhouette (on squared distances), per number of clusters."""
+def k_scan(projected: DataFrame, n_components: int, ks: Sequence[int], starts: int = N_STARTS, seed: int = SEED, sample: int = 2000) -> DataFrame:
+    """Best cost of all starts and its silhouette on true distances, per number of clusters.
+
+    All fits share their passes; the silhouettes are those of the published
+    number of rows, taken in the order of a hash of the vector.
+    """
     vectors = materialize(component_vectors(projected, n_components), "vectors")
-    judge = ClusteringEvaluator(featuresCol="_v", predictionCol="cluster")
-    rows = []
+    fitted = fit_many(vectors, ks, starts, seed)
+    best = {k: best_of(fitted, k) for k in ks}
+    order = [F.xxhash64("_v"), F.col("_v")]
+    labelled = materialize(vectors.select("_v").orderBy(*order).limit(sample), "sampled-vectors")
     for k in ks:
-        model = fit_kmeans(vectors, k, starts, seed)
-        rows.append((k, float(model.summary.trainingCost), float(judge.evaluate(model.transform(vectors)))))
-    return projected.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+        labelled = best[k].assign(labelled, "_v", f"k{k}")
+    judged = silhouettes(labelled, "_v", [f"k{k}" for k in ks], order, sample)
+    costs = projected.sparkSession.createDataFrame([(f"k{k}", k, best[k].cost) for k in ks], "label string, k int, inertia double")
+    return costs.join(judged, "label").select("k", "inertia", "silhouette")
 
 
 def cluster_profile(df: DataFrame, key: str, features: Sequence[str], position: str | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
 
@@ -46,6 +47,14 @@ def shared_dir(spark: SparkSession) -> str:
     return own.name
 
 
+def share_code(spark: SparkSession) -> None:
+    """Lets Python workers find this package where the driver found it (on a cluster: also in --py-files)."""
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if here not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (here, known)))
+
+
 _made: list[str] = []
 
 

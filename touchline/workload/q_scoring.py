@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from touchline.constants import CLIP_QUANTILE, COMPETITION_LABEL_ORDER, COMPETITION_LABELS, FEATURES, K_RANGE, POSITION_ORDER, QUADRANTS
 from touchline.operators import statistics
+from touchline.operators.clustering import silhouettes
 from touchline.plans import archetypes, consistency, marts, players
 from touchline.session import materialize
 from touchline.sources.readers import read_table
@@ -516,8 +517,8 @@ def embedding_clusters(spark, d):
     rows, names = _embedding_columns(spark, d)
     scaled = archetypes.preprocess(rows, names)
     model = archetypes.fit_pca(scaled, names)
-    vectors = archetypes.component_vectors(materialize(archetypes.project(scaled, model), "projected"), model.n_components)
-    clustered = archetypes.fit_kmeans(vectors, 10).transform(vectors)
+    vectors = materialize(archetypes.component_vectors(archetypes.project(scaled, model), model.n_components), "vectors")
+    clustered = archetypes.fit_kmeans(vectors, 10).assign(vectors, "_v")
     return clustered.groupBy("label", "cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -648,11 +649,11 @@ def component_variances(spark, d):
 def cluster_partition(spark, d):
     """K-Means gives every vector to its nearest centre."""
     rows, names = _embedding_columns(spark, d)
-    vectors = archetypes.assemble(materialize(rows, "vectors"), names, "_v")
+    vectors = materialize(rows.withColumn("_v", F.array(*names)), "vectors")
     model = archetypes.fit_kmeans(vectors, 10)
-    clustered = model.transform(vectors)
+    clustered = model.assign(vectors, "_v")
     distances = []
-    for centre in model.clusterCenters():
+    for centre in model.points:
         total = F.lit(0.0)
         for n, c in zip(names, centre):
             total = total + (F.col(n) - F.lit(float(c))) * (F.col(n) - F.lit(float(c)))
@@ -664,3 +665,23 @@ def cluster_partition(spark, d):
         F.count(F.lit(1)).alias("n"), F.count_distinct("cluster").alias("clusters"),
         F.bool_and("_ok").alias("every_row_has_its_nearest_centre"),
     )
+
+
+@query(
+    "embedding_silhouette",
+    ["G11"],
+    """WITH s AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+                  ORDER BY (vec_id * 7919) % 1000003, vec_id LIMIT 2000),
+            sums AS (SELECT a.vec_id, a.label, b.label AS other, sum(list_distance(a.v, b.v)) AS total, count(*) AS n
+                     FROM s a, s b GROUP BY 1, 2, 3),
+            parts AS (SELECT vec_id, max(n) FILTER (label = other) AS size, max(total) FILTER (label = other) AS own,
+                             min(total / n) FILTER (label <> other) AS near FROM sums GROUP BY vec_id),
+            means AS (SELECT CASE WHEN size > 1 THEN own / (size - 1) END AS own, near FROM parts)
+       SELECT count(*) AS n_rows, avg(CASE WHEN own IS NULL THEN 0 ELSE (near - own) / greatest(near, own) END) AS silhouette FROM means""",
+    doubles=["silhouette"],
+)
+def embedding_silhouette(spark, d):
+    """How well the given labels part the vectors, on the published number of sampled rows."""
+    rows = read_table(spark, d, "embeddings")
+    order = [(F.col("vec_id") * 7919) % 1000003, F.col("vec_id")]
+    return silhouettes(rows, "embedding", ["label"], order).select("n_rows", "silhouette")
