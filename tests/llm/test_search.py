@@ -78,8 +78,8 @@ def test_no_documents_and_no_items(llm):
 def test_bounds_are_never_too_low():
     rng = np.random.default_rng(5)
     names = [f"t{i}" for i in range(60)]
-    rows = [type("Row", (), {"item": i % 4, "term": t, "weight": 100 + i, "least": 1, "last": None}) for i, t in enumerate(names)]
-    batch = lexical_search._Batch(rows)
+    rows = [type("Row", (), {"item": i % 4, "term": t, "weight": 100 + i}) for i, t in enumerate(names)]
+    batch = lexical_search._Batch(rows, {})
     group = []
     for d in range(40):
         some = np.sort(rng.choice(60, rng.integers(1, 30), replace=False))

@@ -34,8 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.tables import keyed_texts, query, table
-from touchline.llm.text import LOWER, Hasher, mix, slices, within
+from touchline.llm.tables import keyed_texts, query, sifted, table
+from touchline.llm.text import Hasher, Texts, mix, slices, within
 from touchline.operators.windows import top_n
 from touchline.session import materialize
 
@@ -49,13 +49,15 @@ MOST = 10**6
 #: counts at which a term gets another signature entry; a document that has step k but not k + 1 has less than step k + 1
 LEVELS = np.array([1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 64, 128], np.int64)
 #: rows set by an entry, rows for each entry of the largest document of a block, and factor between the sizes of blocks
-PROBES, ROWS_PER_ENTRY, GROWTH = 3, 10, 1.25
+PROBES, ROWS_PER_ENTRY, GROWTH = 6, 20, 1.25
 #: bits of a block before it is packed (4 MB in the making), and most documents in it
 CELLS, BLOCK_DOCS = 1 << 22, 2048
 #: words of the bitmap that sifts terms nobody asks for: fixed size, at most so many rows reach the driver
 SIFT_WORDS = 1 << 17
 #: about so many terms of items are searched at once; they are broadcast
 BATCH_TERMS = 1 << 15
+#: documents scored for each place in the answer before the second round: bounds that are too high take some of them
+FIRST = 3
 #: documents whose bounds are summed at once
 STRIPE = 512
 #: distinct terms counted before counts are passed on
@@ -213,17 +215,20 @@ def _sift(spark: SparkSession, items: DataFrame):
 class _Batch:
     """Terms of some items: hashes of the distinct ones, and for each item which of them it holds with what weight."""
 
-    def __init__(self, rows):
+    def __init__(self, rows, least: dict):
         names = sorted({r.term for r in rows})
         data = "".join(names).encode()
         ends = np.cumsum([len(t.encode()) for t in names])
         self.hashes = Hasher(np.frombuffer(data, np.uint8)).spans(np.concatenate(([0], ends[:-1])), ends)
-        place = {t: i for i, t in enumerate(names)}
+        order = np.argsort(self.hashes)
+        self.hashes, self.terms = self.hashes[order], [names[i].encode() for i in order]
+        place = {t.decode(): i for i, t in enumerate(self.terms)}
         held: dict[int, list] = {}
         for r in rows:
             held.setdefault(r.item, []).append((place[r.term], r.weight))
         self.items = [(item, np.array([p for p, _ in some]), np.array([w for _, w in some], np.int64)) for item, some in held.items()]
-        self.least = {r.item: (r.least, r.last) for r in rows}
+        #: for each item the score that candidates must reach, and the last id that may do so with that very score
+        self.least = {item: least.get(item, (1, None)) for item in held}
 
 
 def _bounds(batch: _Batch, n_rows: int, lengths: np.ndarray, bits: np.ndarray, n: int, total: int):
@@ -237,8 +242,8 @@ def _bounds(batch: _Batch, n_rows: int, lengths: np.ndarray, bits: np.ndarray, n
     alive, chosen = np.arange(len(batch.hashes)), None
     for k in range(len(LEVELS)):
         rows = _rows(batch.hashes[alive], k, n_rows)
-        here = packed[rows[0]] & packed[rows[1]] & packed[rows[2]]
-        chosen = here if chosen is None else here & chosen
+        for row in rows:
+            chosen = packed[row] if chosen is None else chosen & packed[row]
         some = chosen.any(axis=1)
         alive, chosen = alive[some], chosen[some]
         if not len(alive):
@@ -349,31 +354,73 @@ def _search_batches(shared, n: int, total: int, top: int, first_round: bool):
     return run
 
 
-def _search(spark: SparkSession, blocks: DataFrame, asked: DataFrame, batches: int, n: int, total: int, top: int, first_round: bool) -> DataFrame:
-    """Candidates of all items, a bounded batch of terms at a time."""
-    out = None
-    chosen = blocks.where("n_docs > 0").select("n_rows", "lengths", "doc_ids", "kinds", "bits")
-    for b in range(batches):
-        rows = asked.where(F.col("batch") == b).collect()
-        if not rows:
-            continue
-        shared = spark.sparkContext.broadcast(_Batch(rows))
-        found = materialize(chosen.mapInArrow(_search_batches(shared, n, total, top, first_round), SOUGHT), "search-candidates")
-        out = found if out is None else out.unionByName(found)
-    return out if out is not None else spark.createDataFrame([], SOUGHT)
-
-
-def _scores(docs: DataFrame, pairs: DataFrame, asked: DataFrame, n: int, total: int) -> DataFrame:
-    """Exact ``item, doc_id, row, score`` of all documents that the pairs name, by their texts."""
-    wanted = pairs.select(F.col("doc_id").alias("of")).distinct()
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("of")), "left_semi")
-    rows = materialize(texts.select("doc_id", F.monotonically_increasing_id().alias("row"), terms_of(F.col("text")).alias("terms")), "search-texts")
-    counts = rows.select("row", F.explode("terms").alias("term")).groupBy("row", "term").agg(F.count(F.lit(1)).alias("tf"))
-    m = F.lit(75) + F.expr(f"(25L * size(terms) * {n}L) div {total}L")
-    met = pairs.select("item", F.col("doc_id").alias("of")).join(rows.select("doc_id", "row", m.alias("m")), F.col("doc_id").eqNullSafe(F.col("of")))
-    sought = met.drop("of").join(asked.select("item", "term", "weight"), "item")
-    gain = F.expr("weight * ((1000000000L * tf) div (1000L * tf + 12L * m))")
-    return sought.join(counts, ["row", "term"]).groupBy("item", "doc_id", "row").agg(F.sum(gain).alias("score"))
+def _counts(batch: _Batch, texts: Texts) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Number of terms of each text, and which of the batch's terms it holds how often."""
+    low = texts.lowered()
+    start, end, first = low.words(within=IS_TERM)
+    hashes = Hasher(low.data).spans(start, end)
+    place = np.minimum(np.searchsorted(batch.hashes, hashes), len(batch.hashes) - 1)
+    found = np.flatnonzero(batch.hashes[place] == hashes)
+    real = [low.data[start[i] : end[i]].tobytes() == batch.terms[k] for i, k in zip(found.tolist(), place[found].tolist(), strict=True)]
+    found = found[np.array(real, bool)]
+    bounds = np.searchsorted(found, first)
+    return np.diff(first), [np.unique(place[found[a:b]], return_counts=True) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+def _score_batches(shared, n: int, total: int):
+    """(item, doc_id, score) of whole texts for the items that each of them is a candidate of."""
+
+    def run(batches):
+        batch = shared.value
+        terms_of_item = {item: (places, weights) for item, places, weights in batch.items}
+        for part, texts in slices(batches, "text"):
+            lengths, counts = _counts(batch, texts)
+            rows = []
+            for doc, items, length, (held, tf) in zip(part.column("doc_id").to_pylist(), part.column("items").to_pylist(), lengths.tolist(), counts, strict=True):
+                gain = np.zeros(len(batch.hashes), np.int64)
+                gain[held] = 10**9 * tf // (1000 * tf + 12 * (75 + 25 * length * n // total))
+                for item in items:
+                    places, weights = terms_of_item[item]
+                    score = int(weights @ gain[places])
+                    if score > 0:
+                        rows.append((item, doc, score))
+            columns = [pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else ((), (), ()))]
+            yield pa.RecordBatch.from_arrays(columns, ["item", "doc_id", "score"])
+
+    return run
+
+
+def _scores(docs: DataFrame, pairs: DataFrame, shared, n: int, total: int) -> DataFrame:
+    """``item, doc_id, score`` above 0 of all documents that the pairs name, by their texts."""
+    grouped = pairs.groupBy(F.col("doc_id").alias("of")).agg(F.collect_set("item").alias("items"))
+    maybe = sifted(docs, "doc_id", grouped, "of").where("maybe").drop("maybe")
+    met = maybe.join(grouped, F.col("doc_id").eqNullSafe(F.col("of"))).select("doc_id", "text", "items")
+    return met.mapInArrow(_score_batches(shared, n, total), "item long, doc_id long, score long")
+
+
+def _best_of_batch(texts: DataFrame, blocks: DataFrame, asked: DataFrame, n: int, total: int, top: int) -> DataFrame | None:
+    """The ``top`` documents of each item of a batch, whose terms are broadcast; none for a batch without items."""
+    spark = texts.sparkSession
+    rows = asked.collect()
+    if not rows:
+        return None
+
+    def candidates(shared, count: int, first_round: bool) -> DataFrame:
+        found = blocks.mapInArrow(_search_batches(shared, n, total, count, first_round), SOUGHT)
+        return materialize(found, "search-candidates")
+
+    shared = spark.sparkContext.broadcast(_Batch(rows, {}))
+    first = candidates(shared, FIRST * top, True)
+    first = top_n(first, ["item"], [F.desc("bound"), F.asc("doc_id")], FIRST * top).select("item", "doc_id").distinct()
+    best = top_n(_scores(texts, first, shared, n, total), ["item"], [F.desc("score"), F.asc("doc_id")], top)
+    lowest = best.groupBy("item").agg(F.count(F.lit(1)).alias("places"), F.max(F.struct((-F.col("score")).alias("down"), "doc_id")).alias("end"))
+    # one row for each item of the batch
+    least = {r.item: (-r.end.down, r.end.doc_id) for r in lowest.where(F.col("places") >= top).collect()}
+
+    shared = spark.sparkContext.broadcast(_Batch(rows, least))
+    pairs = top_n(candidates(shared, top, False), ["item", "kind"], [F.asc("doc_id")], top).select("item", "doc_id").distinct()
+    scores = _scores(texts, materialize(pairs, "search-pairs"), shared, n, total)
+    return materialize(top_n(scores, ["item"], [F.desc("score"), F.asc("doc_id")], top, "rank"), "search-best")
 
 
 def search(docs: DataFrame, items: DataFrame, doc: str = "doc_id", doc_text: str = "text", item: str = "item_id", item_text: str = "text", top: int = TOP) -> DataFrame:
@@ -386,8 +433,9 @@ def search(docs: DataFrame, items: DataFrame, doc: str = "doc_id", doc_text: str
     blocks = materialize(texts.mapInArrow(_index_batches(_sift(spark, asked)), BLOCK), "search-index")
 
     n, total = blocks.agg(F.coalesce(F.sum("n_docs"), F.lit(0)), F.coalesce(F.sum("n_terms"), F.lit(0))).first()
+    nothing = asked.limit(0).select("item_id", F.lit(0).alias("rank"), F.lit(0).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("score"))
     if not n:
-        return asked.limit(0).select("item_id", F.lit(0).alias("rank"), F.lit(0).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("score"))
+        return nothing
     held = blocks.select(F.explode(F.arrays_zip("terms", "found")).alias("x")).groupBy("x.terms").agg(F.sum("x.found").alias("df"))
     of_items = asked.select("item", F.explode(terms_of(F.col("text"))).alias("term")).groupBy("item", "term").agg(F.count(F.lit(1)).alias("times"))
     weight = F.floor(F.lit(1000.0) * F.log((2.0 * n + 2) / (2.0 * F.col("df") + 1)))
@@ -395,21 +443,16 @@ def search(docs: DataFrame, items: DataFrame, doc: str = "doc_id", doc_text: str
     weighed = of_items.join(held, F.col("term") == F.col("terms")).select("item", "term", (weight * F.col("times")).cast("long").alias("weight"))
     weighed = materialize(weighed.where("weight > 0"), "search-terms")
     batches = -(-weighed.count() // BATCH_TERMS)
-    weighed = weighed.withColumn("batch", F.pmod(F.xxhash64("item"), F.lit(max(batches, 1))))
-
-    low = F.lit(1).cast("long"), F.lit(None).cast("long")
-    first = _search(spark, blocks, weighed.select("*", low[0].alias("least"), low[1].alias("last")), batches, n, total, top, True)
-    first = top_n(first, ["item"], [F.desc("bound"), F.asc("doc_id")], top).select("item", "doc_id").distinct()
-    best = top_n(_scores(texts, first, weighed, n, total), ["item"], [F.desc("score"), F.asc("doc_id")], top)
-    lowest = best.groupBy("item").agg(F.count(F.lit(1)).alias("places"), F.max(F.struct((-F.col("score")).alias("down"), "doc_id")).alias("end"))
-    lowest = lowest.where(F.col("places") >= top).select("item", (-F.col("end.down")).alias("at"), F.col("end.doc_id").alias("last"))
-    raised = weighed.join(lowest, "item", "left").withColumn("least", F.greatest(F.coalesce("at", low[0]), low[0])).drop("at")
-
-    pairs = _search(spark, blocks, materialize(raised, "search-least"), batches, n, total, top, False)
-    pairs = top_n(pairs, ["item", "kind"], [F.asc("doc_id")], top).select("item", "doc_id").distinct()
-    scores = _scores(texts, pairs, weighed, n, total).where("score > 0")
-    ranked = top_n(scores, ["item"], [F.desc("score"), F.asc("doc_id"), F.asc("row")], top, "rank")
-    return ranked.join(asked.select("item", "item_id"), "item").select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
+    chosen = blocks.where("n_docs > 0").select("n_rows", "lengths", "doc_ids", "kinds", "bits")
+    out = None
+    for k in range(batches):
+        batch = weighed.where(F.pmod(F.xxhash64("item"), F.lit(batches)) == k)
+        found = _best_of_batch(texts, chosen, batch, n, total, top)
+        if found is not None:
+            out = found if out is None else out.unionByName(found)
+    if out is None:
+        return nothing
+    return out.join(asked.select("item", "item_id"), "item").select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
 
 
 SQL = f"""
