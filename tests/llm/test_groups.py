@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from plain import components, line_dedup, near, repeats
 
 from touchline.llm import embedding_join, graph, jaccard_join, suffix_dedup
+from touchline.llm.embedding_join import link_by_cosine
 from touchline.llm.jaccard_join import near_documents
 from touchline.llm.line_dedup import PerfectHash, dedup_lines
 from touchline.llm.suffix_sort import deep_shallow
@@ -150,6 +151,17 @@ def test_vectors_equal_brute_force(llm, monkeypatch, kind):
     assert embedding_join.link_by_cosine(frame.limit(0), 0.9).count() == 0
 
 
+def test_vectors_of_unequal_lengths_and_rows_that_share_an_id(llm):
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 1.0, 0.0, 0.0]), (3, [1.0, 0.0, 0.0, 0.0]), (4, [0.0, 2.0, 0.0, 0.0]), (5, [0.99, 0.01])]
+    got = {r.vec_id: r for r in link_by_cosine(llm.createDataFrame(rows, "vec_id long, embedding array<double>"), 0.9).collect()}
+    assert {i: (r.n_links, r.component_id) for i, r in got.items()} == {1: (1, 1), 2: (1, 2), 3: (0, 3), 4: (1, 2), 5: (1, 1)}
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (1, [0.0, 1.0]), (7, [0.0, 3.0]), (8, [-1.0, 0.0])]
+    got = link_by_cosine(llm.createDataFrame(rows, "vec_id long, embedding array<double>"), 0.9).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == [
+        (1, 1, 1, True), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (7, 1, 1, False), (8, 0, 8, True),
+    ]
+
+
 def test_far_blocks_are_skipped(llm):
     boxes = [(i, [float(i), 0.0], [i + 0.5, 0.0]) for i in range(20)]
     frame = llm.createDataFrame(boxes, "block long, low array<double>, high array<double>")

@@ -3,7 +3,10 @@
 A text is cut where a character that is no white space meets a blank or a line
 break: no match of the pattern spans that place, and the look-ahead of the
 white-space rule sees the same characters on its right, so pieces encoded one
-by one give the ids of the whole text. Ids are hashed and decoded piece by
+by one give the ids of the whole text. A very long run of white space would
+overflow the stack of the library's pattern matcher; all of it but a last
+character before other text is one match, and is encoded as such without the
+pattern. Ids are hashed and decoded piece by
 piece; memory follows the piece, not the text.
 """
 
@@ -26,6 +29,9 @@ PIECE = 1 << 16
 _CUT = re.compile(r"(?<=\S)[ \n]")
 #: what Python calls white space and Unicode does not; never cut after these
 _DOUBT = "\x1c\x1d\x1e\x1f"
+#: runs of Unicode white space too long for the pattern matcher
+LONG_RUN = 4096
+_SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
 
 
 @functools.lru_cache(maxsize=4)
@@ -54,16 +60,27 @@ def pieces(text: str, size: int = PIECE) -> Iterator[str]:
     yield text[at:]
 
 
+def encoded(text: str, enc: tiktoken.Encoding, size: int = PIECE) -> Iterator[list[int]]:
+    """Ids of the text, part by part."""
+    at = 0
+    for run in _SPACES.finditer(text):
+        for part in pieces(text[at : run.start()], size):
+            yield enc.encode_ordinary(part)
+        at = run.end() - (run.end() < len(text))
+        yield enc._encode_single_piece(text[run.start() : at])
+    for part in pieces(text[at:], size):
+        yield enc.encode_ordinary(part)
+
+
 def encode(text: str, enc: tiktoken.Encoding, size: int = PIECE) -> list[int]:
-    return [i for part in pieces(text, size) for i in enc.encode_ordinary(part)]
+    return [i for ids in encoded(text, enc, size) for i in ids]
 
 
 def digest(text: str, enc: tiktoken.Encoding, size: int = PIECE) -> tuple[int, str, str]:
     """Number of ids, SHA-256 of the ids as decimal text, and of the bytes they decode to."""
     decimal = _decimal(enc.n_vocab)
     ids_hash, bytes_hash, n = hashlib.sha256(), hashlib.sha256(), 0
-    for part in pieces(text, size):
-        ids = enc.encode_ordinary(part)
+    for ids in encoded(text, enc, size):
         if ids:
             ids_hash.update(("," * (n > 0) + ",".join([decimal[i] for i in ids])).encode())
             bytes_hash.update(enc.decode_bytes(ids))

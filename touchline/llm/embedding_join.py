@@ -46,19 +46,19 @@ def _rows(batches):
         yield pa.RecordBatch.from_arrays([rows.column("vec_id"), pa.array(keys, pa.binary()), pa.array(raws, pa.binary())], ["vec_id", "key", "raw"])
 
 
-def unit(raws: list[bytes], kind: str) -> np.ndarray:
-    """Vectors of length one in double precision; scaled first so that nothing over- or underflows."""
-    x = np.frombuffer(b"".join(raws), kind).reshape(len(raws), -1).astype(np.float64)
+def unit(raws: list[bytes], kind: str, width: int) -> np.ndarray:
+    """Vectors of length one in double precision, shorter ones filled up with zeros; scaled first so that nothing over- or underflows."""
+    x = np.frombuffer(b"".join(r.ljust(width, b"\0") for r in raws), kind).reshape(len(raws), -1).astype(np.float64)
     x = x / np.abs(x).max(1, keepdims=True)
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _moments(kind: str):
+def _moments(kind: str, width: int):
     def run(batches):
         total, n = None, 0
         for rows in batches:
             if rows.num_rows:
-                x = unit(rows.column("raw").to_pylist(), kind)
+                x = unit(rows.column("raw").to_pylist(), kind, width)
                 x = np.column_stack((np.ones(len(x)), x))
                 total, n = (0 if total is None else total) + x.T @ x, n + len(x)
         if n:
@@ -68,9 +68,9 @@ def _moments(kind: str):
     return run
 
 
-def principal(classes: DataFrame, kind: str) -> np.ndarray:
+def principal(classes: DataFrame, kind: str, width: int) -> np.ndarray:
     """Directions by falling variance, as columns; from sums over all vectors."""
-    sums = classes.select("raw").mapInArrow(_moments(kind), "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
+    sums = classes.select("raw").mapInArrow(_moments(kind, width), "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
     cells = sums.orderBy("i", "j").collect()  # (dimensions + 1)^2 / 2 numbers
     d = max(c.j for c in cells) + 1
     m = np.zeros((d, d))
@@ -81,43 +81,43 @@ def principal(classes: DataFrame, kind: str) -> np.ndarray:
     return directions[:, ::-1]
 
 
-def _placed(kind: str, axes: np.ndarray, eps: float):
+def _placed(kind: str, width: int, axes: np.ndarray, eps: float):
     def run(batches):
         for rows in batches:
             if rows.num_rows:
-                at = unit(rows.column("raw").to_pylist(), kind) @ axes
+                at = unit(rows.column("raw").to_pylist(), kind, width) @ axes
                 cells = pa.array(np.floor(at / eps).astype(np.int32).tolist(), pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([rows.column(c) for c in ("rep", "n", "raw")] + [cells], ["rep", "n", "raw", "cells"])
+                yield pa.RecordBatch.from_arrays([rows.column(c) for c in ("node", "n", "raw")] + [cells], ["node", "n", "raw", "cells"])
 
     return run
 
 
-def _blocks(kind: str, axes: np.ndarray, size: int):
+def _blocks(kind: str, width: int, axes: np.ndarray, size: int):
     """Rows in grid order to blocks with bounding boxes on the leading directions."""
 
     def block(k: int, held: list[tuple]):
-        at = unit([h[2] for h in held], kind) @ axes
-        reps, ns, raws = zip(*held, strict=True)
-        row = (TaskContext.get().partitionId(), k, list(reps), list(ns), b"".join(raws), at.min(0).tolist(), at.max(0).tolist())
+        at = unit([h[2] for h in held], kind, width) @ axes
+        nodes, ns, raws = zip(*held, strict=True)
+        row = (TaskContext.get().partitionId(), k, list(nodes), list(ns), [len(r) for r in raws], b"".join(raws), at.min(0).tolist(), at.max(0).tolist())
         return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, types, strict=True)], names)
 
     def run(batches):
         held, k = [], 0
         for rows in batches:
-            held += zip(*(rows.column(c).to_pylist() for c in ("rep", "n", "raw")), strict=True)
+            held += zip(*(rows.column(c).to_pylist() for c in ("node", "n", "raw")), strict=True)
             while len(held) >= size:
                 yield block(k, held[:size])
                 held, k = held[size:], k + 1
         if held:
             yield block(k, held)
 
-    names = ["part", "nth", "reps", "ns", "raws", "low", "high"]
+    names = ["part", "nth", "nodes", "ns", "sizes", "raws", "low", "high"]
     longs, doubles = pa.list_(pa.int64()), pa.list_(pa.float64())
-    types = [pa.int32(), pa.int32(), longs, longs, pa.binary(), doubles, doubles]
+    types = [pa.int32(), pa.int32(), longs, longs, pa.list_(pa.int32()), pa.binary(), doubles, doubles]
     return run
 
 
-BLOCK_SCHEMA = "part int, nth int, reps array<long>, ns array<long>, raws binary, low array<double>, high array<double>"
+BLOCK_SCHEMA = "part int, nth int, nodes array<long>, ns array<long>, sizes array<int>, raws binary, low array<double>, high array<double>"
 
 
 def _gap(dims: int):
@@ -154,7 +154,7 @@ def near_blocks(boxes: DataFrame, n: int, eps: float, dims: int) -> DataFrame:
     return pairs
 
 
-def _leaf(kind: str, axes: np.ndarray, cosine: float, eps: float):
+def _leaf(kind: str, width: int, axes: np.ndarray, cosine: float, eps: float):
     """Links of two blocks: a weight for each class that has any, and enough links to connect them."""
 
     def runs_of(x: np.ndarray) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -166,10 +166,11 @@ def _leaf(kind: str, axes: np.ndarray, cosine: float, eps: float):
         for rows in batches:
             for row in rows.to_pylist():
                 same = row["a"] == row["b"]
-                ra, rb = np.array(row["a_reps"]), np.array(row["b_reps"])
+                ra, rb = np.array(row["a_nodes"]), np.array(row["b_nodes"])
+                sa, sb = np.array(row["a_sizes"]), np.array(row["b_sizes"])
                 na, nb = np.array(row["a_ns"]), np.array(row["b_ns"])
-                x = unit(_split(row["a_raws"], len(ra)), kind)
-                y = x if same else unit(_split(row["b_raws"], len(rb)), kind)
+                x = unit(_split(row["a_raws"], sa), kind, width)
+                y = x if same else unit(_split(row["b_raws"], sb), kind, width)
                 wa, wb = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
                 ends: list[tuple[np.ndarray, np.ndarray]] = []
                 for i0, i1, low, high in runs_of(x):
@@ -179,7 +180,7 @@ def _leaf(kind: str, axes: np.ndarray, cosine: float, eps: float):
                         gap = np.maximum(0, np.maximum(low - high2, low2 - high))
                         if gap @ gap > (eps + SLACK) ** 2:
                             continue
-                        linked = x[i0:i1] @ y[j0:j1].T >= cosine
+                        linked = (x[i0:i1] @ y[j0:j1].T >= cosine) & (sa[i0:i1, None] == sb[j0:j1])
                         if same and i0 == j0:
                             linked = np.triu(linked, 1)
                         if linked.any():
@@ -198,9 +199,9 @@ def _leaf(kind: str, axes: np.ndarray, cosine: float, eps: float):
     return run
 
 
-def _split(raws: bytes, n: int) -> list[bytes]:
-    width = len(raws) // n
-    return [raws[i * width : (i + 1) * width] for i in range(n)]
+def _split(raws: bytes, sizes: np.ndarray) -> list[bytes]:
+    ends = np.cumsum(sizes).tolist()
+    return [raws[b - n : b] for b, n in zip(ends, sizes.tolist(), strict=True)]
 
 
 def link_by_cosine(vectors: DataFrame, cosine: float, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -210,26 +211,29 @@ def link_by_cosine(vectors: DataFrame, cosine: float, key: str = "vec_id", vecto
     whatever other columns say. A vector that is null, empty, zero, or holds a
     null or non-finite component, and a row with a null key, links with nothing:
     no links, a component of its own, kept (null key: null component, not kept).
-    Equal vectors are linked by way of their class; keys are taken as distinct.
-    All vectors need one length. An empty table gives no rows.
+    Vectors of unequal lengths link with nothing of another length. Equal
+    vectors are linked by way of their class. Every row is a vector of its own:
+    rows that share a key count as links of one another where their vectors
+    link, and ``kept`` is true for each row whose key is the smallest of its
+    component. An empty table gives no rows.
     """
     kind = {"float": "f4", "double": "f8"}[vectors.schema[vector].dataType.elementType.typeName()]
     eps = math.sqrt(max(0.0, 2 - 2 * cosine))
     chosen = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).alias("vector"))
     rows = materialize(chosen.mapInArrow(_rows, "vec_id long, key binary, raw binary"), "vectors")
-    classes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("raw").alias("raw"))
-    classes = materialize(classes, "vector-classes")
+    classes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n"), F.first("raw").alias("raw"))
+    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
     alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    n = classes.count()
+    n, width = classes.agg(F.count(F.lit(1)), F.max(F.octet_length("raw"))).first()
     if not n:
         return alone
-    axes = principal(classes, kind)[:, :LEADING]
+    axes = principal(classes, kind, width)[:, :LEADING]
     dims = axes.shape[1]
     spark = vectors.sparkSession
-    placed = classes.mapInArrow(_placed(kind, axes, eps), "rep long, n long, raw binary, cells array<int>")
+    placed = classes.mapInArrow(_placed(kind, width, axes, eps), "node long, n long, raw binary, cells array<int>")
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n // BLOCK))
-    ordered = placed.repartitionByRange(parts, "cells", "rep").sortWithinPartitions("cells", "rep")
-    blocks = materialize(ordered.select("rep", "n", "raw").mapInArrow(_blocks(kind, axes, BLOCK), BLOCK_SCHEMA), "vector-blocks")
+    ordered = placed.repartitionByRange(parts, "cells", "node").sortWithinPartitions("cells", "node")
+    blocks = materialize(ordered.select("node", "n", "raw").mapInArrow(_blocks(kind, width, axes, BLOCK), BLOCK_SCHEMA), "vector-blocks")
     sizes = blocks.groupBy("part").count().orderBy("part").collect()  # one number for each partition
     starts = np.concatenate(([0], np.cumsum([s["count"] for s in sizes]))).tolist()
     first = spark.createDataFrame([(s.part, b) for s, b in zip(sizes, starts, strict=False)], "part int, first long")
@@ -238,13 +242,15 @@ def link_by_cosine(vectors: DataFrame, cosine: float, key: str = "vec_id", vecto
     turned = (F.col("a") + F.col("b")) % 2 == 1
     pairs = pairs.select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"))
     for side in ("a", "b"):
-        pairs = pairs.join(blocks.select(F.col("block").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in ("reps", "ns", "raws"))), side)
-    found = materialize(pairs.mapInArrow(_leaf(kind, axes, cosine, eps), "node long, weight long, other long"), "vector-links")
+        pairs = pairs.join(blocks.select(F.col("block").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in ("nodes", "ns", "sizes", "raws"))), side)
+    found = materialize(pairs.mapInArrow(_leaf(kind, width, axes, cosine, eps), "node long, weight long, other long"), "vector-links")
     weights = found.where("other IS NULL").groupBy("node").agg(F.sum("weight").alias("weight"))
-    whole = components(found.where("other IS NOT NULL"), "node", "other")
-    known = classes.select("key", "rep", "n").join(weights, F.col("rep") == weights.node, "left").drop("node")
-    known = known.join(whole, F.col("rep") == whole.node, "left")
-    known = known.select("key", (F.coalesce("weight", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    whole = components(found.where("other IS NOT NULL"), "node", "other").select(F.col("node").alias("of"), "component")
+    members = classes.select("key", "node", "first", "n").join(whole, F.col("node") == F.col("of"), "left").drop("of")
+    members = materialize(members.withColumn("component", F.coalesce("component", "node")), "vector-members")
+    smallest = members.groupBy("component").agg(F.min("first").alias("smallest"))
+    known = members.join(weights.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").join(smallest, "component")
+    known = known.select("key", (F.coalesce("weight", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.col("smallest").alias("component_id"))
     linked = rows.where("key IS NOT NULL").select("vec_id", "key").join(known, "key")
     linked = linked.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
     return linked.unionByName(alone.where(F.col("key").isNull()))
