@@ -196,6 +196,7 @@ def k_scan(projected: DataFrame, n_components: int, ks: Sequence[int], starts: i
     labelled = materialize(vectors.select("_v").orderBy(*order).limit(sample), "sampled-vectors")
     for k in ks:
         labelled = best[k].assign(labelled, "_v", f"k{k}")
+    labelled = materialize(labelled, "labelled-vectors")
     judged = silhouettes(labelled, "_v", [f"k{k}" for k in ks], order, sample)
     costs = projected.sparkSession.createDataFrame([(f"k{k}", k, best[k].cost) for k in ks], "label string, k int, inertia double")
     return costs.join(judged, "label").select("k", "inertia", "silhouette")

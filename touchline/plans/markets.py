@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.labels import lookup
@@ -133,6 +133,19 @@ def slug_prefix_volume(stats: DataFrame, n: int = 15) -> DataFrame:
     return sums.orderBy(F.desc("total_volume"), "competition_prefix").limit(n)
 
 
+def _parsed_slugs(stats: DataFrame, competitions: Mapping[str, str], slug: str = "event_slug") -> DataFrame:
+    parsed = stats.select("*", *[e.alias(n) for n, e in slug_parts(slug).items()])
+    return parsed.filter(F.col("slug_date").isNotNull()).withColumn("competition_name", lookup("competition_code", competitions))
+
+
+def _coded_sides(matches: DataFrame, team_codes: DataFrame) -> DataFrame:
+    sides = matches.select("match_id", "match_date", "competition_name", "home_team", "away_team")
+    for side in ("home", "away"):
+        codes = team_codes.select(F.col("team").alias(f"{side}_team"), F.col("code").alias(f"{side}_code"))
+        sides = sides.join(codes, on=f"{side}_team", how="inner")
+    return sides
+
+
 def link_markets(
     stats: DataFrame, matches: DataFrame, competitions: Mapping[str, str], team_codes: DataFrame
 ) -> DataFrame:
@@ -141,20 +154,66 @@ def link_markets(
     ``competitions`` maps a slug code to a competition name; ``team_codes`` has
     (team, code). All four parts are equality keys of one join.
     """
-    parsed = stats.select("event_slug", "market_count", "total_volume", *[e.alias(n) for n, e in slug_parts("event_slug").items()])
-    parsed = parsed.filter(F.col("slug_date").isNotNull()).withColumn(
-        "competition_name", lookup("competition_code", competitions)
-    )
-    sides = matches.select("match_id", "match_date", "competition_name", "home_team", "away_team")
-    for side in ("home", "away"):
-        codes = team_codes.select(F.col("team").alias(f"{side}_team"), F.col("code").alias(f"{side}_code"))
-        sides = sides.join(codes, on=f"{side}_team", how="inner")
-    keyed = sides.withColumnRenamed("match_date", "slug_date")
+    parsed = _parsed_slugs(stats, competitions)
+    keyed = _coded_sides(matches, team_codes).withColumnRenamed("match_date", "slug_date")
     return parsed.join(keyed, on=["competition_name", "home_code", "away_code", "slug_date"], how="inner").select(
         "event_slug", "match_id", "home_team", "away_team", F.col("slug_date").alias("match_date"), "market_count", "total_volume"
     )
 
 
+def _blanked(code: str) -> Column:
+    """The three patterns of a code with one letter left open; codes with at most one wrong letter share one."""
+    letter = [F.substring(code, i, 1) for i in (1, 2, 3)]
+    return F.array(*[F.concat(*[F.lit("?") if i == k else letter[i] for i in range(3)]) for k in range(3)])
+
+
+def link_markets_near(
+    stats: DataFrame,
+    matches: DataFrame,
+    competitions: Mapping[str, str],
+    team_codes: DataFrame,
+    key: str = "event_slug",
+    slug: str = "event_slug",
+    days: int = 1,
+) -> DataFrame:
+    """The best match of each event whose slug may be misspelled.
+
+    Either code may have one wrong letter, and the date may be ``days`` off.
+    Candidates meet on competition, date and both codes with one letter left
+    open, so blocks hold alike codes of one day and competition only. The match with the fewest wrong
+    letters wins, then the nearest date, then the smallest id. ``key`` names
+    an event; events without a match have no row, nor have slugs of another
+    form. Two teams with one code both count.
+    """
+    parsed = _parsed_slugs(stats.select(F.col(key).alias("event"), F.col(slug).alias("slug")), competitions, "slug")
+    near = F.explode(F.sequence(F.date_sub("slug_date", days), F.date_add("slug_date", days)))
+    asked = parsed.select("event", "competition_name", "slug_date", F.col("home_code").alias("home"), F.col("away_code").alias("away"), near.alias("match_date"))
+    asked = asked.withColumn("home_key", F.explode(_blanked("home"))).withColumn("away_key", F.explode(_blanked("away")))
+    sides = _coded_sides(matches, team_codes).withColumn("home_key", F.explode(_blanked("home_code")))
+    sides = sides.withColumn("away_key", F.explode(_blanked("away_code")))
+    met = asked.join(sides, on=["competition_name", "match_date", "home_key", "away_key"], how="inner")
+    wrong = F.levenshtein("home", "home_code") + F.levenshtein("away", "away_code")
+    best = F.struct(
+        wrong.alias("wrong_letters"), F.abs(F.datediff("match_date", "slug_date")).alias("days_off"),
+        "match_id", "home_team", "away_team", "match_date",
+    )
+    return met.groupBy(F.col("event").alias(key)).agg(F.min(best).alias("_best")).select(key, "_best.*")
+
+
+def link_quality(links: DataFrame, truth: DataFrame, key: str) -> DataFrame:
+    """Events, links, right links, and their recall and precision against known links of ``key`` to ``match_id``."""
+    known = truth.select(F.col(key), F.col("match_id").alias("_true"))
+    both = known.join(links.select(key, "match_id"), on=key, how="full")
+    right = F.count_if(F.col("match_id") == F.col("_true"))
+    return both.agg(
+        F.count("_true").alias("events"),
+        F.count("match_id").alias("links"),
+        right.alias("right_links"),
+        F.try_divide(right, F.count("_true")).alias("recall"),
+        F.try_divide(right, F.count("match_id")).alias("precision"),
+    )
+
+
 def edge_scan(predictions: DataFrame, odds: DataFrame) -> DataFrame:
     """Model probability minus the newest market price at or before prediction time.
 

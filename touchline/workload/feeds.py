@@ -1,7 +1,7 @@
 """Football-shaped raw tables computed from the given tables, row by row.
 
 Orders become matches, line items become lineup entries and their actions,
-parts become prediction markets, customers become rated players. Every column
+orders become prediction markets as well, customers become rated players. Every column
 is arithmetic on the source row, so the tables grow with the given ones, and
 the raw quirks are there on purpose: text for missing values, stray blanks,
 clock text, nested positions, broken timestamps.
@@ -178,50 +178,62 @@ def team_codes(matches: DataFrame) -> DataFrame:
     )
 
 
+#: markets on each order
+MARKETS = 3
+
+
+def _market_rows(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """A row for each market: ``market_id``, its number ``j`` on the order, and the columns of the order."""
+    orders = read_table(spark, folder, "orders").selectExpr("o_orderkey", *columns, f"explode(sequence(0, {MARKETS - 1})) AS j")
+    return orders.selectExpr(f"o_orderkey * {MARKETS} + j AS market_id", "*")
+
+
 def markets(spark: SparkSession, folder: str) -> DataFrame:
-    """Three markets for each match that a group of three parts was last ordered in, by a scattered number of the order."""
-    parts = read_table(spark, folder, "part").selectExpr(
-        "p_partkey", "p_name", "p_type", "p_size", "p_retailprice", "p_partkey div 3 AS g"
-    )
-    chosen = (
-        _lines(spark, folder, "l_orderkey", "l_partkey")
-        .groupBy(F.expr("l_partkey div 3").alias("g"))
-        .agg(F.expr("max(l_orderkey * 7919 % 1000003 * 1000000000 + l_orderkey) % 1000000000").alias("k"))
-    )
-    orders = read_table(spark, folder, "orders").selectExpr(
-        "o_orderkey AS k", "o_orderdate AS d", "o_orderkey * 37 % 200 AS t"
-    )
+    """Three markets for each match; one match in ten has markets on the winner of its competition instead."""
 
     def code(n: str) -> str:
         return f"concat(char(97 + {n} div 676), char(97 + {n} div 26 % 26), char(97 + {n} % 26))"
 
+    rows = _market_rows(spark, folder, "o_orderdate", "o_totalprice", "o_custkey", "o_orderpriority")
     return (
-        parts.join(chosen, on="g", how="inner")
-        .join(orders, on="k", how="inner")
+        rows.selectExpr("*", "o_orderkey AS k", "o_orderdate AS d", "o_orderkey * 37 % 200 AS t", "cast((o_orderkey * 7 + j * 3) % 50 AS int) + 1 AS z")
         .selectExpr("*", "t ^ (1 + k % 3) AS a", f"element_at({_array(COMPETITION_CODES)}, cast((t div 4) % 8 AS int) + 1) AS c")
         .selectExpr(
-            "p_partkey AS market_id",
-            "p_name AS question",
+            "market_id",
+            "concat('Customer ', o_custkey, ' ', j) AS question",
             f"""if(k % 10 = 9, concat(c, '-winner-', year(d)),
                    concat(c, '-', {code('t')}, '-', {code('a')}, '-', date_format(d, 'yyyy-MM-dd'))) AS event_slug""",
-            "p_type AS category",
-            "round(p_retailprice * p_size, 2) AS volume",
-            "p_size % 2 = 0 AS active",
-            "p_size % 5 = 0 AS closed",
-            "cast(date_sub(cast(d AS date), cast(p_size AS int)) AS timestamp) AS created_at",
+            "o_orderpriority AS category",
+            "floor(o_totalprice) * cast(z AS double) AS volume",
+            "z % 2 = 0 AS active",
+            "z % 5 = 0 AS closed",
+            "cast(date_sub(cast(d AS date), z) AS timestamp) AS created_at",
             "d AS end_date",
         )
     )
 
 
+def misspelled(stats: DataFrame) -> DataFrame:
+    """Event slugs with wrong letters and kick-off days one off, by the day of the month; ``source_slug`` keeps the right one."""
+    day = "cast(substring(source_slug, -2, 2) AS int)"
+    parts = F.split("source_slug", "-")
+    rows = stats.withColumnRenamed("event_slug", "source_slug").withColumn("p", parts)
+    home = f"if({day} % 7 = 3, concat(substring(p[1], 1, 1), 'x', substring(p[1], 3, 1)), p[1])"
+    away = f"if({day} % 5 = 2, concat(substring(p[2], 1, 2), 'q'), p[2])"
+    date = f"date_add(to_date(concat_ws('-', p[3], p[4], p[5])), if({day} % 11 = 4, 1, 0))"
+    slug = f"if(size(p) = 6, concat_ws('-', p[0], {home}, {away}, {date}), source_slug)"
+    return rows.withColumn("event_slug", F.expr(slug)).drop("p")
+
+
 def tokens(spark: SparkSession, folder: str) -> DataFrame:
     return (
-        read_table(spark, folder, "part")
-        .selectExpr("p_partkey", "explode(sequence(0, if(p_partkey % 50 = 0, 2, 1))) AS j")
+        _market_rows(spark, folder)
+        .drop("j")
+        .selectExpr("market_id", "explode(sequence(0, if(market_id % 50 = 0, 2, 1))) AS j")
         .selectExpr(
-            "p_partkey AS market_id",
-            "p_partkey * 10 + j AS token_id",
-            """CASE WHEN j = 2 THEN 'Draw' WHEN p_partkey % 7 = 0 THEN if(j = 0, 'Over', 'Under')
+            "market_id",
+            "market_id * 10 + j AS token_id",
+            """CASE WHEN j = 2 THEN 'Draw' WHEN market_id % 7 = 0 THEN if(j = 0, 'Over', 'Under')
                     ELSE if(j = 0, 'Yes', 'No') END AS outcome""",
         )
     )
@@ -230,8 +242,8 @@ def tokens(spark: SparkSession, folder: str) -> DataFrame:
 def trades(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "lineitem").selectExpr(
         "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS trade_id",
-        "l_partkey AS market_id",
-        "l_partkey * 10 + l_linenumber % 2 AS token_id",
+        f"l_orderkey * {MARKETS} + l_partkey % {MARKETS} AS market_id",
+        f"(l_orderkey * {MARKETS} + l_partkey % {MARKETS}) * 10 + l_linenumber % 2 AS token_id",
         "l_shipdate AS timestamp",
         "(l_quantity - 1) / 48D AS price",
         "l_extendedprice AS size",
@@ -242,11 +254,11 @@ def trades(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def odds(spark: SparkSession, folder: str) -> DataFrame:
-    """Price snapshots whose epoch seconds were stored as milliseconds."""
+    """Price snapshots whose epoch seconds were stored as milliseconds; a user follows the first market of one order."""
     return read_table(spark, folder, "events").selectExpr(
         "event_id",
-        "user_id AS market_id",
-        "user_id * 10 + event_id % 2 AS token_id",
+        f"user_id * {MARKETS} AS market_id",
+        f"user_id * {MARKETS} * 10 + event_id % 2 AS token_id",
         "timestamp_millis(unix_seconds(cast(ts AS timestamp))) AS timestamp",
         "(event_id % 1006) / 1000D - 0.0025D AS price",
     )

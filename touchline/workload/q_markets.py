@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from touchline.constants import RATING_BLOCK
 from touchline.operators.windows import as_of_join
 from touchline.plans import international, markets
+from touchline.session import materialize
 from touchline.sources.readers import read_table
 from touchline.workload import base, feeds
 from touchline.workload.registry import query
@@ -240,12 +241,67 @@ def linked_markets(spark, d):
     return markets.link_markets(markets.event_stats(feeds.markets(spark, d)), matches, codes, feeds.team_codes(matches))
 
 
+_DAY = "substr(source_slug, -2)::INT"
+_NOISY = f"""SELECT source_slug, p[1] AS competition,
+        CASE WHEN {_DAY} % 7 = 3 THEN p[2][1] || 'x' || p[2][3] ELSE p[2] END AS home,
+        CASE WHEN {_DAY} % 5 = 2 THEN p[3][1:2] || 'q' ELSE p[3] END AS away,
+        (p[4] || '-' || p[5] || '-' || p[6])::DATE + CASE WHEN {_DAY} % 11 = 4 THEN 1 ELSE 0 END AS day
+    FROM (SELECT event_slug AS source_slug, string_split(event_slug, '-') AS p FROM ({_STATS})) WHERE len(p) = 6"""
+_CODE = "chr(97 + {0} // 676) || chr(97 + {0} // 26 % 26) || chr(97 + {0} % 26)"
+_CODED = f"""SELECT *, (['lal', 'epl', 'bun', 'sea', 'fl1', 'wcup', 'euro', 'copa'])[competition_id] AS competition,
+        {_CODE.format("substr(home_team, 6)::INT")} AS h, {_CODE.format("substr(away_team, 6)::INT")} AS a FROM stg_matches"""
+_NEAR = f"""SELECT source_slug, levenshtein(home, h) + levenshtein(away, a) AS wrong_letters, abs(match_date - day) AS days_off,
+        match_id, home_team, away_team, match_date
+    FROM ({_NOISY}) n JOIN ({_CODED}) m USING (competition)
+    WHERE abs(match_date - day) <= 1 AND levenshtein(home, h) <= 1 AND levenshtein(away, a) <= 1
+    QUALIFY row_number() OVER (PARTITION BY source_slug ORDER BY wrong_letters, days_off, match_id, home_team, away_team) = 1"""
+_TRUE = f"""SELECT event_slug AS source_slug, match_id FROM ({_STATS}) s JOIN ({_CODED}) m
+    ON event_slug = competition || '-' || h || '-' || a || '-' || strftime(match_date, '%Y-%m-%d')"""
+
+
+def _near_links(spark, d):
+    matches = base.Run(spark, d, "stg_matches").stg_matches
+    codes = dict(zip(feeds.COMPETITION_CODES, feeds.COMPETITIONS))
+    teams = feeds.team_codes(matches)
+    stats = materialize(feeds.misspelled(markets.event_stats(feeds.markets(spark, d))), "event-stats")
+    truth = markets.link_markets(stats.drop("event_slug").withColumnRenamed("source_slug", "event_slug"), matches, codes, teams)
+    return markets.link_markets_near(stats, matches, codes, teams, key="source_slug"), truth.withColumnRenamed("event_slug", "source_slug")
+
+
+@query(
+    "near_linked_markets",
+    ["J13"],
+    with_tables(_NEAR, "markets", "stg_matches"),
+    longs=["wrong_letters", "days_off"],
+    texts=["match_date"],
+)
+def near_linked_markets(spark, d):
+    """Events whose slugs have wrong letters and days, each with its best match."""
+    return _near_links(spark, d)[0]
+
+
+@query(
+    "near_link_quality",
+    ["J13"],
+    with_tables(
+        f"""SELECT count(t.match_id) AS events, count(n.match_id) AS links, count(*) FILTER (n.match_id = t.match_id) AS right_links,
+                   right_links / count(t.match_id) AS recall, right_links / count(n.match_id) AS precision
+            FROM ({_TRUE}) t FULL JOIN ({_NEAR}) n USING (source_slug)""",
+        "markets", "stg_matches",
+    ),
+    doubles=["recall", "precision"],
+)
+def near_link_quality(spark, d):
+    links, truth = _near_links(spark, d)
+    return markets.link_quality(links, truth, "source_slug")
+
+
 @query(
     "edge_scan",
     ["J14", "C9"],
     with_tables(
-        """SELECT p.event_id, p.token_id, probability, o.price, probability - o.price AS edge
-           FROM (SELECT event_id, user_id * 10 + event_id % 2 AS token_id, ts + INTERVAL 1 HOUR AS at, 0.5::DOUBLE AS probability FROM events WHERE event_type = 'view') p
+        f"""SELECT p.event_id, p.token_id, probability, o.price, probability - o.price AS edge
+           FROM (SELECT event_id, user_id * {feeds.MARKETS} * 10 + event_id % 2 AS token_id, ts + INTERVAL 1 HOUR AS at, 0.5::DOUBLE AS probability FROM events WHERE event_type = 'view') p
            ASOF LEFT JOIN (SELECT token_id, make_timestamp(epoch_ms("timestamp") * 1000000) AS at, max(least(1, greatest(0, price))) AS price FROM odds GROUP BY 1, 2) o
            ON o.token_id = p.token_id AND o.at <= p.at""",
         "odds",
@@ -254,7 +310,7 @@ def linked_markets(spark, d):
 )
 def edge_scan(spark, d):
     predictions = read_table(spark, d, "events").filter("event_type = 'view'").selectExpr(
-        "event_id", "user_id AS market_id", "user_id * 10 + event_id % 2 AS token_id",
+        "event_id", f"user_id * {feeds.MARKETS} AS market_id", f"user_id * {feeds.MARKETS} * 10 + event_id % 2 AS token_id",
         "cast(ts AS timestamp) + INTERVAL 1 HOUR AS predicted_at", "0.5D AS probability",
     )
     return markets.edge_scan(predictions, markets.fix_epoch(feeds.odds(spark, d))).select("event_id", "token_id", "probability", "price", "edge")

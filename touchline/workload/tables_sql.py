@@ -131,34 +131,34 @@ table(
 table(
     "markets",
     f"""
-    SELECT p_partkey AS market_id, p_name AS question,
+    SELECT market_id, 'Customer ' || o_custkey || ' ' || j AS question,
            CASE WHEN k % 10 = 9 THEN c || '-winner-' || year(d)
                 ELSE c || '-' || chr((97 + t // 676)::INT) || chr((97 + t // 26 % 26)::INT) || chr((97 + t % 26)::INT)
                      || '-' || chr((97 + a // 676)::INT) || chr((97 + a // 26 % 26)::INT) || chr((97 + a % 26)::INT)
                      || '-' || strftime(d, '%Y-%m-%d') END AS event_slug,
-           p_type AS category, round(p_retailprice * p_size, 2) AS volume, p_size % 2 = 0 AS active, p_size % 5 = 0 AS closed,
-           d - to_days(p_size) AS created_at, d AS end_date
+           o_orderpriority AS category, floor(o_totalprice) * z::DOUBLE AS volume, z % 2 = 0 AS active, z % 5 = 0 AS closed,
+           d - to_days(z::INT) AS created_at, d AS end_date
     FROM (SELECT *, xor(t, 1 + k % 3) AS a, ({values(feeds.COMPETITION_CODES)})[(t // 4) % 8 + 1] AS c
-          FROM (SELECT p.*, o_orderkey AS k, o_orderdate AS d, o_orderkey * 37 % 200 AS t
-                FROM part p
-                JOIN (SELECT l_partkey // 3 AS g, max(l_orderkey * 7919 % 1000003 * 1000000000 + l_orderkey) % 1000000000 AS chosen
-                      FROM lineitem GROUP BY 1) ON g = p_partkey // 3
-                JOIN orders ON o_orderkey = chosen))
+          FROM (SELECT o.*, o_orderkey * {feeds.MARKETS} + j AS market_id, j, o_orderkey AS k, o_orderdate AS d, o_orderkey * 37 % 200 AS t,
+                       (o_orderkey * 7 + j * 3) % 50 + 1 AS z
+                FROM orders o, range({feeds.MARKETS}) n(j)))
     """,
 )
 table(
     "tokens",
-    """
-    SELECT p_partkey AS market_id, p_partkey * 10 + j AS token_id,
-           CASE WHEN j = 2 THEN 'Draw' WHEN p_partkey % 7 = 0 THEN CASE WHEN j = 0 THEN 'Over' ELSE 'Under' END
+    f"""
+    SELECT market_id, market_id * 10 + j AS token_id,
+           CASE WHEN j = 2 THEN 'Draw' WHEN market_id % 7 = 0 THEN CASE WHEN j = 0 THEN 'Over' ELSE 'Under' END
                 WHEN j = 0 THEN 'Yes' ELSE 'No' END AS outcome
-    FROM (SELECT p_partkey, unnest(range(CASE WHEN p_partkey % 50 = 0 THEN 3 ELSE 2 END)) AS j FROM part)
+    FROM (SELECT market_id, unnest(range(CASE WHEN market_id % 50 = 0 THEN 3 ELSE 2 END)) AS j
+          FROM (SELECT o_orderkey * {feeds.MARKETS} + m AS market_id FROM orders, range({feeds.MARKETS}) n(m)))
     """,
 )
 table(
     "trades",
-    """
-    SELECT l_partkey AS market_id, l_partkey * 10 + l_linenumber % 2 AS token_id, l_shipdate AS "timestamp",
+    f"""
+    SELECT l_orderkey * {feeds.MARKETS} + l_partkey % {feeds.MARKETS} AS market_id,
+           (l_orderkey * {feeds.MARKETS} + l_partkey % {feeds.MARKETS}) * 10 + l_linenumber % 2 AS token_id, l_shipdate AS "timestamp",
            (l_quantity - 1) / 48 AS price, l_extendedprice AS size, CASE WHEN l_linestatus = 'O' THEN 'BUY' ELSE 'SELL' END AS side,
            CASE WHEN l_suppkey % 3 = 0 THEN '' ELSE '0x' || l_suppkey END AS taker_address
     FROM lineitem
@@ -166,8 +166,8 @@ table(
 )
 table(
     "odds",
-    """
-    SELECT event_id, user_id AS market_id, user_id * 10 + event_id % 2 AS token_id,
+    f"""
+    SELECT event_id, user_id * {feeds.MARKETS} AS market_id, user_id * {feeds.MARKETS} * 10 + event_id % 2 AS token_id,
            make_timestamp((floor(epoch(ts))::BIGINT) * 1000) AS "timestamp", (event_id % 1006)::DOUBLE / 1000 - 0.0025::DOUBLE AS price
     FROM events
     """,
