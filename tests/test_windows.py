@@ -184,3 +184,25 @@ def test_mann_whitney_by_pairs(spark, skewed, n_slices):
     u = sum((a > b) + 0.5 * (a == b) for a in first for b in second)
     assert got["u"] == u and (got["n_first"], got["n_second"]) == (len(first), len(second))
     assert 0 < got["p_value"] <= 1
+
+
+@pytest.mark.parametrize("slices", [None, 7])
+def test_several_as_of_lookups_in_one_pass(spark, slices, tmp_path):
+    import random
+
+    from touchline.operators.windows import as_of_join, as_of_join_many
+
+    rng = random.Random(5)
+    teams = ["a", "b", "c", None]
+    left = [(i, rng.choice(teams), rng.choice(teams), rng.randrange(60), "x") for i in range(400)]
+    right = [(rng.choice(teams[:3] if rng.random() < 0.9 else ["hot"]), rng.randrange(60), rng.randrange(9)) for _ in range(90)]
+    lhs = spark.createDataFrame(left, "id int, home string, away string, t int, rank string").repartition(3)
+    rhs = spark.createDataFrame(right, "team string, at int, rank int")
+    got = as_of_join_many(lhs, rhs, ["id"], {"h_": "home", "a_": "away"}, "team", "t", "at", ["rank"], slices)
+    want = lhs.withColumnRenamed("rank", "kept")
+    for prefix, side in (("h_", "home"), ("a_", "away")):
+        named = rhs.withColumnRenamed("team", side)
+        want = as_of_join(want, named, [side], "t", "at", ["rank"]).withColumnsRenamed({"at": f"{prefix}at", "rank": f"{prefix}rank"})
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[0]) == sorted(map(tuple, want.collect()), key=lambda r: r[0])
+    assert got.columns == ["id", "home", "away", "t", "rank", "h_at", "h_rank", "a_at", "a_rank"]
+    assert as_of_join_many(lhs.limit(0), rhs, ["id"], {"h_": "home"}, "team", "t", "at", ["rank"], slices).count() == 0

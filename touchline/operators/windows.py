@@ -152,31 +152,21 @@ def rank_by(df: DataFrame, keys: Sequence[str], value: str, name: str = "rank",
     return ranked.unionByName(unknown)
 
 
-def as_of_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    left_time: str,
-    right_time: str,
-    payload: Sequence[str],
-    slices: int | None = None,
-) -> DataFrame:
-    """For each left row, the payload of the newest right row at or before its time.
-
-    Both sides are stacked and the last right payload is carried forward in
-    time order. Right rows come first at equal times; of several at one time
-    the largest payload wins. No pair of rows is ever formed.
-    """
+def _events(right: DataFrame, keys: Sequence[str], right_time: str, payload: Sequence[str]) -> DataFrame:
+    """``_hit``, the time and payload of the right rows of each time; the largest payload of one time wins."""
     carried = F.struct(F.col(right_time), *[F.col(c) for c in payload])
-    event = (
+    return (
         right.select(*keys, F.col(right_time).alias("_time"), carried.alias("_hit"))
         .groupBy(*keys, "_time")
         .agg(F.max("_hit").alias("_hit"))
         .withColumn("_side", F.lit(0))
     )
-    query = left.withColumns({"_time": F.col(left_time), "_side": F.lit(1)})
+
+
+def _answered(query: DataFrame, event: DataFrame, keys: Sequence[str], slices: int | None) -> DataFrame:
+    """The query rows with ``_found``, the newest hit at or before their ``_time``."""
     order = ["_time", "_side"]
-    rows = in_slices(query.unionByName(event, allowMissingColumns=True), keys, order, slices)
+    rows = in_slices(query.withColumn("_side", F.lit(1)).unionByName(event, allowMissingColumns=True), keys, order, slices)
     groups = [*keys, SLICE]
     upto = Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     found = rows.withColumn("_found", F.last("_hit", ignorenulls=True).over(upto))
@@ -186,8 +176,66 @@ def as_of_join(
     earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     starts = marks.select(*groups, F.last("_end", ignorenulls=True).over(earlier).alias("_start"))
     both = _attach(found, starts, keys, ["_start"]).withColumn("_found", F.coalesce("_found", "_start"))
-    return both.filter("_side = 1").select(
-        *left.columns, *[F.col(f"_found.{c}").alias(c) for c in [right_time, *payload]]
+    return both.filter("_side = 1")
+
+
+def as_of_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    left_time: str,
+    right_time: str,
+    payload: Sequence[str],
+    slices: int | None = None,
+) -> DataFrame:
+    """For each left row, the payload of the newest right row at or before its time.
+
+    Both sides are stacked and the last right payload is carried forward in
+    time order. Right rows come first at equal times; of several at one time
+    the largest payload wins. No pair of rows is ever formed.
+    """
+    event = _events(right, keys, right_time, payload)
+    both = _answered(left.withColumn("_time", F.col(left_time)), event, keys, slices)
+    return both.select(*left.columns, *[F.col(f"_found.{c}").alias(c) for c in [right_time, *payload]])
+
+
+def as_of_join_many(
+    left: DataFrame,
+    right: DataFrame,
+    row_key: Sequence[str],
+    lookups: Mapping[str, str],
+    right_key: str,
+    left_time: str,
+    right_time: str,
+    payload: Sequence[str],
+    slices: int | None = None,
+) -> DataFrame:
+    """As-of lookups of several left columns in one right table, with one range exchange for all of them.
+
+    ``lookups`` maps a prefix to the left column whose value is looked up in
+    ``right_key``; its results are named by prefix and column. A left row is
+    stacked once for each lookup, but only the first copy carries its columns;
+    the answers meet again by ``row_key``, which must tell left rows apart.
+    """
+    event = _events(right.withColumnRenamed(right_key, "_key"), ["_key"], right_time, payload)
+    copies = F.array(*[F.struct(F.lit(i).alias("of"), left[c].alias("key")) for i, c in enumerate(lookups.values())])
+    key_names = [f"_row_{i}" for i in range(len(row_key))]
+    asked = left.select(
+        *[left[c].alias(n) for c, n in zip(row_key, key_names, strict=True)],
+        left[left_time].alias("_time"),
+        F.struct(*[left[c] for c in left.columns]).alias("_left"),
+        F.explode(copies).alias("_copy"),
+    )
+    asked = asked.withColumns({"_key": F.col("_copy.key"), "_lookup": F.col("_copy.of")}).drop("_copy")
+    asked = asked.withColumn("_left", F.when(F.col("_lookup") == 0, F.col("_left")))
+    both = _answered(asked, event, ["_key"], slices)
+    met = both.groupBy(*key_names).agg(
+        F.first("_left", ignorenulls=True).alias("_left"),
+        *[F.max(F.when(F.col("_lookup") == i, F.col("_found"))).alias(f"_found_{i}") for i in range(len(lookups))],
+    )
+    return met.select(
+        *[F.col("_left")[c].alias(c) for c in left.columns],
+        *[F.col(f"_found_{i}")[c].alias(f"{prefix}{c}") for i, prefix in enumerate(lookups) for c in [right_time, *payload]],
     )
 
 

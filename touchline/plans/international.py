@@ -11,7 +11,7 @@ from touchline.constants import COUNTRY_ALIASES, DEPTH_RATING, RANKING_ALIASES,
 from touchline.functions.labels import country_name, match_result
 from touchline.operators.aggregates import count_by, share_of_all
 from touchline.operators.joins import attach_sides
-from touchline.operators.windows import as_of_join, rank_by, top_mean
+from touchline.operators.windows import as_of_join_many, rank_by, top_mean
 
 TEAM_YEAR = ("intl_team", "year")
 
@@ -112,18 +112,12 @@ def ranked(rankings: DataFrame) -> DataFrame:
 
 def rank_features(results: DataFrame, rankings: DataFrame) -> DataFrame:
     """Rank, points and confederation of both sides as of the match date, with differences."""
-    out = results
-    for side in ("home", "away"):
-        team = f"{side}_team"
-        right = rankings.select(F.col("team").alias(team), "rank_date", "rank", "points", "confederation")
-        out = as_of_join(out, right, [team], "date", "rank_date", ["rank", "points", "confederation"]).withColumnsRenamed(
-            {
-                "rank_date": f"{side}_rank_date",
-                "rank": f"{side}_fifa_rank",
-                "points": f"{side}_fifa_points",
-                "confederation": f"{side}_confederation",
-            }
-        )
+    found = as_of_join_many(
+        results, rankings, ["match_id"], {"home_": "home_team", "away_": "away_team"}, "team", "date", "rank_date",
+        ["rank", "points", "confederation"],
+    )
+    sides = ("home", "away")
+    out = found.withColumnsRenamed({f"{s}_rank": f"{s}_fifa_rank" for s in sides} | {f"{s}_points": f"{s}_fifa_points" for s in sides})
     return out.withColumns(
         {
             "fifa_rank_diff": F.col("away_fifa_rank") - F.col("home_fifa_rank"),
