@@ -29,3 +29,25 @@ def touch(spark: SparkSession, path: str) -> None:
 def delete(spark: SparkSession, path: str) -> None:
     fs, place = _at(spark, path)
     fs.delete(place, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, place = _at(spark, path)
+    stream = fs.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, content: str) -> None:
+    """Writes a small new file whole or not at all: under another name first, then renamed."""
+    fs, place = _at(spark, path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(place.getParent(), f".{place.getName()}.part")
+    stream = fs.create(part, True)
+    try:
+        stream.write(bytearray(content.encode()))
+    finally:
+        stream.close()
+    if fs.exists(place) or not fs.rename(part, place):
+        raise FileExistsError(path)
