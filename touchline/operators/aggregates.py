@@ -114,7 +114,8 @@ def exact_percentiles(
     # below the bracket all rows count as one
     seen = F.when(F.col("_value") >= F.col("_low"), F.col("_value"))
     counts = (
-        long.join(marks, test)
+        # without keys there is a mark for each column and percentile only
+        long.join(marks if keys else F.broadcast(marks), test)
         .groupBy(*group, "p", "_total", seen.alias("_value"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )

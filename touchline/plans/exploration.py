@@ -119,15 +119,21 @@ def tracking_coverage(frames: DataFrame) -> DataFrame:
 def sample_rows(df: DataFrame, n: int, seed: int = SEED) -> DataFrame:
     """n random rows, the same for the same rows however files are split.
 
-    Rows are drawn by a hash of all columns. Only hashes below a bound that
+    Rows are drawn by a hash of all columns and of their number among equal
+    rows, so repeated rows are drawn one by one. Only hashes below a bound that
     about n rows meet are ordered; with its margin of ten standard deviations a
-    shortfall is practically impossible unless rows repeat very often.
+    shortfall is practically impossible.
     """
+    counts = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    # equal rows are one row with a count, and one of several thousands at most
+    spread = counts.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(_copies - 1) div 4096"))))
+    ends = F.least(F.col("_copies"), (F.col("_block") + 1) * 4096)
+    rows = spread.withColumn("_copy", F.explode(F.sequence(F.col("_block") * 4096 + 1, ends)))
     total = df.count()
     share = (n + 10 * n**0.5 + 100) / max(total, 1)
-    draw = F.xxhash64(F.lit(seed), *df.columns)
-    pool = df if share >= 1 else df.filter(draw < F.lit(int(-(2**63) + share * 2**64)))
-    return pool.orderBy(draw).limit(n)
+    draw = F.xxhash64(F.lit(seed), "_copy", *df.columns)
+    pool = rows if share >= 1 else rows.filter(draw < F.lit(int(-(2**63) + share * 2**64)))
+    return pool.orderBy(draw).limit(n).select(*df.columns)
 
 
 def describe(df: DataFrame) -> DataFrame:

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from touchline.constants import FEATURES, MIN_MINUTES
 from touchline.functions.labels import context_label
 from touchline.operators import aggregates, joins
+from touchline.operators.sketches import estimates, merge_rule, merged, sketches
 from touchline.plans import exploration, players, staging
+from touchline.session import materialize, new_folder
 from touchline.sources.readers import read_table
+from touchline.streaming.versions import VersionedTable
 from touchline.workload import base, feeds
 from touchline.workload.registry import query
 from touchline.workload.tables_sql import COUNTERS, with_tables
@@ -648,3 +651,31 @@ def rating_join_coverage(spark, d):
 
 
 assert set(COUNTERS) == set(players.COUNTERS)
+
+
+@query(
+    "sketched_days",
+    ["D25", "D26"],
+    """SELECT event_type, count(*) AS n_rows, count(DISTINCT user_id) AS n_users, count(value) AS n_values, true AS median_is_near FROM events GROUP BY 1""",
+)
+def sketched_days(spark, d):
+    """Distinct users and the median value by event type, from sketches stored by day that two batches of rows were merged into."""
+    rows = read_table(spark, d, "events").select("event_id", "event_type", "user_id", "value", F.to_date("ts").alias("day"))
+    keys = ["event_type", "day"]
+    table = VersionedTable(new_folder(spark, "day-sketches"), ("event_type", "day", "column"), merge_rule(keys), buckets=8, max_deltas=2)
+    for k in range(2):
+        table.merge(sketches(rows.where(F.col("event_id") % 2 == k), keys, ["user_id"], ["value"]), k, stream="halves")
+    stored = table.rows(spark, sketches(rows, keys, ["user_id"], ["value"]).schema)
+    whole = materialize(estimates(merged(stored, ["event_type"]), ["event_type"], [0.5]), "sketched")
+    wide = whole.groupBy("event_type").agg(
+        F.max(F.when(F.col("column") == "user_id", F.col("n"))).alias("n_rows"),
+        F.max(F.when(F.col("column") == "user_id", F.col("n_distinct"))).alias("n_users"),
+        F.max(F.when(F.col("column") == "value", F.col("n"))).alias("n_values"),
+        F.max(F.when(F.col("column") == "value", F.col("quantiles")[0])).alias("median"),
+    )
+    ranks = rows.join(wide.select("event_type", "median"), "event_type").groupBy("event_type").agg(
+        (F.count_if(F.col("value") < F.col("median")) / F.count("value")).alias("low"),
+        (F.count_if(F.col("value") <= F.col("median")) / F.count("value")).alias("high"),
+    )
+    near = (F.col("low") <= 0.5 + 0.0165) & (F.col("high") >= 0.5 - 0.0165)
+    return wide.join(ranks, "event_type").select("event_type", "n_rows", "n_users", "n_values", near.alias("median_is_near"))
