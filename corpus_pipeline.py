@@ -60,11 +60,11 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of every document in sequences of at most 4096 ids."""
+    """Pieces of every document, with their ids, in sequences of at most 4096 ids."""
     import public_tokenizers
 
     share_package(spark)
-    return pack_texts(docs, public_tokenizers.path("word_bpe_49k.json")).drop("ids")
+    return pack_texts(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
 
 
 STAGES = [
