@@ -130,6 +130,23 @@ def mart_sink(spark, d):
     )
 
 
+@query(
+    "clustered_scan",
+    ["A4", "A12"],
+    with_tables(
+        "SELECT match_id, count(*) AS shots, sum(shot_xg) AS xg FROM stg_events WHERE event_type = 'Shot' GROUP BY 1",
+        "stg_events",
+    ),
+    doubles=["xg"],
+)
+def clustered_scan(spark, d):
+    """Shots by match, from actions stored so that a scan of one type skips the row groups of the others."""
+    path = new_folder(spark, "clustered")
+    writers.write_clustered(base.Run(spark, d).stg_events, path, ["event_type", "match_id"])
+    shots = spark.read.parquet(path).where("event_type = 'Shot'")
+    return shots.groupBy("match_id").agg(F.count(F.lit(1)).alias("shots"), F.sum("shot_xg").alias("xg"))
+
+
 @query(
     "report_cache",
     ["A14", "A15"],
