@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from touchline.constants import CLIP_QUANTILE, COMPETITION_LABEL_ORDER, COMPETITION_LABELS, FEATURES, K_RANGE, POSITION_ORDER, QUADRANTS
-from touchline.operators import statistics
+from touchline.operators import neighbours, statistics
 from touchline.operators.clustering import silhouettes
 from touchline.plans import archetypes, consistency, marts, players
 from touchline.session import materialize
@@ -685,3 +685,21 @@ def embedding_silhouette(spark, d):
     rows = read_table(spark, d, "embeddings")
     order = [(F.col("vec_id") * 7919) % 1000003, F.col("vec_id")]
     return silhouettes(rows, "embedding", ["label"], order).select("n_rows", "silhouette")
+
+
+@query(
+    "similar_vectors",
+    ["G14"],
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+            pairs AS (SELECT a.vec_id AS "query", b.vec_id AS "key", list_distance(a.e, b.e) AS distance
+                      FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
+       SELECT *, row_number() OVER (PARTITION BY "query" ORDER BY distance, "key") AS "rank" FROM pairs
+       QUALIFY "rank" <= 10""",
+    doubles=["distance"],
+    digits=5,
+)
+def similar_vectors(spark, d):
+    """Ten nearest vectors of every twentieth one, out of all, by pivots."""
+    rows = read_table(spark, d, "embeddings")
+    index = neighbours.build_index(rows, "vec_id", "embedding")
+    return neighbours.nearest(index, rows.where("vec_id % 20 = 0"), "vec_id", "embedding", 10).drop("compared")
