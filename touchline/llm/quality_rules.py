@@ -1,8 +1,9 @@
 """Line-first cleaning: rules for each line, then a verdict on what is left of the document.
 
-A line fails when it is navigation (menu words, or many short parts between
-separators), boilerplate (cookie, copyright, sign-up phrases), or when its
-punctuation is not that of prose (a fifth or more of its characters are
+A line fails when it is navigation (nothing but menu words, or many short parts
+between separators), boilerplate (cookie, copyright, sign-up phrases, one for
+every 40 words of the line; English, French, German and Spanish, ASCII letters
+in either case), or when its punctuation is not that of prose (a fifth or more of its characters are
 symbols, it shouts, or it is one word again and again). A document is rejected
 when failed lines hold more than half of its word characters. Licence lines
 and the like cost a clean document one line, not its place.
@@ -31,13 +32,29 @@ MARKS = b"!#*$%&|<>=_~^{}[]@\\+"
 NAVIGATION = (
     "home", "menu", "next", "previous", "login", "log in", "sign in", "sign up", "register", "search", "contact us",
     "about us", "site map", "sitemap", "skip to content", "back to top", "read more", "share", "tweet", "reply",
+    "accueil", "suivant", "précédent", "connexion", "rechercher", "contactez-nous", "plan du site", "aller au contenu",
+    "haut de page", "lire la suite", "partager",
+    "startseite", "menü", "weiter", "zurück", "anmelden", "registrieren", "suche", "kontakt", "impressum", "zum inhalt springen",
+    "nach oben", "mehr lesen", "weiterlesen", "teilen",
+    "inicio", "menú", "siguiente", "anterior", "iniciar sesión", "buscar", "contacto", "mapa del sitio", "ir al contenido",
+    "volver arriba", "leer más", "compartir",
 )
 BOILERPLATE = (
     "all rights reserved", "privacy policy", "terms of use", "terms of service", "cookie policy", "uses cookies",
     "accept cookies", "enable javascript", "click here", "subscribe to our newsletter", "lorem ipsum",
+    "tous droits réservés", "politique de confidentialité", "conditions générales", "mentions légales", "utilise des cookies",
+    "accepter les cookies", "activer javascript", "cliquez ici", "abonnez-vous à notre newsletter",
+    "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "allgemeine geschäftsbedingungen", "verwendet cookies",
+    "cookies akzeptieren", "javascript aktivieren", "hier klicken", "newsletter abonnieren",
+    "todos los derechos reservados", "política de privacidad", "política de cookies", "términos de uso", "condiciones de uso",
+    "utiliza cookies", "aceptar cookies", "habilitar javascript", "haga clic aquí", "suscríbase a nuestro boletín",
 )
-NAV_LINE = re.compile(rb"\s*(?:" + b"|".join(re.escape(x.encode()) for x in NAVIGATION) + rb")\s*[>\xc2\xbb.:]*\s*", re.I)
-BOILER = re.compile(b"|".join(re.escape(x.encode()) for x in BOILERPLATE), re.I)
+BETWEEN = "(?:[ \t-\r>.:,|]|»|·|•)"
+#: words of a line that one boilerplate phrase speaks for
+PHRASE_WORDS = 40
+_ENTRY = "|".join(map(re.escape, NAVIGATION))
+NAV_LINE = re.compile(f"{BETWEEN}*(?:{_ENTRY})(?:{BETWEEN}+(?:{_ENTRY}))*{BETWEEN}*".encode())
+BOILER = re.compile("|".join(map(re.escape, BOILERPLATE)).encode())
 MENU_PARTS = 3
 MAX_MARKS = 20
 MAX_SAME = 50
@@ -115,9 +132,10 @@ def measure(texts: Texts) -> dict[str, np.ndarray | list[bytes]]:
     inner = np.where(words > 1, again[w1] - again[np.minimum(w0 + 1, w1)], 0)
     same = (words >= 8) & (100 * inner > MAX_SAME * words)
     bad = used & (menu | symbol | shout | same)
-    for i in np.flatnonzero(used & ~bad & (words <= 40)):
-        line = data[line_start[i] : line_end[i]].tobytes()
-        bad[i] = NAV_LINE.fullmatch(line) is not None or BOILER.search(line) is not None
+    lower = data | (_UPPER[data].astype(np.uint8) << 5)
+    for i in np.flatnonzero(used & ~bad):
+        line = lower[line_start[i] : line_end[i]].tobytes()
+        bad[i] = PHRASE_WORDS * len(BOILER.findall(line)) >= words[i] or NAV_LINE.fullmatch(line) is not None
 
     def per_text(values: np.ndarray) -> np.ndarray:
         return np.diff(np.concatenate(([0], np.cumsum(values)))[line_first])
@@ -193,9 +211,9 @@ WITH d AS (
   SELECT *, words > 0 AND (
       (seps >= @PARTS AND words <= 3 * (seps + 1)) OR 100 * marks > @MARKS * greatest(chars, 1)
       OR (bangs * 4 >= words AND words >= 8 AND uppers > smalls) OR (words >= 8 AND 100 * again > @SAME * words)
-      OR (words <= 40 AND (regexp_matches(s, '^[ \t-\r]*(?:@NAV)[ \t-\r]*[>».:]*[ \t-\r]*$', 'i')
-          OR regexp_matches(s, '@BOILER', 'i')))) AS bad
-  FROM lm
+      OR regexp_matches(low, '^@SEP*(?:@NAV)(?:@SEP+(?:@NAV))*@SEP*$')
+      OR @PHRASE * len(regexp_extract_all(low, '@BOILER')) >= words) AS bad
+  FROM (SELECT *, translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM lm)
 ), ls AS (
   SELECT doc_id, sum(CASE WHEN words > 0 AND nth > 1 THEN 1 ELSE 0 END) AS n_dup, count(*) AS n_lines,
          sum(bad::INT) AS n_bad, sum(CASE WHEN bad THEN chars ELSE 0 END) AS lost
@@ -214,7 +232,7 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM m
 """
 _VALUES = {"PARTS": MENU_PARTS, "MARKS": MAX_MARKS, "SAME": MAX_SAME, "LOST": MAX_LOST}
-for _name, _value in (_VALUES | {"NAV": "|".join(NAVIGATION), "BOILER": "|".join(BOILERPLATE)}).items():
+for _name, _value in (_VALUES | {"SEP": BETWEEN, "NAV": "|".join(NAVIGATION), "BOILER": "|".join(BOILERPLATE), "PHRASE": PHRASE_WORDS}).items():
     SQL = SQL.replace(f"@{_name}", str(_value))
 
 
