@@ -1,9 +1,14 @@
 """Secret scans: fixed patterns, and strings that a primed compressor finds new.
 
-A candidate stands in a sensitive context (a word like key, auth or credential
-anywhere before it on its line) and looks like one token: 16 or more of the value
-characters of the base patterns, cut at ``=`` and, where the whole is not novel,
-at ``.``, ``/`` and other marks. Its novelty is what it adds to the zstandard
+A candidate stands in a sensitive context: after a word like key, auth or
+credential on its line, on the next line where that line ends by opening a value
+(a colon, an equals sign, a bracket), or in the body of a private key. It looks
+like one token: 16 or more of the value characters of the base patterns, cut at
+``=`` and, where the whole is not novel, at ``.``, ``/`` and other marks; or a
+quoted string without blanks that holds other marks as well. Of an address only
+segments are candidates, those with marks inside only if they mix small letters,
+capitals and digits, so host names and plain paths are left alone; the password
+before an address's host is one in any context. A candidate's novelty is what it adds to the zstandard
 size of the code around it, when the compressor has already seen a dictionary of
 that code and of common identifiers, as a share of what its own characters add
 in random order. So neither its length nor its alphabet counts: identifiers,
@@ -16,6 +21,7 @@ runs of one character, and those whose pairs of letters read like words are not.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Sequence
 from math import log2
@@ -43,6 +49,13 @@ PIECE = re.compile(r"[^=]+(?:=+\Z)?")
 PARTS = tuple(re.compile(p) for p in (r"[^.]{16,}", r"[^/]{16,}", r"[^+_-]{16,}"))
 LETTERS = re.compile(r"[A-Za-z]+")
 MIN_VALUE, MARGIN = 16, 8
+OPENS = tuple(":=({[\\")
+NEXT_LINE = re.compile(r"\s*[^\r\n]*")
+PEM = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY[A-Z ]*-----(?:[A-Za-z0-9+/=:,.\s\\]|-(?!-))*+(?=-----END|\Z)")
+QUOTED = re.compile(r"""(["'`])([!#-&(-_a-~]{16,}+)\1""")
+ADDRESS = re.compile(r"""://[^\s"'`<>]*+""")
+LOGIN = re.compile(r"""://[^\s/:@"'`<>]*+:([^\s/@"'`<>]{16,}+)@""", re.ASCII)
+SEGMENT = re.compile(r"[^/=]{16,}")
 AROUND = 256
 #: share of the size of its shuffled characters, number of shuffles, bits that the counts of its characters hold
 MIN_SHARE, SHUFFLES, MIN_BITS = 0.85, 3, 32
@@ -145,16 +158,80 @@ def _novel_in_run(text: str, a: int, b: int, least: int) -> list[tuple[int, int]
     return found
 
 
+def _novel_in_address(text: str, a: int, b: int, least: int) -> list[tuple[int, int]]:
+    """Novel segments of a run inside an address."""
+    found = []
+    for m in SEGMENT.finditer(text, a, b):
+        x, y = m.span()
+        value = text[x:y]
+        mixed = any(map(str.islower, value)) and any(map(str.isupper, value)) and any(map(str.isdigit, value))
+        if x >= least and (value.isalnum() or mixed) and _is_novel(text, x, y):
+            found.append((x, y))
+    return found
+
+
+def _context_end(text: str, start: int, least: int) -> int:
+    """Where the sensitive context of a line ends: with it, the line after it, or the key whose head it is."""
+    end = LINE_END.search(text, least).start()
+    if (head := text.find("-----BEGIN ", start, end)) >= 0 and (key := PEM.match(text, head)):
+        return max(end, key.end())
+    tail = text[max(least, end - 64) : end].rstrip("\x20\t\"'`>|+-")
+    return NEXT_LINE.match(text, end).end() if tail.endswith(OPENS) else end
+
+
+def _merged(spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The stretches that spans cover, apart from each other, in order."""
+    out: list[tuple[int, int]] = []
+    for a, _, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _uncovered(covered: list[tuple[int, int]], a: int, b: int) -> list[tuple[int, int]]:
+    """What covered stretches leave of one."""
+    out, at = [], max(0, bisect_left(covered, (a,)) - 1)
+    while at < len(covered) and covered[at][0] < b:
+        if covered[at][0] > a:
+            out.append((a, covered[at][0]))
+        a = max(a, covered[at][1])
+        at += 1
+    return out + [(a, b)] * (a < b)
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Incompressible strings in sensitive contexts that overlap no base span."""
+    """Incompressible strings in sensitive contexts, or what base spans leave of them."""
+    out = _spans_of_contexts(text, sorted(base))
+    if "://" in text:
+        covered = _merged(base + out)
+        whole = [m.span(1) for m in LOGIN.finditer(text)]
+        out += [(x, 3, y) for a, b in whole if (left := _uncovered(covered, a, b)) and _is_novel(text, a, b) for x, y in left]
+    return sorted(out)
+
+
+def _spans_of_contexts(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     out, line, i = [], 0, 0
-    base = sorted(base)
+    covered = _merged(base)
     while m := CONTEXT.search(text, line):
         least = m.end()
-        end = LINE_END.search(text, least).start()
         start = max(text.rfind("\n", line, least), text.rfind("\r", line, least), line - 1) + 1
+        end = _context_end(text, start, least)
+        quoted = [m.span(2) for m in QUOTED.finditer(text, least, end) if not RUN.fullmatch(m[2]) and "://" not in m[2]]
+        quoted = [(a, b) for a, b in quoted if _is_novel(text, a, b)]
+        out += [(x, 3, y) for a, b in quoted for x, y in _uncovered(covered, a, b)]
+        addresses = [m.span() for m in ADDRESS.finditer(text, start, end)]
+        q = n = 0
         for run in RUN.finditer(text, start, end):
             a, stop = run.span()
+            while q < len(quoted) and quoted[q][1] <= a:
+                q += 1
+            while n < len(addresses) and addresses[n][1] <= a:
+                n += 1
+            if q < len(quoted) and quoted[q][0] <= a:
+                continue
+            novel = _novel_in_address if n < len(addresses) and addresses[n][0] <= a else _novel_in_run
             while i < len(base) and base[i][2] <= a:
                 i += 1
             j = i
@@ -163,7 +240,7 @@ def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
                     j += 1
                 b = min(stop, max(a, base[j][0])) if j < len(base) else stop
                 if b - least >= MIN_VALUE and b - a >= MIN_VALUE:
-                    out += [(x, 3, y) for x, y in _novel_in_run(text, a, b, least)]
+                    out += [(x, 3, y) for x, y in novel(text, a, b, least)]
                 a = max(b, base[j][2]) if j < len(base) and base[j][0] < stop else stop
         line = end
     return out
