@@ -1,0 +1,105 @@
+import random
+import string
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from touchline.llm import secret_scan, token_counts
+from touchline.llm.quality_rules import measure
+from touchline.llm.text import texts_of
+
+LETTERS = string.ascii_letters + string.digits
+
+
+def drawn(alphabet, n, seed):
+    return "".join(random.Random(seed).choices(alphabet, k=n))
+
+
+def pem(seed):
+    body = [drawn(LETTERS + "+/", 64, 100 * seed + i) for i in range(4)]
+    return "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(body) + "\n-----END RSA PRIVATE KEY-----\n", body
+
+
+def below(seed):
+    value = drawn(LETTERS, 32, seed)
+    return f'{{\n  "private_key":\n    "{value}",\n  "x": 1\n}}\n', [value]
+
+
+def login(seed):
+    value = drawn(LETTERS, 24, seed)
+    return f"connect to postgres://user:{value}@db.example.com/main now\n", [value]
+
+
+def symbols(seed):
+    value = drawn(LETTERS + "!@#$%^&*()?;~", 20, seed)
+    return f'password = "{value}"\n', [value]
+
+
+def hook(seed):
+    value = drawn(LETTERS, 24, seed)
+    return f"auth hook https://hooks.example.com/services/T000/B000/{value}\n", [value]
+
+
+@pytest.mark.parametrize("plant", [pem, below, login, symbols, hook])
+def test_planted_secrets_are_covered(plant):
+    covered = []
+    for seed in range(40):
+        text, values = plant(seed)
+        base = secret_scan.base_spans(text)
+        spans = base + secret_scan.novel_spans(text, base)
+        for value in values:
+            at = text.index(value)
+            covered.append(all(any(a <= i < b for a, _, b in spans) for i in range(at, at + len(value))))
+    assert np.mean(covered) >= 0.95
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "The key figures are in https://example.com/reports/annual-report-2024-final/summary_of_results.html here.",
+        "A private view of https://www.example.org/2024/05/17/the-long-story-of-public-gardens?ref=newsletter_may today",
+        "Keys:\nthis-is-a-very-long-hyphenated-identifier and nothing else",
+        "token handling: see `self.authenticate(user,request)` there",
+        'key = "https://s3.eu-central-1.amazonaws.com/public-bucket-name/images/photo_of_the_day.png"',
+        "-----BEGIN PRIVATE KEY-----\n(the body was taken out)\n-----END PRIVATE KEY-----\n",
+    ],
+)
+def test_plain_addresses_and_code_stay(text):
+    assert secret_scan.novel_spans(text, secret_scan.base_spans(text)) == []
+
+
+@pytest.mark.parametrize(("cut", "last"), [(0, 2), (1, 1), (2, 1), (3, None), (5, None), (23, None), (24, None)])
+def test_a_file_cut_at_any_byte(llm, tmp_path, cut, last):
+    ids = np.array([5, 0, 1, 2, 5, 5, 3, 3, 3, 5, 4, 4], "<u2").tobytes()
+    (tmp_path / "a.bin").write_bytes(ids[: len(ids) - cut])
+    blocks = token_counts.blocks_of_files(llm, str(tmp_path), 3)
+    got = sorted((r.nth, r.n_tokens) for r in token_counts.count_tokens(blocks, 5, 2).collect())
+    whole = np.frombuffer(ids[: (len(ids) - cut) // 2 * 2], "<u2")
+    ends = np.flatnonzero(whole == 5)
+    want = list(np.diff(ends, prepend=-1) - 1)
+    rest = len(whole) - (ends[-1] + 1 if len(ends) else 0)
+    assert got == list(enumerate([*want, rest] if rest else want))
+    assert last is None or got[-1][1] == last
+
+
+def test_files_longer_than_a_range(llm, tmp_path):
+    rng = np.random.default_rng(1)
+    ids = rng.integers(0, 300, 100_000).astype("<u2")
+    (tmp_path / "long.bin").write_bytes(ids.tobytes())
+    got = sorted((r.nth, r.n_tokens) for r in token_counts.count_tokens(token_counts.blocks_of_files(llm, str(tmp_path), 50), 7).collect())
+    ends = np.flatnonzero(ids == 7)
+    want = [*(np.diff(ends, prepend=-1) - 1), len(ids) - ends[-1] - 1]
+    assert got == [(i, n) for i, n in enumerate(want) if i < len(ends) or n]
+
+
+def test_boilerplate_in_four_languages_and_lines_of_any_length():
+    def bad(line):
+        return measure(texts_of(pa.array([line])))["n_bad_lines"][0] == 1
+
+    prose = "plain words go on and on here "
+    for line in ("Tous droits réservés.", "Alle Rechte vorbehalten", "Todos los derechos reservados", "Startseite", "Lire la suite »", "Home Menu Login", "Inicio · Contacto"):
+        assert bad(line), line
+    assert bad(prose * 7 + "All rights reserved, privacy policy, terms of use")  # 51 words
+    assert not bad(prose * 20 + "privacy policy")
+    assert not bad("The home of a shared search") and not bad("Homework")

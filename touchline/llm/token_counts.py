@@ -1,7 +1,7 @@
 """Token counts of documents in flat token files that have no index.
 
-A token file is one run of ids with a separator after each document, cut into
-blocks anywhere. Each block is searched for separators on its own. Two prefix
+A token file is one run of ids with a separator after each document, read as
+byte ranges of any task and cut into blocks anywhere. Each block is searched for separators on its own. Two prefix
 scans over block summaries, a sum of tokens and a maximum of the place after
 the last separator, then tell where each block starts and how many tokens of
 its first document lie in earlier blocks. The scans run over groups of blocks
@@ -10,8 +10,13 @@ first, so a file of any length keeps its windows short.
 
 from __future__ import annotations
 
+import math
+import re
+import uuid
+
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,10 +26,20 @@ from touchline.llm.tables import query, table
 from touchline.session import new_folder
 
 BLOCK_TOKENS = 1 << 16
+#: blocks that are read from a file at once, and bytes of files for each task
+RANGE_BLOCKS = 64
+TASK_BYTES = 128 << 20
 GROUP = 4096
 TOKEN = "<u2"
 
 
+def _place(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path that all tasks can reach: a shared mount, or what Arrow opens (hdfs, s3, gs)."""
+    if re.match(r"(?!file:)[a-z0-9]+://", path):
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), re.sub(r"^file:(//)?(?=/)", "", path)
+
+
 def write_token_files(
     docs: DataFrame,
     path: str,
@@ -34,67 +49,88 @@ def write_token_files(
     text: str = "text",
     block_tokens: int = BLOCK_TOKENS,
 ) -> tuple[DataFrame, DataFrame]:
-    """Encodes whole texts to flat files in the shared folder: their blocks, and which documents they hold in order.
+    """Encodes whole texts to flat files in the shared folder: the files' blocks, and which documents they hold in order.
 
-    Each input partition is one file. Null and empty texts are a separator alone.
+    Each input partition is one file of any length. Its name is new for every
+    attempt of a task, and only files of finished tasks are listed, so a task
+    may run again. Null and empty texts are a separator alone.
     """
     if separator >= 1 << 16:
         raise ValueError("ids are stored in 16 bits")
-    names = ["file", "block", "tokens", "nth", "docs"]
+    spark = docs.sparkSession
+    folder, listed = new_folder(spark, "token-files"), new_folder(spark, "token-file-list")
+    names = ["file", "path", "bytes", "nth", "docs"]
 
     def run(batches):
         enc = encoding(path, pattern)
-        file, block, nth = TaskContext.get().partitionId(), 0, 0
-        held: list[np.ndarray] = []
-        n = 0
-
-        def flush(last: bool):
-            nonlocal held, n, block
-            flat = np.concatenate([np.zeros(0, TOKEN), *held])
-            to = len(flat) if last else len(flat) - len(flat) % block_tokens
-            parts = [flat[i : min(i + block_tokens, to)].tobytes() for i in range(0, to, block_tokens)]
-            held, n = [flat[to:].copy()], len(flat) - to
-            m = len(parts)
-            columns = [[file] * m, list(range(block, block + m)), parts, [None] * m, [None] * m]
-            block += m
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+        file, nth, name, out = TaskContext.get().partitionId(), 0, None, None
+
+        def row(*values):
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds, strict=True)], names)
+
+        try:
+            for rows in batches:
+                if out is None:
+                    name = f"{folder}/{file:06d}-{uuid.uuid4().hex}.bin"
+                    system, at = _place(name)
+                    system.create_dir(at.rsplit("/", 1)[0])
+                    out = system.open_output_stream(at)
+                for t in rows.column("text").to_pylist():
+                    out.write(np.array([*encode(t or "", enc), separator], TOKEN).tobytes())
+                yield row(file, None, None, nth, rows.column("doc_id").to_pylist())
+                nth += rows.num_rows
+            if out is not None:
+                size = out.tell()
+                out.close()
+                yield row(file, name, size, None, None)
+        finally:
+            if out is not None and not out.closed:
+                out.close()
+
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    chosen = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    schema = "file long, path string, bytes long, nth long, docs array<long>"
+    chosen.mapInArrow(run, schema).write.option("compression", "zstd").parquet(listed)
+    stored = spark.read.schema(schema).parquet(listed)
+    held = stored.where("path IS NULL").select("file", "nth", F.posexplode("docs").alias("at", "doc_id"))
+    blocks = _blocks(stored.where("path IS NOT NULL").select("file", "path", "bytes"), block_tokens)
+    return blocks, held.select("file", (F.col("nth") + F.col("at")).alias("nth"), "doc_id")
+
+
+def _blocks(files: DataFrame, block_tokens: int) -> DataFrame:
+    """``file, block, tokens`` of files given by ``file, path, bytes``: byte ranges are dealt to tasks, which read them alone."""
+    step = 2 * block_tokens
+    total = files.agg(F.sum("bytes").alias("n")).first()["n"] or 0
+    tasks = max(math.ceil(total / TASK_BYTES), min(files.sparkSession.sparkContext.defaultParallelism, math.ceil(total / step)), 1)
+    span = step * RANGE_BLOCKS
+    even = files.withColumn("bytes", F.col("bytes") - F.col("bytes") % 2).where("bytes > 0")
+    ranges = even.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(bytes - 1) div {span}"))).alias("range"))
 
+    def run(batches):
         for rows in batches:
-            for t in rows.column("text").to_pylist():
-                held.append(np.array([*encode(t or "", enc), separator], TOKEN))
-                n += len(held[-1])
-                if n >= 64 * block_tokens:
-                    yield flush(False)
-            columns = [[file], [None], [None], [nth], [rows.column("doc_id").to_pylist()]]
-            nth += rows.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
-        if n:
-            yield flush(True)
-
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64())]
-    chosen = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    folder = new_folder(docs.sparkSession, "token-files")
-    schema = "file long, block long, tokens binary, nth long, docs array<long>"
-    chosen.mapInArrow(run, schema).write.option("compression", "zstd").parquet(folder)
-    stored = docs.sparkSession.read.schema(schema).parquet(folder)
-    held = stored.where("tokens IS NULL").select("file", "nth", F.posexplode("docs").alias("at", "doc_id"))
-    return stored.where("tokens IS NOT NULL").select("file", "block", "tokens"), held.select("file", (F.col("nth") + F.col("at")).alias("nth"), "doc_id")
+            for name, place, size, k in zip(*(rows.column(c).to_pylist() for c in ("file", "path", "bytes", "range")), strict=True):
+                system, at = _place(place)
+                with system.open_input_file(at) as source:
+                    want = min(span, size - k * span)
+                    raw = source.read_at(want, k * span)
+                if len(raw) != want:
+                    raise OSError(f"{place} holds fewer than the {size} bytes listed")
+                parts = [raw[i : i + step] for i in range(0, len(raw), step)]
+                m = len(parts)
+                columns = [pa.array([name] * m, rows.column("file").type), pa.array([k * RANGE_BLOCKS + i for i in range(m)], pa.int64()), pa.array(parts, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["file", "block", "tokens"])
+
+    kind = files.schema["file"].dataType.simpleString()
+    return ranges.repartition(tasks, "path", "range").mapInArrow(run, f"file {kind}, block long, tokens binary")
 
 
 def blocks_of_files(spark, folder: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Blocks of flat files of little-endian 16-bit ids; Spark hands over a file whole, so none may exceed 2 GB."""
+    """Blocks of flat files of little-endian 16-bit ids, of any length; only names and sizes are listed through Spark.
 
-    def run(batches):
-        for rows in batches:
-            for name, content in zip(rows.column("file").to_pylist(), rows.column("content"), strict=True):
-                raw = content.as_buffer()
-                step = 2 * block_tokens
-                for k, low in enumerate(range(0, raw.size, step)):
-                    columns = [pa.array([name]), pa.array([k], pa.int64()), pa.array([raw.slice(low, min(step, raw.size - low)).to_pybytes()])]
-                    yield pa.RecordBatch.from_arrays(columns, ["file", "block", "tokens"])
-
-    files = spark.read.format("binaryFile").load(folder).select(F.col("path").alias("file"), "content")
-    return files.mapInArrow(run, "file string, block long, tokens binary")
+    ``file`` is the path. Empty files have no blocks, and half an id at the end of a file that was cut is left out.
+    """
+    files = spark.read.format("binaryFile").load(folder).select(F.col("path").alias("file"), "path", F.col("length").alias("bytes"))
+    return _blocks(files, block_tokens)
 
 
 def _searched(separator: int):
