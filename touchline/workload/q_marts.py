@@ -265,6 +265,12 @@ for _name, _label, _total in (
 
     query(_name, ["K7"], with_tables(_top_label_sql(_label, _total, 10), *_PERF_NEEDS), doubles=["total_minutes", "rate"])(_build)
 
+    def _build_trained(spark, d, label=_label, total=_total):
+        run = base.Run(spark, d, "player_match", "season", "trained")
+        return marts.top_by_label(marts.player_performance(run.season, run.trained, run.scores), label, total, "rate", 10)
+
+    query(f"trained_{_name}", ["K7"], None)(_build_trained)
+
 
 @query(
     "elite_players_in_league",
@@ -294,6 +300,12 @@ def player_cluster_lookup(spark, d):
     return marts.player_cluster(marts.player_clusters(run.season, run.assignments, run.loadings), "PLAYER 1")
 
 
+@query("trained_cluster_lookup", ["K9"], None)
+def trained_cluster_lookup(spark, d):
+    run = base.Run(spark, d, "season", "trained")
+    return marts.player_cluster(marts.player_clusters(run.season, run.trained, run.trained_loadings), "PLAYER 1")
+
+
 @query(
     "midfield_passes_by_league",
     ["K10"],
