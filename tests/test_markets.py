@@ -71,3 +71,24 @@ def test_planted_misspellings_are_linked(spark, folder):
 
     row = near_link_quality(spark, folder).first()
     assert row.events > 500 and row.recall > 0.95 and row.precision > 0.95
+
+
+def test_near_links_broadcast_no_side_that_grows(spark):
+    """The exploded sides used to be broadcast because their stored size is small."""
+    matches, codes = tables(spark)
+    stats = spark.createDataFrame([(1, "lal-axa-bil-2024-03-01")], "event long, event_slug string")
+    near = markets.link_markets_near(stats, matches, {"lal": "La Liga"}, codes, key="event")
+    exact = markets.link_markets(stats.selectExpr("event_slug", "1L AS market_count", "1D AS total_volume"), matches, {"lal": "La Liga"}, codes)
+    for plan in (near, exact):
+        text = plan._jdf.queryExecution().sparkPlan().toString()
+        # the two joins with the team list only
+        assert text.count("SortMergeJoin") == 1 and text.count("BroadcastHashJoin") == 2
+
+
+def test_repeated_fixtures_link_to_their_first_match(spark):
+    matches, codes = tables(spark)
+    again = matches.union(matches.selectExpr("match_id + 10", "match_date", "competition_name", "home_team", "away_team"))
+    again = again.union(matches.filter("match_id = 4").selectExpr("NULL", "match_date", "competition_name", "home_team", "away_team"))
+    stats = spark.createDataFrame([(1, "lal-axa-bil-2024-03-01"), (2, "sea-aja-bil-2024-03-01")], "event long, event_slug string")
+    out = markets.link_markets_near(stats, again, {"lal": "La Liga", "sea": "Serie A"}, codes, key="event")
+    assert {r.event: r.match_id for r in out.collect()} == {1: 1, 2: None}

@@ -142,7 +142,8 @@ def _coded_sides(matches: DataFrame, team_codes: DataFrame) -> DataFrame:
     sides = matches.select("match_id", "match_date", "competition_name", "home_team", "away_team")
     for side in ("home", "away"):
         codes = team_codes.select(F.col("team").alias(f"{side}_team"), F.col("code").alias(f"{side}_code"))
-        sides = sides.join(codes, on=f"{side}_team", how="inner")
+        # the team list is the small side, whatever the sizes are taken to be
+        sides = sides.join(F.broadcast(codes), on=f"{side}_team", how="inner")
     return sides
 
 
@@ -152,11 +153,13 @@ def link_markets(
     """Event slugs matched to matches by competition, both team codes and date.
 
     ``competitions`` maps a slug code to a competition name; ``team_codes`` has
-    (team, code). All four parts are equality keys of one join.
+    (team, code). All four parts are equality keys of one join, whose sides
+    both grow with the matches and are never sent whole to one place.
     """
     parsed = _parsed_slugs(stats, competitions)
     keyed = _coded_sides(matches, team_codes).withColumnRenamed("match_date", "slug_date")
-    return parsed.join(keyed, on=["competition_name", "home_code", "away_code", "slug_date"], how="inner").select(
+    on = ["competition_name", "home_code", "away_code", "slug_date"]
+    return parsed.join(keyed.hint("merge"), on=on, how="inner").select(
         "event_slug", "match_id", "home_team", "away_team", F.col("slug_date").alias("match_date"), "market_count", "total_volume"
     )
 
@@ -183,15 +186,22 @@ def link_markets_near(
     open, so blocks hold alike codes of one day and competition only. The match with the fewest wrong
     letters wins, then the nearest date, then the smallest id. ``key`` names
     an event; events without a match have no row, nor have slugs of another
-    form. Two teams with one code both count.
+    form. Two teams with one code both count. Of the matches of two teams on
+    one day the smallest id stands for all, and equal codes meet in one block,
+    not in three.
     """
     parsed = _parsed_slugs(stats.select(F.col(key).alias("event"), F.col(slug).alias("slug")), competitions, "slug")
     near = F.explode(F.sequence(F.date_sub("slug_date", days), F.date_add("slug_date", days)))
     asked = parsed.select("event", "competition_name", "slug_date", F.col("home_code").alias("home"), F.col("away_code").alias("away"), near.alias("match_date"))
     asked = asked.withColumn("home_key", F.explode(_blanked("home"))).withColumn("away_key", F.explode(_blanked("away")))
-    sides = _coded_sides(matches, team_codes).withColumn("home_key", F.explode(_blanked("home_code")))
+    fixture = ["competition_name", "match_date", "home_team", "away_team"]
+    first = F.min(F.struct("match_id")).getField("match_id").alias("match_id")
+    sides = _coded_sides(matches.groupBy(*fixture).agg(first), team_codes).withColumn("home_key", F.explode(_blanked("home_code")))
     sides = sides.withColumn("away_key", F.explode(_blanked("away_code")))
-    met = asked.join(sides, on=["competition_name", "match_date", "home_key", "away_key"], how="inner")
+    # both sides grow on the way, so their stored sizes must not make one of them a broadcast
+    met = asked.join(sides.hint("merge"), on=["competition_name", "match_date", "home_key", "away_key"], how="inner")
+    for code in ("home", "away"):
+        met = met.filter((F.col(code) != F.col(f"{code}_code")) | F.startswith(F.col(f"{code}_key"), F.lit("?")))
     wrong = F.levenshtein("home", "home_code") + F.levenshtein("away", "away_code")
     best = F.struct(
         wrong.alias("wrong_letters"), F.abs(F.datediff("match_date", "slug_date")).alias("days_off"),
