@@ -89,14 +89,15 @@ _TYPED = """SELECT e.*, s.location_x, s.shot_xg, nullif(e.pass_outcome, 'None')
 def _typed_events(spark, d):
     """Staged events with player id and duration; identical raw rows are one event.
 
+    The id of an event names its match, so the match joins with it: both sides lie by match.
     Durations have two decimals. Thresholds on their sums lie between two
     possible sums, so that the order of adding cannot decide.
     """
     staged = base.Run(spark, d).stg_events.select(
         F.col("event_id").alias("id"), "match_id", F.col("event_type").alias("type"), "location_x", "shot_xg", "pass_outcome"
     ).distinct()
-    raw = feeds.raw_events(spark, d).select("id", "player_id", "duration").distinct()
-    return staged.join(raw, on="id", how="inner")
+    raw = feeds.raw_events(spark, d).select("id", "match_id", "player_id", "duration").distinct()
+    return staged.join(raw, on=["id", "match_id"], how="inner")
 
 
 _EVENT_CTE = """
