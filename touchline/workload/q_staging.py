@@ -65,7 +65,7 @@ def stg_lineups_flat(spark, d):
     single = raw.groupBy(*entry).count().filter("count = 1").select(*entry)
     stints = raw.join(single, entry).select(*entry, F.explode_outer("positions").alias("p"), F.get("cards", F.lit(0))["card_type"].alias("card_type"))
     flat = stints.select(*entry, F.col("p.position").alias("position_name"), F.col("p.from").alias("from_time"), F.col("p.to").alias("to_time"), "card_type")
-    return staging.lineups_flat(flat.repartition(8, "from_time"), base.Run(spark, d).stg_matches)
+    return staging.lineups_flat(flat.repartition("from_time", *entry), base.Run(spark, d).stg_matches)
 
 
 @query("stg_lineups", ["B6"], with_tables("SELECT * FROM stg_lineups", "stg_lineups"))
