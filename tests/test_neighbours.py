@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from touchline.operators import neighbours
 from touchline.operators.neighbours import build_index, nearest, nearest_rows
 
 SCHEMA = "id long, v array<double>, band string, key string"
@@ -59,3 +60,33 @@ def test_other_queries_more_places_than_rows_and_none(spark, spots):
     few = x[:6]
     assert answers(nearest_rows(frame(spark, few), "id", "v", [0, 3], 20, pivots=4).collect()) == plain(few, [0, 3], 20)
     assert nearest_rows(frame(spark, few).limit(0), "id", "v", [1], 2).count() == 0
+
+
+def test_blocks_keep_the_nearest_rows_alone(spark, spots, monkeypatch):
+    """Pieces and query groups far smaller than the bands give the same, and no row for every compared pair is written."""
+    x, index = spots
+    wanted = list(range(0, 2500, 50))
+    queries = frame(spark, x).where(F.col("id").isin(wanted))
+    want = nearest(index, queries, "id", "v", 10).collect()
+    written = []
+
+    def spy(df, label, keep=neighbours.materialize):
+        out = keep(df, label)
+        if label == "compared":
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(neighbours, "materialize", spy)
+    monkeypatch.setattr(neighbours, "PIECE_ROWS", 40)
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 7)
+    assert sorted(nearest(index, queries, "id", "v", 10).collect()) == sorted(want)
+    monkeypatch.setattr(neighbours, "PIECE_ROWS", 4096)
+    assert sorted(nearest(index, queries, "id", "v", 10).collect()) == sorted(want)
+    assert written[1] < sum({r["query"]: r["compared"] for r in want}.values()) / 3
+
+
+def test_repeated_rows_and_keys_each_count(spark):
+    x = np.array([[0.0], [1.0], [2.0], [4.0], [8.0]])
+    rows = frame(spark, x).unionAll(frame(spark, x))
+    got = nearest(build_index(rows, "id", "v", pivots=2), frame(spark, x).where("id = 0"), "id", "v", 3).collect()
+    assert [(r["key"], r["distance"]) for r in sorted(got, key=lambda r: r["rank"])] == [(1, 1.0), (1, 1.0), (2, 2.0)]
