@@ -54,3 +54,18 @@ def test_typed_events_are_joined_where_they_lie(spark, folder, monkeypatch, larg
 def test_flat_stints_are_dealt_by_all_their_keys(spark, folder):
     text = plan(all_queries()["stg_lineups_flat"].build(spark, folder))
     assert "hashpartitioning(from_time" in text and "REPARTITION_BY_NUM" not in text
+
+
+def test_the_upsert_stream_takes_one_batch_for_each_feed(spark, folder, monkeypatch, large):
+    """However many tasks the staged events lie in, the table is merged once for each of the five feeds."""
+    from touchline.streaming.versions import VersionedTable
+
+    merged = []
+
+    def spy(self, batch, *args, keep=VersionedTable.merge, **more):
+        merged.append(batch.inputFiles())
+        return keep(self, batch, *args, **more)
+
+    monkeypatch.setattr(VersionedTable, "merge", spy)
+    rows = all_queries()["upserted_match_events"].build(spark, folder).count()
+    assert 1 < len(merged) <= 5 and rows == base.Run(spark, folder).stg_events.select("event_id").distinct().count()
