@@ -1,5 +1,7 @@
 """Large tables are dealt by match while their rows are narrow."""
 
+import re
+
 import pytest
 
 from touchline.plans import players
@@ -51,6 +53,22 @@ def test_typed_events_are_joined_where_they_lie(spark, folder, monkeypatch, larg
     assert rows == {tuple(r) for r in all_queries()[name].build(spark, folder).collect()} and rows
 
 
+@pytest.mark.parametrize("name", ["goalkeeper_rows", "pressure_shift", "context_totals_agree"])
+def test_lineups_and_their_events_are_joined_where_they_lie(spark, folder, monkeypatch, large, name):
+    stored = {}
+
+    def spy(df, label, keep=players.materialize):
+        stored[label] = plan(df)
+        return keep(df, label)
+
+    monkeypatch.setattr(players, "materialize", spy)
+    rows = {tuple(r) for r in all_queries()[name].build(spark, folder).collect()}
+    text = stored["season-rows" if name == "goalkeeper_rows" else "context-rows"]
+    assert "hashpartitioning(l_orderkey" in text and not re.search(r"hashpartitioning\(match_id#\w+, player_name", text)
+    monkeypatch.undo()
+    assert len(rows) == all_queries()[name].build(spark, folder).count() > 0
+
+
 def test_flat_stints_are_dealt_by_all_their_keys(spark, folder):
     text = plan(all_queries()["stg_lineups_flat"].build(spark, folder))
     assert "hashpartitioning(from_time" in text and "REPARTITION_BY_NUM" not in text
