@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from touchline.operators import quality
 from touchline.plans import players
 from touchline.workload import all_queries, base, feeds
 
@@ -69,6 +70,22 @@ def test_lineups_and_their_events_are_joined_where_they_lie(spark, folder, monke
     assert len(rows) == all_queries()[name].build(spark, folder).count() > 0
 
 
+def test_fan_out_counts_lineups_and_events_where_they_lie(spark, folder, monkeypatch, large):
+    stored = []
+
+    def spy(df, label, keep=players.materialize):
+        stored.append(plan(df))
+        return keep(df, label)
+
+    monkeypatch.setattr(quality, "materialize", spy, raising=False)
+    got = all_queries()["lineup_fan_out"].build(spark, folder).collect()
+    assert "hashpartitioning(l_orderkey" in stored[0] and not re.search(r"hashpartitioning\(match_id#\w+, player_name", stored[0])
+    monkeypatch.undo()
+    run = base.Run(spark, folder)
+    before, after = run.stg_lineups.count(), run.player_match.count()
+    assert [tuple(r) for r in got] == [(before, after, after - before)]
+
+
 def test_flat_stints_are_dealt_by_all_their_keys(spark, folder):
     text = plan(all_queries()["stg_lineups_flat"].build(spark, folder))
     assert "hashpartitioning(from_time" in text and "REPARTITION_BY_NUM" not in text

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.session import joined_where_they_lie, materialize
+
 
 def _result(df: DataFrame, name: str, failures: Column) -> DataFrame:
     return df.agg(F.coalesce(failures, F.lit(0)).cast("long").alias("failures")).select(
@@ -80,12 +82,12 @@ def compare_totals(a: DataFrame, b: DataFrame, keys: Sequence[str], columns: Seq
 
 
 def fan_out(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Row counts before and after a join."""
+    """Row counts before and after a join, counted at once: tables that lie by some of its columns are not exchanged by all."""
     n_before = before.agg(F.count(F.lit(1)).alias("rows_before"))
     n_after = after.agg(F.count(F.lit(1))).scalar()
-    return n_before.withColumn("rows_after", n_after).withColumn(
-        "extra_rows", F.col("rows_after") - F.col("rows_before")
-    )
+    with joined_where_they_lie(before.sparkSession):
+        counted = materialize(n_before.withColumn("rows_after", n_after), "fan-out")
+    return counted.withColumn("extra_rows", F.col("rows_after") - F.col("rows_before"))
 
 
 def freshness(df: DataFrame, column: str, today: Column | None = None, warn_days: int = 7, error_days: int = 30) -> DataFrame:
