@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from touchline.operators import quality
 from touchline.plans import players
@@ -86,6 +87,24 @@ def test_fan_out_counts_lineups_and_events_where_they_lie(spark, folder, monkeyp
     assert [tuple(r) for r in got] == [(before, after, after - before)]
 
 
+def test_contexts_are_summed_by_match_where_the_rows_lie(spark, folder, monkeypatch, large):
+    """A player listed twice in a match has one match; the stored sums exchange neither rows nor match ids again."""
+    run = base.Run(spark, folder)
+    want = {
+        (r["player_id"], r["player_name"], r["is_international"]): (r["n"], round(r["m"], 6), r["s"])
+        for r in players.with_match(run.player_match, run.stg_matches)
+        .groupBy("player_id", "player_name", "is_international")
+        .agg(F.count_distinct("match_id").alias("n"), F.sum("minutes_played").alias("m"), F.sum("shots").alias("s"))
+        .collect()
+    }
+    got = players.context_totals(run.player_match, run.stg_matches, 0.0)
+    assert "match_id" not in "".join(re.findall(r"hashpartitioning\([^)]*\)", plan(got)))
+    assert want and want == {
+        (r["player_id"], r["player_name"], r["is_international"]): (r["matches_played"], round(r["total_minutes"], 6), r["total_shots"])
+        for r in got.collect()
+    }
+
+
 def test_flat_stints_are_dealt_by_all_their_keys(spark, folder):
     text = plan(all_queries()["stg_lineups_flat"].build(spark, folder))
     assert "hashpartitioning(from_time" in text and "REPARTITION_BY_NUM" not in text
