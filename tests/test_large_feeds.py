@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from touchline import session
 from touchline.operators import quality
 from touchline.plans import players
 from touchline.workload import all_queries, base, feeds
@@ -105,6 +106,23 @@ def test_contexts_are_summed_by_match_where_the_rows_lie(spark, folder, monkeypa
     }
 
 
+def test_season_sums_are_dealt_by_the_size_of_their_rows(spark, folder, monkeypatch, large):
+    stored = {}
+
+    def spy(df, label, keep=players.materialize):
+        stored[label] = plan(df)
+        return keep(df, label)
+
+    rows = {tuple(r) for r in base.Run(spark, folder).season.collect()}
+    monkeypatch.setattr(players, "materialize", spy)
+    monkeypatch.setattr(session, "TASK_BYTES", 2_000)
+    assert {tuple(r) for r in base.Run(spark, folder).season.collect()} == rows and rows
+    text = stored["season-totals"]
+    dealt = [int(n) for n in re.findall(r"hashpartitioning\(player_id#.*?, (\d+)\)", text)]
+    assert len(dealt) == text.count("Exchange") == 2 and min(dealt) > 8
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
 def test_flat_stints_are_dealt_by_all_their_keys(spark, folder):
     text = plan(all_queries()["stg_lineups_flat"].build(spark, folder))
     assert "hashpartitioning(from_time" in text and "REPARTITION_BY_NUM" not in text
