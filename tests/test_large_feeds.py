@@ -123,6 +123,19 @@ def test_season_sums_are_dealt_by_the_size_of_their_rows(spark, folder, monkeypa
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
 
 
+@pytest.mark.parametrize("name", ["refreshed_marts", "trained_marts_agree"])
+def test_marts_do_not_store_and_exchange_wide_player_rows(spark, folder, monkeypatch, name):
+    labels = []
+
+    def spy(df, label, keep=base.materialize):
+        labels.append(label)
+        return keep(df, label)
+
+    monkeypatch.setattr(base, "materialize", spy)
+    assert all_queries()[name].build(spark, folder).count() > 0
+    assert "season" in labels and "player_match" not in labels
+
+
 def test_flat_stints_are_dealt_by_all_their_keys(spark, folder):
     text = plan(all_queries()["stg_lineups_flat"].build(spark, folder))
     assert "hashpartitioning(from_time" in text and "REPARTITION_BY_NUM" not in text

@@ -119,7 +119,7 @@ def player_performance(spark, d):
 )
 def trained_marts_agree(spark, d):
     """Both player marts and the report on trained archetypes: every row has its player's label of the longest season."""
-    run = base.Run(spark, d, "player_match", "season", "trained")
+    run = base.Run(spark, d, "season", "trained")
     clusters = materialize(marts.player_clusters(run.season, run.trained, run.trained_loadings), "clusters")
     performance = marts.player_performance(run.season, run.trained, run.scores)
     longest = F.struct(F.col("total_minutes"), -F.col("competition_id"), -F.col("season_id"))
@@ -161,7 +161,7 @@ def trained_league_summary(spark, d):
 )
 def refreshed_marts(spark, d):
     """Two runs over stored marts: at first all are built, then new assignments rebuild the two that read them."""
-    run = base.Run(spark, d, "player_match", "season", "match_stats", "assignments")
+    run = base.Run(spark, d, "season", "match_stats", "assignments")
     stored: dict[str, list] = {}
     builders = {
         "player_clusters": lambda: marts.player_clusters(run.season, run.assignments, run.loadings),
@@ -266,7 +266,7 @@ for _name, _label, _total in (
     query(_name, ["K7"], with_tables(_top_label_sql(_label, _total, 10), *_PERF_NEEDS), doubles=["total_minutes", "rate"])(_build)
 
     def _build_trained(spark, d, label=_label, total=_total):
-        run = base.Run(spark, d, "player_match", "season", "trained")
+        run = base.Run(spark, d, "season", "trained")
         return marts.top_by_label(marts.player_performance(run.season, run.trained, run.scores), label, total, "rate", 10)
 
     query(f"trained_{_name}", ["K7"], None)(_build_trained)
