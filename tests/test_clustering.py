@@ -1,11 +1,13 @@
 """K-Means with many starts in shared passes, and silhouettes, against other implementations."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from touchline.operators import clustering
 from touchline.operators.clustering import assign, best_of, fit_many, silhouettes
 
 
@@ -103,3 +105,27 @@ def test_silhouettes_equal_brute_force(spark):
     some = np.arange(302)[-50:]
     assert (got.n_rows, got.silhouette) == (50, pytest.approx(plain_silhouette(x[some], labels[0][some]), abs=1e-12))
     assert silhouettes(df.limit(0), "v", ["a"], [F.col("id")]).first().silhouette is None
+
+
+class Shared:
+    def __init__(self, value):
+        self.value = value
+
+
+def test_sums_of_many_sets_are_matrix_products_over_small_blocks():
+    """Sets of several sizes, rows at equal distances and centres that occur twice: the first among equals takes a row."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(-3, 4, (5000, 3)).astype(float)
+    sets = {j: rng.integers(-3, 4, (k, 3)).astype(float) for j, k in enumerate([4, 2, 7, 4, 1, 7])}
+    sets[3][2] = sets[3][0]
+    column = pa.array(x.tolist(), pa.list_(pa.float64()))
+    blocks = list(clustering._packed([pa.record_batch([column], ["v"])]))
+    assert max(b.column(0)[0].as_buffer().size for b in blocks) <= clustering.ROWS * 3 * 8 < x.nbytes
+    found = {(r["job"], r["cluster"]): (r["n"], r["sums"]) for b in clustering._sums(Shared(sets), 3)(blocks) for r in b.to_pylist()}
+    costs = {r["job"]: r["cost"] for b in clustering._costs(Shared(sets), 3)(blocks) for r in b.to_pylist()}
+    assert sorted(found) == [(j, c) for j, p in sets.items() for c in range(len(p))]
+    for j, p in sets.items():
+        near = ((x[:, None] - p[None]) ** 2).sum(2).argmin(1)
+        for c in range(len(p)):
+            assert found[j, c] == (int((near == c).sum()), pytest.approx(x[near == c].sum(0).tolist()))
+        assert costs[j] == pytest.approx(cost_of(x, p))
