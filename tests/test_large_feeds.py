@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from touchline import session
 from touchline.operators import quality
-from touchline.plans import players
+from touchline.plans import players, staging
 from touchline.workload import all_queries, base, feeds
 
 
@@ -136,6 +136,24 @@ def test_marts_do_not_store_and_exchange_wide_player_rows(spark, folder, monkeyp
     assert "season" in labels and "player_match" not in labels
 
 
+def test_typed_events_are_written_and_read_by_match(spark, folder, large):
+    """Neither written nor read back events are exchanged once they are wide, and the rows are those of the plain files."""
+    found = all_queries()["stg_events_typed"].build(spark, folder)
+    text = plan(found)
+    assert text.count("Exchange") == 1 and "Exchange hashpartitioning(match_id" in text and "Bucketed: true" in text
+    want = all_queries()["stg_events"].build(spark, folder)
+    assert found.dtypes == want.dtypes and found.exceptAll(want).count() == want.exceptAll(found).count() == 0 < found.count()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
+
+
+def test_matches_beyond_the_type_of_an_id_are_no_actions(spark, folder):
+    raw = feeds.raw_events(spark, folder).limit(50).withColumn("match_id", F.lit(5).cast("int")).withColumn("player", F.lit("a"))
+    ids = spark.createDataFrame([(2**32 + 5,), (None,)], "match_id long")
+    assert staging.events(raw, ids).count() == 0
+    assert staging.events(raw, ids.union(spark.createDataFrame([(5,), (5,)], "match_id long"))).count() == 50
+    assert staging.events(raw.withColumn("match_id", F.lit(None).cast("int")), ids).count() == 0
+
+
 def test_flat_stints_are_dealt_by_all_their_keys(spark, folder):
     text = plan(all_queries()["stg_lineups_flat"].build(spark, folder))
     assert "hashpartitioning(from_time" in text and "REPARTITION_BY_NUM" not in text

@@ -9,6 +9,7 @@ from touchline.constants import COMPETITION_LABEL_ORDER, FIRST_SEASON
 from touchline.functions import labels, text
 from touchline.plans import international, players, staging
 from touchline.session import new_folder
+from touchline.sources import writers
 from touchline.sources.readers import read_raw, read_table
 from touchline.sources.schemas import SCHEMAS
 from touchline.workload import base, feeds
@@ -29,11 +30,19 @@ def stg_events(spark, d):
 
 
 def _typed(spark, d, name):
-    """A raw table written as files of its declared types and read back with the declared schema."""
-    raw = getattr(feeds, f"raw_{name}")(spark, d)
-    folder = new_folder(spark, "raw")
+    """A raw table written as files of its declared types and read back with the declared schema.
+
+    Events of a large table lie by match and are written and read so.
+    """
+    parts = feeds.line_parts(spark, d) if name == "events" else None
     fields = T.StructType.fromDDL(SCHEMAS[name]).fields
-    raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields]).write.parquet(f"{folder}/{name}.parquet")
+    raw = feeds.raw_events(spark, d, "int") if parts else getattr(feeds, f"raw_{name}")(spark, d)
+    typed = raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+    folder = new_folder(spark, "raw")
+    if parts:
+        writers.write_bucketed(typed, f"{folder}/{name}.parquet", "match_id", parts)
+        return read_raw(spark, folder, name, "match_id", parts)
+    typed.write.parquet(f"{folder}/{name}.parquet")
     return read_raw(spark, folder, name)
 
 
